@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def edit_distance(a, b) -> int:
@@ -31,7 +32,7 @@ def edit_distance(a, b) -> int:
     return int(row[-1])
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([edit_distance(x, y) if x is not None and y is not None else None for x, y in zip(a, b, strict=True)], dtype="Int32")
 
@@ -41,7 +42,7 @@ def array_distance(a: Column, b: Column) -> Column:
     return _distance(a, b)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else None for x, y in zip(a, b, strict=True)], dtype="float64")
 
