@@ -70,20 +70,23 @@ def grouped_lines(boxes: DataFrame) -> DataFrame:
     from left to right.  A page's boxes are some hundred at most.
     """
 
-    def read(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["y", "x", "text"])
-        lines: list[list[tuple[float, str]]] = []
-        last = None
-        for x, y, text, near in zip(frame.x, frame.y, frame.text, frame.threshold, strict=True):
-            if last is None or abs(y - last) < near:
-                last = y if last is None else (last + y) / 2
-                if not lines:
-                    lines.append([])
-            else:
-                lines.append([])
-                last = y
-            lines[-1].append((x, text))
-        joined = "\n".join(" ".join(t for _, t in sorted(line, key=lambda b: b[0])) for line in lines)
-        return pd.DataFrame({"page": [frame.page.iloc[0]], "text": [joined.strip()]})
-
-    return boxes.groupBy("page").applyInPandas(read, "page long, text string")
+    @F.pandas_udf("string")
+    def read(pages: pd.Series) -> pd.Series:
+        return pages.map(_read_lines)
+
+    box = F.struct("y", "x", "text", "threshold")
+    return boxes.groupBy("page").agg(F.sort_array(F.collect_list(box)).alias("b")).select("page", read("b").alias("text"))
+
+
+def _read_lines(boxes) -> str:
+    lines: list[list[tuple[float, str]]] = []
+    last = None
+    for b in boxes:
+        y = b["y"]
+        if last is not None and abs(y - last) < b["threshold"]:
+            last = (last + y) / 2
+        else:
+            lines.append([])
+            last = y
+        lines[-1].append((b["x"], b["text"]))
+    return "\n".join(" ".join(t for _, t in sorted(line, key=lambda x: x[0])) for line in lines).strip()

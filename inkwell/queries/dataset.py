@@ -189,8 +189,8 @@ def top_match_half(spark, sf_dir):
 
 
 @register("win_chunk_groups", """WITH r AS (SELECT source, doc_id, lang || doc_id AS t, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS p FROM documents),
- b AS (SELECT *, p // 14 AS blk, p % 14 AS at, ('0x' || md5(source || '|' || (p // 14) || '|0')[1:6])::INTEGER % 4 AS turn FROM r),
- g AS (SELECT *, CASE turn WHEN 0 THEN (at >= 2)::INTEGER + (at >= 5)::INTEGER + (at >= 9)::INTEGER WHEN 1 THEN (at >= 3)::INTEGER + (at >= 7)::INTEGER + (at >= 12)::INTEGER WHEN 2 THEN (at >= 4)::INTEGER + (at >= 9)::INTEGER + (at >= 11)::INTEGER ELSE (at >= 5)::INTEGER + (at >= 7)::INTEGER + (at >= 10)::INTEGER END AS run FROM b)
+ b AS (SELECT *, p // 14 AS blk, p % 14 AS pos, ('0x' || md5(source || '|' || (p // 14) || '|0')[1:6])::INTEGER % 4 AS turn FROM r),
+ g AS (SELECT *, CASE turn WHEN 0 THEN (pos >= 2)::INTEGER + (pos >= 5)::INTEGER + (pos >= 9)::INTEGER WHEN 1 THEN (pos >= 3)::INTEGER + (pos >= 7)::INTEGER + (pos >= 12)::INTEGER WHEN 2 THEN (pos >= 4)::INTEGER + (pos >= 9)::INTEGER + (pos >= 11)::INTEGER ELSE (pos >= 5)::INTEGER + (pos >= 7)::INTEGER + (pos >= 10)::INTEGER END AS run FROM b)
  SELECT source, text FROM (SELECT source, string_agg(t, ' ' ORDER BY p) AS text FROM g GROUP BY source, blk, run) WHERE length(text) BETWEEN 10 AND 100""")
 def win_chunk_groups(spark, sf_dir):
     rows = docs(spark, sf_dir).select("source", "doc_id", F.concat("lang", F.col("doc_id").cast("string")).alias("text"))

@@ -147,7 +147,7 @@ def _cells(spark, sf_dir):
     return rows.select("page", c("page").cast("string").alias("stem"), F.transform("l", lambda s: s["c"]).alias("cells"))
 
 
-@register("win_reading_order", f"SELECT page, string_agg(t, ' ' ORDER BY y, x, k) FILTER (t <> '') AS text FROM {_CELLS} GROUP BY page")
+@register("win_reading_order", f"SELECT page, string_agg(t, ' ' ORDER BY y, x, k, t) FILTER (t <> '') AS text FROM {_CELLS} GROUP BY page")
 def win_reading_order(spark, sf_dir):
     """Cells' texts from top to bottom, left to right; null for a page without text."""
     texts = F.filter(F.transform(D.reading_order(F.col("cells")), lambda c: c["text"]), lambda t: t != "")
@@ -162,7 +162,7 @@ def win_rank_k(spark, sf_dir):
     return order.join(lines, "page").select("page", F.get("ks", F.col("c.i")).alias("k"), "rank")
 
 
-@register("crops_from_cells", f"SELECT page::VARCHAR AS stem, 'crops/' || page || '_' || lpad(r::VARCHAR, 4, '0') || '.png' AS path, t AS label FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY y, x, k) - 1 AS r FROM {_CELLS}) WHERE t <> '' AND length(t) <= 5")
+@register("crops_from_cells", f"SELECT page::VARCHAR AS stem, 'crops/' || page || '_' || lpad(r::VARCHAR, 4, '0') || '.png' AS path, t AS label FROM (SELECT *, row_number() OVER (PARTITION BY page ORDER BY y, x, k, t) - 1 AS r FROM {_CELLS}) WHERE t <> '' AND length(t) <= 5")
 def crops_from_cells(spark, sf_dir):
     return D.crops(_cells(spark, sf_dir), 80, 60, 5).select("stem", "path", "label")
 
