@@ -179,9 +179,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def _rebuilt(spark: SparkSession, path: str, placed: DataFrame, records: DataFrame) -> DataFrame:
     """Records with magics in their payloads, put together again from their segments."""
-    marks = placed.select("file", "at", "whole").join(records.withColumn("true", F.lit(True)), ["file", "at"], "left")
-    owner = F.last(F.when(F.col("true"), F.col("at")), ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
-    owned = store.written(marks.withColumn("owner", owner).where("NOT whole OR true IS NULL").select("file", "at", "owner"), "warc-parts")
+    marks = placed.select("file", "at", "whole").join(records.withColumn("is_record", F.lit(True)), ["file", "at"], "left")
+    owner = F.last(F.when(F.col("is_record"), F.col("at")), ignorenulls=True).over(Window.partitionBy("file").orderBy("at"))
+    owned = store.written(marks.withColumn("owner", owner).where("NOT whole OR is_record IS NULL").select("file", "at", "owner"), "warc-parts")
     parts = _placed(_segments(spark, path, True)).select("file", "at", "head", "span", "value").join(owned, ["file", "at"])
     joined = parts.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("parts"), F.min_by("head", "at").alias("head"), F.min_by("span", "at").alias("span"))
     text = F.array_join(F.transform("parts", lambda p: p["value"]), MAGIC)
