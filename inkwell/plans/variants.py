@@ -17,6 +17,12 @@ VARIANTS = 4
 KINDS = 7
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many tasks as there are cores, where its files make fewer: for costly work on small inputs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def variants(spark: SparkSession, n: int = VARIANTS) -> DataFrame:
     """(idx, params): a dimension table of n rows."""
     return spark.createDataFrame([(i, f"recipe-{i:02d}") for i in range(n)], "idx int, params string")
@@ -52,8 +58,8 @@ def scored(docs: DataFrame, n: int = VARIANTS) -> DataFrame:
     cells = grid(refs, n).withColumn("kind", kind_of(F.col("doc_id"), F.col("idx")))
     whole = cells.withColumn("hyp", damage(F.col("ref"), F.col("kind")))
 
-    spread = refs.select("doc_id", F.explode(T.short_units("ref")).alias("s")).repartition("doc_id", "s")
-    units = grid(spread, n).withColumn("kind", kind_of(F.col("doc_id"), F.col("idx")))
+    pieces = spread(refs.select("doc_id", F.explode(T.short_units("ref")).alias("s")))
+    units = grid(pieces, n).withColumn("kind", kind_of(F.col("doc_id"), F.col("idx")))
     norm = lambda c: F.lower(T.strip(T.collapse(c)))
     units = units.select("doc_id", "idx", norm(F.col("s")).alias("r"), norm(damage(F.col("s"), F.col("kind"))).alias("h"))
     errors = units.groupBy("doc_id", "idx").agg((F.sum(F.when(F.col("r") == F.col("h"), 0).otherwise(F.levenshtein("r", "h"))) / F.greatest(F.sum(F.length("r")), F.lit(1))).alias("cer"))

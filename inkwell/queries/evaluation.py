@@ -25,7 +25,7 @@ _UNITS = f"(SELECT doc_id, s, {_DAMAGE.format(x='s')} AS h FROM (SELECT doc_id,
 def _units(spark, sf_dir):
     """(doc_id, s, h): reference and hypothesis by units of a sentence or 30 words, over whole texts."""
     units = docs(spark, sf_dir).select("doc_id", _kind().alias("kind"), F.explode(T.short_units(T.fold_ascii("text"))).alias("s"))
-    return units.select("doc_id", "s", V.damage(F.col("s"), F.col("kind")).alias("h"))
+    return V.spread(units).select("doc_id", "s", V.damage(F.col("s"), F.col("kind")).alias("h"))
 
 
 def _error_rate(spark, sf_dir, norm):

@@ -35,11 +35,12 @@ def tumbling_totals(spark: SparkSession, sf_dir: str, length: str = "1 hour", la
     when the input ends are those that begin after the last watermark, so the rest of the
     events is added by a batch pass over them.
     """
-    events = _source(spark, sf_dir, "events")
+    at = F.col("ts").cast("timestamp")  # a stamp without zone is read in the session's
+    events = _source(spark, sf_dir, "events").withColumn("ts", at)
     by = [F.window("ts", length).alias("w"), "event_type"]
     agg = [F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")]
     closed = drained(events.withWatermark("ts", late).groupBy(*by).agg(*agg), "windows")
-    batch = spark.read.parquet(f"{sf_dir}/events.parquet").groupBy(*by).agg(*agg)
+    batch = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", at).groupBy(*by).agg(*agg)
     open_ = batch.join(closed.select("w", "event_type"), ["w", "event_type"], "left_anti")
     return closed.unionByName(open_).select("event_type", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("hour"), "n", F.round("total", 4).alias("total"))
 
