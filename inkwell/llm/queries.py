@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import classifier, embed_dedup, html_extract, mixing, near_dup, packing, quality_rules, sharding, store, token_files, warc
+from .oracles import ORACLES
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -15,7 +16,7 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def op1_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return quality_rules.assess(docs).select("doc_id", *quality_rules.STATS, "base_failed", "kept", "host_worst_rate")
+    return quality_rules.assess(docs).select("doc_id", *quality_rules.STATS, "base_failed", "kept", F.round("host_worst_rate", 6).alias("host_worst_rate"))
 
 
 def op2_differencing_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,4 +75,5 @@ def op10_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_host_quality_rules, op2_differencing_packing, op3_tag_path_text, op4_probminhash_near_dup, op5_stratified_shards, op6_warc_boundary_chain, op7_quadratic_discriminant, op8_projection_forest, op9_weighted_mix, op10_arrow_token_files)}
-ORACLES: dict[str, str] = {}
+
+__all__ = ["ORACLES", "QUERIES"]
