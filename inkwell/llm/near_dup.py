@@ -161,7 +161,8 @@ def _texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     place = nodes.join(wanted, "node").select("node", F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key"))
     place = store.written(place, "wanted-texts")
     full = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__key"), "text")
-    found = full.join(place, full["__id"].eqNullSafe(place["__id"]) & (full["__key"] == place["__key"]))
+    # by shuffle at every size: the wanted nodes are a share of all, so they outgrow a broadcast
+    found = full.join(place.hint("merge"), full["__id"].eqNullSafe(place["__id"]) & (full["__key"] == place["__key"]))
     return store.cut(found.select("node", "text").dropDuplicates(["node"]))
 
 
