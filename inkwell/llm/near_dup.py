@@ -13,8 +13,8 @@ with probability J_P.  Bands of registers propose pairs and exact J_P verifies t
 Within a bucket no pairs are listed.  Every text is compared with its bucket's smallest;
 what this links is joined to components.  Only buckets that still hold more than one
 component are gone through again: there, in blocks, texts of different components whose
-signatures agree enough are verified too.  So each link between texts of different
-components that share a bucket is found, whatever the size of the bucket.
+signatures agree enough are verified too, where no link found before connects them.  So
+components are those of all links between texts that share a bucket, whatever its size.
 
 Defined results: equal word sequences are one text (one node, whatever its number of
 copies); a text without words has no shingles and is linked to its copies only; fewer than
@@ -166,25 +166,44 @@ def _texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     return store.cut(found.select("node", "text").dropDuplicates(["node"]))
 
 
-def _cross_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different labels within a bucket block whose signatures agree enough."""
+def _cross_links(rows: DataFrame) -> DataFrame:
+    """Links (a, b) between different labels of a bucket block: a spanning forest of its pairs that verify.
+
+    Pairs whose signatures agree enough are verified exactly, those that agree most first;
+    a pair that links found before connect already is passed over, as it would change no
+    component.  So a block of many alike texts costs about a verification per text, and no
+    pair leaves the task but one per join of two components.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         node, label, half = (table[c].to_numpy() for c in ("node", "label", "half"))
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(len(node), REGISTERS)
         left, right = (np.flatnonzero(half == 0), np.flatnonzero(half == 1)) if half.any() else (np.arange(len(node)),) * 2
-        found_a, found_b = [], []
         need = int(np.ceil(AGREEMENT * REGISTERS))
-        other_label, other_sig, other_node = label[right], sig[right], node[right]
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for i in left:
-            near = np.flatnonzero((other_label != label[i]) & (other_node != node[i]))
-            near = near[(other_sig[near] == sig[i]).sum(1) >= need] if len(near) else near
-            found_a.append(np.minimum(other_node[near], node[i]))
-            found_b.append(np.maximum(other_node[near], node[i]))
-        a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (found_a, found_b))
-        pairs = np.unique(np.stack((a, b)), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-        return pa.table({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+            near = right[label[right] != label[i]]
+            near = near if half.any() else near[near > i]
+            agree = (sig[near] == sig[i]).sum(1)
+            some = agree >= need
+            found.append((np.full(int(some.sum()), i), near[some], agree[some]))
+        first, second, agree = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
+        root = np.unique(label, return_inverse=True)[1]
+        links: list[tuple[int, int]] = []
+        wanted = np.unique(np.concatenate((first, second)))
+        sets = {}
+        for lo, _, t in column_texts(table["text"].combine_chunks().take(pa.array(wanted))) if len(wanted) else ():
+            sets |= {int(wanted[lo + k]): s for k, s in enumerate(_by_text(*shingles(t), t.n))}
+        order = np.lexsort((second, first, -agree))
+        for part in np.array_split(order, max(1, len(order) // 4096)):
+            for k in part[root[first[part]] != root[second[part]]].tolist():
+                i, j = int(first[k]), int(second[k])
+                if root[i] != root[j] and probability_jaccard(*sets[i], *sets[j]) >= THRESHOLD:
+                    links.append((int(node[i]), int(node[j])))
+                    root[root == root[j]] = root[i]
+        a, b = zip(*links, strict=True) if links else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return rows.groupBy("key", "block").applyInArrow(run, "a long, b long")
 
@@ -220,10 +239,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     each = named.join(mixed, "key").withColumn("blocks", blocks).withColumn("mine", mine).withColumn("with", F.explode(F.expr("sequence(0L, blocks - 1)")))
     low, high = F.least("mine", "with"), F.greatest("mine", "with")
     dealt = each.select("key", "node", "label", (low * F.col("blocks") + high).alias("block"), F.when(F.col("mine") > F.col("with"), 1).otherwise(0).alias("half"))
-    rows = dealt.join(nodes.select("node", "sig"), "node")
-    more = store.cut(_cross_pairs(rows).distinct().join(stars, ["a", "b"], "left_anti"))
+    rows = dealt.join(nodes.select("node", "sig"), "node").join(texts, "node")
+    more = store.cut(_cross_links(rows))
     if not more.isEmpty():
-        labels = components(links.union(_verified(more, texts)))
+        labels = components(links.union(more))
 
     classed = nodes.join(labels, "node", "left").select("digest", "first", "copies", F.coalesce("label", "node").alias("label"))
     heads = classed.groupBy("label").agg(F.min("first").alias("head"), F.sum("copies").alias("class_size"))
