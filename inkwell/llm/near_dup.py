@@ -166,40 +166,60 @@ def _texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame
     return store.cut(found.select("node", "text").dropDuplicates(["node"]))
 
 
+def _alike(one: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Whether exact J_P with each of the others reaches the threshold.
+
+    Where no shingle repeats J_P is the plain Jaccard, and all others are looked up in one pass.
+    """
+    key, weight = one
+    out = np.zeros(len(others), bool)
+    if not len(key):
+        return out
+    simple = np.array([bool((weight == 1).all()) and len(k) > 0 and bool((w == 1).all()) for k, w in others], bool)
+    at = np.flatnonzero(simple)
+    if len(at):
+        sizes = np.array([len(others[i][0]) for i in at])
+        flat = np.concatenate([others[i][0] for i in at])
+        place = np.minimum(np.searchsorted(key, flat), len(key) - 1)
+        both = np.add.reduceat((key[place] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+        out[at] = both >= THRESHOLD * (len(key) + sizes - both) - 1e-9
+    for i in np.flatnonzero(~simple):
+        out[i] = probability_jaccard(key, weight, *others[i]) >= THRESHOLD
+    return out
+
+
 def _cross_links(rows: DataFrame) -> DataFrame:
     """Links (a, b) between different labels of a bucket block: a spanning forest of its pairs that verify.
 
-    Pairs whose signatures agree enough are verified exactly, those that agree most first;
-    a pair that links found before connect already is passed over, as it would change no
-    component.  So a block of many alike texts costs about a verification per text, and no
+    A pair counts in the first band that it shares and if its signatures agree enough.  It
+    is verified exactly unless links found before connect it already, as then it would change
+    no component.  So a block of many alike texts costs about a verification per text, and no
     pair leaves the task but one per join of two components.
     """
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        node, label, half = (table[c].to_numpy() for c in ("node", "label", "half"))
+        node, label, half, band = (table[c].to_numpy() for c in ("node", "label", "half", "band"))
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(len(node), REGISTERS)
-        left, right = (np.flatnonzero(half == 0), np.flatnonzero(half == 1)) if half.any() else (np.arange(len(node)),) * 2
+        before = sig[:, : int(band[0]) * ROWS].reshape(len(node), -1, ROWS)
+        two = bool(half.any())
+        left, right = (np.flatnonzero(half == 0), np.flatnonzero(half == 1)) if two else (np.arange(len(node)),) * 2
         need = int(np.ceil(AGREEMENT * REGISTERS))
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for i in left:
-            near = right[label[right] != label[i]]
-            near = near if half.any() else near[near > i]
-            agree = (sig[near] == sig[i]).sum(1)
-            some = agree >= need
-            found.append((np.full(int(some.sum()), i), near[some], agree[some]))
-        first, second, agree = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
         root = np.unique(label, return_inverse=True)[1]
+        sets: list[tuple[np.ndarray, np.ndarray]] = []
+        for _, _, t in column_texts(table["text"].combine_chunks()):
+            sets += _by_text(*shingles(t), t.n)
         links: list[tuple[int, int]] = []
-        wanted = np.unique(np.concatenate((first, second)))
-        sets = {}
-        for lo, _, t in column_texts(table["text"].combine_chunks().take(pa.array(wanted))) if len(wanted) else ():
-            sets |= {int(wanted[lo + k]): s for k, s in enumerate(_by_text(*shingles(t), t.n))}
-        order = np.lexsort((second, first, -agree))
-        for part in np.array_split(order, max(1, len(order) // 4096)):
-            for k in part[root[first[part]] != root[second[part]]].tolist():
-                i, j = int(first[k]), int(second[k])
-                if root[i] != root[j] and probability_jaccard(*sets[i], *sets[j]) >= THRESHOLD:
+        for i in left.tolist():
+            near = right if two else right[right > i]
+            near = near[root[near] != root[i]]
+            near = near[(sig[near] == sig[i]).sum(1) >= need]
+            if len(near) and before.shape[1]:
+                near = near[~(before[near] == before[i]).all(2).any(1)]
+            if not len(near):
+                continue
+            for j in near[_alike(sets[i], [sets[k] for k in near])].tolist():
+                if root[i] != root[j]:
                     links.append((int(node[i]), int(node[j])))
                     root[root == root[j]] = root[i]
         a, b = zip(*links, strict=True) if links else ((), ())
@@ -222,7 +242,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     nodes = store.cut(grouped.withColumn("node", F.monotonically_increasing_id()))
 
     bands = nodes.where("sig IS NOT NULL").select("node", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"), "sig")
-    member = bands.select(F.xxhash64("band", F.expr(f"substring(sig, band * {2 * ROWS} + 1, {2 * ROWS})")).alias("key"), "node")
+    member = bands.select(F.xxhash64("band", F.expr(f"substring(sig, band * {2 * ROWS} + 1, {2 * ROWS})")).alias("key"), "band", "node")
     shared = store.written(member.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count(F.lit(1)).alias("n")).where("least < most").select("key", "least", "n"), "near-buckets")
     within = store.written(member.join(shared, "key"), "near-members")
     stars = store.cut(within.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
@@ -232,13 +252,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     labels = components(links)
 
     # buckets that hold more than one component yet
-    named = within.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label"))
+    named = within.join(labels, "node", "left").select("key", "band", "node", "n", F.coalesce("label", "node").alias("label"))
     mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
     blocks = F.expr(f"(n + {BLOCK - 1}) div {BLOCK}")
     mine = F.pmod(F.xxhash64("node"), blocks)
     each = named.join(mixed, "key").withColumn("blocks", blocks).withColumn("mine", mine).withColumn("with", F.explode(F.expr("sequence(0L, blocks - 1)")))
     low, high = F.least("mine", "with"), F.greatest("mine", "with")
-    dealt = each.select("key", "node", "label", (low * F.col("blocks") + high).alias("block"), F.when(F.col("mine") > F.col("with"), 1).otherwise(0).alias("half"))
+    dealt = each.select("key", "band", "node", "label", (low * F.col("blocks") + high).alias("block"), F.when(F.col("mine") > F.col("with"), 1).otherwise(0).alias("half"))
     rows = dealt.join(nodes.select("node", "sig"), "node").join(texts, "node")
     more = store.cut(_cross_links(rows))
     if not more.isEmpty():
