@@ -36,7 +36,7 @@ def test_sentences_and_lines(spark):
 
 
 def test_normalisers(spark):
-    assert one(spark, "’Œuvre–x  y-\n z ", T.norm_metric_composed) == "'oeuvre-x yz"
+    assert one(spark, "’Œuvre–x  y-\n z ", T.norm_metric_composed) == "'oeuvre-x y z"
     assert one(spark, "l’oe «x»… voe", T.norm_typo) == "l'œ \"x\"... voe"
     assert one(spark, "a…Δ¨Ø漢\x07", T.norm_label) == "a...DeltaO"
     assert one(spark, "exam-\n ple - x", T.dehyphenate) == "example x"
