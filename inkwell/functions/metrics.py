@@ -13,6 +13,15 @@ def character_error_rate(ref: ColumnLike, hyp: ColumnLike) -> Column:
     return F.levenshtein(col(ref), col(hyp)) / F.greatest(F.length(col(ref)), F.lit(1))
 
 
+BAND = 24
+
+
+def edit_distance(a: ColumnLike, b: ColumnLike) -> Column:
+    """Edit distance in characters: within a band first, which costs length times band, and in full only beyond it."""
+    near = F.nullif(F.levenshtein(col(a), col(b), BAND), F.lit(-1))
+    return F.when(col(a) == col(b), F.lit(0)).otherwise(F.coalesce(near, F.levenshtein(col(a), col(b))))
+
+
 def word_edit_distance(ref: ColumnLike, hyp: ColumnLike) -> Column:
     """Edit distance between two arrays, a row of the distance matrix at a time."""
     ref, hyp = col(ref), col(hyp)

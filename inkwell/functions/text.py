@@ -156,8 +156,13 @@ def split_after(c: ColumnLike, end: str = SENTENCE_END) -> Column:
 
 def short_units(c: ColumnLike, most_words: int = 30) -> Column:
     """split_after(), with pieces of more than ``most_words`` words cut after every so many."""
-    every = f"((?:{NOT_WS}+{WS}+){{{most_words}}})"
-    return F.flatten(F.transform(split_after(c), lambda s: F.split(F.regexp_replace(s, every, "$1" + MARK), MARK, -1)))
+    # possessive, and tried only where there are enough words: a failed search is quadratic
+    every = f"((?:{NOT_WS}++{WS}++){{{most_words}}})"
+
+    def cut(s: Column) -> Column:
+        return F.when(F.size(fields(s)) >= most_words, F.split(F.regexp_replace(s, every, "$1" + MARK), MARK, -1)).otherwise(F.array(s))
+
+    return F.flatten(F.transform(split_after(c), cut))
 
 
 def sentences(c: ColumnLike) -> Column:

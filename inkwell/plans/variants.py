@@ -54,15 +54,15 @@ def scored(docs: DataFrame, n: int = VARIANTS) -> DataFrame:
     near its length times a unit's, not its length squared, and long documents are
     spread over tasks.
     """
-    refs = docs.select("doc_id", "source", T.fold_ascii("text").alias("ref"))
+    refs = spread(docs.select("doc_id", "source", "text")).select("doc_id", "source", T.fold_ascii("text").alias("ref"))
     cells = grid(refs, n).withColumn("kind", kind_of(F.col("doc_id"), F.col("idx")))
     whole = cells.withColumn("hyp", damage(F.col("ref"), F.col("kind")))
 
-    pieces = spread(refs.select("doc_id", F.explode(T.short_units("ref")).alias("s")))
+    pieces = refs.select("doc_id", F.explode(T.short_units("ref")).alias("s"))
     units = grid(pieces, n).withColumn("kind", kind_of(F.col("doc_id"), F.col("idx")))
     norm = lambda c: F.lower(T.strip(T.collapse(c)))
     units = units.select("doc_id", "idx", norm(F.col("s")).alias("r"), norm(damage(F.col("s"), F.col("kind"))).alias("h"))
-    errors = units.groupBy("doc_id", "idx").agg((F.sum(F.when(F.col("r") == F.col("h"), 0).otherwise(F.levenshtein("r", "h"))) / F.greatest(F.sum(F.length("r")), F.lit(1))).alias("cer"))
+    errors = units.groupBy("doc_id", "idx").agg((F.sum(metrics.edit_distance("r", "h")) / F.greatest(F.sum(F.length("r")), F.lit(1))).alias("cer"))
 
     def counts(side: str, a: int, b: int) -> DataFrame:
         return whole.select("doc_id", "idx", F.explode(T.words(side)).alias("token"), F.lit(a).alias("r"), F.lit(b).alias("h"))

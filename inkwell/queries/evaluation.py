@@ -30,8 +30,7 @@ def _units(spark, sf_dir):
 
 def _error_rate(spark, sf_dir, norm):
     rows = _units(spark, sf_dir).select("doc_id", norm(F.col("s")).alias("r"), norm(F.col("h")).alias("h"))
-    lev = F.when(F.col("r") == F.col("h"), 0).otherwise(F.levenshtein("r", "h"))
-    return rows.groupBy("doc_id").agg(F.round(F.sum(lev) / F.greatest(F.sum(F.length("r")), F.lit(1)), 6).alias("cer"))
+    return rows.groupBy("doc_id").agg(F.round(F.sum(M.edit_distance("r", "h")) / F.greatest(F.sum(F.length("r")), F.lit(1)), 6).alias("cer"))
 
 
 def _cer_sql(norm) -> str:
@@ -67,7 +66,7 @@ _SPACED = lambda x: f"array_to_string(regexp_extract_all({x}, {q(T.NOT_WS + '+')
 def m_wer_charword(spark, sf_dir):
     """Distance in characters of the space-normalised texts, per word of the reference."""
     rows = _units(spark, sf_dir).select("doc_id", F.array_join(T.fields("s"), " ").alias("r"), F.array_join(T.fields("h"), " ").alias("h"), F.size(T.fields("s")).alias("n"))
-    return rows.groupBy("doc_id").agg(F.round(F.sum(F.levenshtein("r", "h")) / F.greatest(F.sum("n"), F.lit(1)), 6).alias("wer"))
+    return rows.groupBy("doc_id").agg(F.round(F.sum(M.edit_distance("r", "h")) / F.greatest(F.sum("n"), F.lit(1)), 6).alias("wer"))
 
 
 @register("m_punct_accuracy")
@@ -138,7 +137,7 @@ def m_round2(spark, sf_dir):
 def m_score_global(spark, sf_dir):
     """1 - (character rate + word rate) / 2, the word rate in characters per word."""
     rows = _units(spark, sf_dir).select("doc_id", "s", "h", F.array_join(T.fields("s"), " ").alias("rs"), F.array_join(T.fields("h"), " ").alias("hs"), F.size(T.fields("s")).alias("n"))
-    rate = lambda a, b, n: F.sum(F.levenshtein(a, b)) / F.greatest(F.sum(n), F.lit(1))
+    rate = lambda a, b, n: F.sum(M.edit_distance(a, b)) / F.greatest(F.sum(n), F.lit(1))
     both = rows.groupBy("doc_id").agg(rate("s", "h", F.length("s")).alias("cer"), rate("rs", "hs", F.col("n")).alias("wer"))
     return both.select("doc_id", F.round(1 - (F.col("cer") + F.col("wer")) / 2, 6).alias("score"))
 
