@@ -313,7 +313,7 @@ def brute_links(rows):
     for members in groups.values():
         for i in members:
             for j in members:
-                a, b = np.array(rows[i][1], float), np.array(rows[j][1], float)
+                a, b = (np.array(rows[k][1], float) / max(map(abs, rows[k][1])) for k in (i, j))
                 if i != j and a @ b / np.linalg.norm(a) / np.linalg.norm(b) >= 0.93:
                     near[i].add(j)
     return near
