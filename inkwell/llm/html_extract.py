@@ -3,8 +3,8 @@
 A page is read once into text nodes, each with its path of block tags from the root.  Per
 path, the length of text and the number of punctuation marks are summed and divided by
 the path's nodes; text inside links counts against it.  The fused ratio is smoothed over the
-nodes in page order and thresholded; paths above it are content.  The deepest element that
-holds almost all content is the article, and every node of it that is not boilerplate by
+nodes in page order and thresholded; paths above it are content.  The deepest container that
+holds all content is the article, and every node of it that is not boilerplate by
 its tag, role or class is returned, so short paragraphs and headings stay.
 
 Defined results: a null, empty or tagless page is a page of that text; rows of null id and
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,6 +39,7 @@ WORDS = frozenset(
     " newsletter subscribe subscription signup login breadcrumb breadcrumbs pagination pager share sharing social toolbar widget widgets disclaimer copyright hidden".split()
 )
 CONTENT = frozenset("article main".split())
+CONTAINERS = CONTENT | frozenset("html body section div center td".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？·\"'«»“”()¿¡-]")
 
 _TOKEN = re.compile(
@@ -50,7 +52,7 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _NAME = re.compile(r"[a-z0-9]+(?:[-_][a-z0-9]+)*")
 SPACE = re.compile(r"\s+")
-SHARE, LAMBDA = 0.9, 0.5
+LAMBDA = 0.5
 
 
 @dataclass(slots=True)
@@ -192,7 +194,7 @@ def path_scores(nodes: list[Node]) -> np.ndarray:
 
 
 def content_nodes(nodes: list[Node]) -> list[Node]:
-    """The nodes of the smallest element that holds SHARE of the text whose paths pass the threshold."""
+    """The nodes of the deepest container around all nodes whose paths pass the threshold; all nodes if there is none."""
     if not nodes:
         return []
     score = path_scores(nodes)
@@ -201,16 +203,12 @@ def content_nodes(nodes: list[Node]) -> list[Node]:
         best[x.path] = max(best.get(x.path, 0.0), float(s))
     least = min(LAMBDA * float(score.std()), float(score.max()))
     chosen = [x for x in nodes if best[x.path] >= least]
-    held: dict[int, int] = {}
-    for x in chosen:
-        for e in x.around:
-            held[e] = held.get(e, 0) + len(x.text) - x.linked
-    total = sum(len(x.text) - x.linked for x in chosen)
+    shared = set(chosen[0].around).intersection(*(x.around for x in chosen))
+    held = Counter(e for x in nodes for e in x.around)
+    # a block of a single text is no home, unless marked as content: its heading lies beside it
     # elements are numbered in page order: of a chain of elements the innermost has the largest number
-    home = max((e for e, k in held.items() if k >= SHARE * total and k > 0), default=None)
-    if home is None:
-        return chosen
-    return [x for x in nodes if home in x.around]
+    home = max((e for e, tag in zip(chosen[0].around, chosen[0].path.split("/"), strict=False) if e in shared and (tag in CONTENT or (tag in CONTAINERS and held[e] > 1))), default=None)
+    return nodes if home is None else [x for x in nodes if home in x.around]
 
 
 def main_text(page: str | None) -> str:

@@ -138,6 +138,16 @@ def test_html(spark, nothing):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_html_keeps_what_lies_beside_the_longest_block():
+    long = "A sentence, with marks. " * 40
+    body = f"<p>{long}</p><p>{long}</p>"
+    flat = " ".join(long.split())
+    assert html_extract.main_text(f"<body><div><h1>Title</h1><p>{long}</p><p>Short end.</p></div></body>") == f"Title {flat} Short end."
+    assert html_extract.main_text(f"<div><h1>Title</h1><div>{long}</div></div>") == f"Title {flat}"
+    assert html_extract.main_text(f"<h1>Title</h1><p>{long}</p><ul><li>One</ul>") == f"Title {flat} One"
+    assert html_extract.main_text(f"<body><div><h1>Title</h1><p>A lead, of some length.</p><div>{body}</div><ul><li>One</ul></div><nav>Home</nav></body>") == f"Title A lead, of some length. {flat} {flat} One"
+
+
 def brute_classes(rows):
     """Class of each row by all pairs and exact J_P."""
     bags = []
