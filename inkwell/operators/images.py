@@ -161,17 +161,20 @@ def split_long(m: np.ndarray, most: float = 12.0, shortest: int = 40) -> list[np
     return out
 
 
-def correlation(m: np.ndarray, template: np.ndarray) -> np.ndarray:
-    """Normalised cross-correlation of a template at every place; 0 where either is flat."""
+def correlation(m: np.ndarray, template: np.ndarray, band: int = 64) -> np.ndarray:
+    """Normalised cross-correlation of a template at every place; 0 where either is flat.  A band of rows at a time is held."""
     th, tw = template.shape
     if m.shape[0] < th or m.shape[1] < tw:
         return np.zeros((0, 0))
-    views = np.lib.stride_tricks.sliding_window_view(m.astype(float), (th, tw))
     t = template - template.mean()
-    dots = np.einsum("yxij,ij->yx", views, t)
-    spread = views.var((2, 3)) * th * tw
-    norm = np.sqrt(np.maximum(spread, 0) * (t * t).sum())
-    return np.divide(dots, norm, out=np.zeros_like(dots), where=norm > 1e-9)
+    out = []
+    for y in range(0, m.shape[0] - th + 1, band):
+        views = np.lib.stride_tricks.sliding_window_view(m[y : y + band + th - 1].astype(float), (th, tw))
+        dots = np.einsum("yxij,ij->yx", views, t)
+        spread = views.var((2, 3)) * th * tw
+        norm = np.sqrt(np.maximum(spread, 0) * (t * t).sum())
+        out.append(np.divide(dots, norm, out=np.zeros_like(dots), where=norm > 1e-9))
+    return np.vstack(out)
 
 
 def without_templates(m: np.ndarray, templates: list[np.ndarray], least: float = 0.3, foot: int = 200) -> np.ndarray:

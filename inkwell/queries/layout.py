@@ -201,15 +201,43 @@ _image_query("img_resize_pad", lambda m: (_digest(I.letterbox(m, 48, 320)),), "d
 _image_query("img_resize_norm", lambda m: (float(round(I.recognition_input(m).mean(), 5)),), "mean double")
 _image_query("img_perspective_crop", lambda m: (_digest(I.warped(m, _QUAD)),), "digest string")
 _image_query("img_best_cut", lambda m: (I.best_cut(m, m.shape[1], shortest=10, back=40),), "cut int")
-_image_query("img_split_long", lambda m: (len(I.split_long(np.tile(m[:16], (1, 12)))),), "n int")
-_image_query("img_template_remove", lambda m: (len(I.without_templates(np.vstack((m[:16], _STAMP, m[16:32])), [_STAMP[:, :20]], 0.95, 4)),), "rows int")
-_image_query("img_popup_bbox", lambda m: I.popup_box(I.correlation(np.vstack((m[:16], _STAMP, m[16:32])), _STAMP[:, 8:28]), (6, 20)) or (-1,) * 4, "x0 int, y0 int, x1 int, y1 int")
-_image_query("img_popup_patch", lambda m: (_digest(I.patched(m[:20], m[4:24], (2, 6, 12, 10), 4)),), "digest string")
-_image_query("img_overlap_offset", lambda m: (I.overlap(m[:30], np.vstack((m[8:30], m[:8])), 31),), "rows int")
-_image_query("img_stitch", lambda m: (int(I.stitched([m[:32], m[8:32]], (4, 2, 60, 30), 6).shape[0]),), "rows int")
 _STAMP = (np.add.outer(np.arange(6) * 37, np.arange(64) * 11) % 200).astype(np.uint8)
 
 
+def _line(m, high: int = 8):
+    """The whole image as one line: its strips of rows side by side, the last filled up with white."""
+    whole = np.pad(m, ((0, -len(m) % high), (0, 0)), constant_values=255)
+    return np.hstack(np.split(whole, len(whole) // high))
+
+
+def _stamped(m):
+    """The whole image with a stamp's rows put in half way down."""
+    return np.vstack((m[: len(m) // 2], _STAMP, m[len(m) // 2 :]))
+
+
+def _unpopped(m, scroll: int = 4):
+    """A view of all rows but the last, half way down a popup in it, which the view scrolled to the end has not."""
+    y, view = len(m) // 2, m[:-scroll].copy()
+    view[y : y + 4, 2:12] = _STAMP[:4, :10]
+    return I.patched(view, m[scroll:], (2, y, 12, y + 4), scroll)
+
+
+def _restitched(m):
+    """Views from the first row to the last, each with a frame and rows of the one before, put together again."""
+    high, step = 28, 22
+    n = 1 + max(0, -(-(len(m) - high) // step))
+    whole = np.pad(m, ((2, high + step * (n - 1) - len(m) + 2), (4, 4)), constant_values=255)
+    return I.stitched([whole[k * step : k * step + high + 4] for k in range(n)], (4, 2, 4 + m.shape[1], 2 + high), high - step)
+
+
+_image_query("img_split_long", lambda m: (len(I.split_long(_line(m))),), "n int")
+_image_query("img_template_remove", lambda m: (len(I.without_templates(_stamped(m), [_STAMP[:, :20]], 0.95, 4)),), "rows int")
+_image_query("img_popup_bbox", lambda m: I.popup_box(I.correlation(_stamped(m), _STAMP[:, 8:28]), (6, 20)) or (-1,) * 4, "x0 int, y0 int, x1 int, y1 int")
+_image_query("img_popup_patch", lambda m: (_digest(_unpopped(m)),), "digest string")
+_image_query("img_overlap_offset", lambda m: (I.overlap(m[: len(m) - len(m) // 8], m[len(m) // 8 :], len(m) + 1),), "rows int")
+_image_query("img_stitch", lambda m: (int(_restitched(m).shape[0]),), "rows int")
+
+
 @register("img_background_noise")
 def img_background_noise(spark, sf_dir):
     """Fifty sheets of synthetic paper, each by its own seed."""

@@ -118,3 +118,27 @@ def test_images():
     line = np.full((10, 200), 0, np.uint8)
     line[:, 95:110] = 255
     assert [p.shape[1] for p in I.split_long(line, 12.0)][0] in range(90, 110)
+
+
+def test_image_queries_take_whole_images(spark, tmp_path):
+    import hashlib
+
+    from inkwell.queries import layout
+    from inkwell.registry import queries
+
+    heights = {1: 40, 2: 400}
+    rng = np.random.default_rng(7)
+    pages = {k: rng.integers(33, 127, (h, 64), np.uint8) for k, h in heights.items()}
+    spark.createDataFrame([(k, "u", m.tobytes().decode()) for k, m in pages.items()], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = {n: {r.page: tuple(r)[1:] for r in queries()[n](spark, str(tmp_path)).collect()} for n in ("img_split_long", "img_template_remove", "img_popup_bbox", "img_popup_patch", "img_overlap_offset", "img_stitch")}
+    for k, h in heights.items():
+        assert found["img_split_long"][k] == (len(I.split_long(np.hstack(np.split(pages[k], h // 8)))),)
+        assert found["img_template_remove"][k] == (h - 4,)
+        x0, y0, x1, y1 = found["img_popup_bbox"][k]  # the stamp is like itself a few rows off
+        assert abs(y0 - h // 2) < 6 and (x1 - x0, y1 - y0) == (20, 6)
+        assert found["img_popup_patch"][k] == (hashlib.md5(pages[k][:-4].tobytes()).hexdigest(),)
+        assert found["img_overlap_offset"][k] == (h - 2 * (h // 8),)
+        assert found["img_stitch"][k][0] >= h and (layout._restitched(pages[k])[:h] == pages[k]).all()
+    assert found["img_split_long"][2] > found["img_split_long"][1]
+    stamp = pages[2][100:106, 8:28]
+    assert (I.correlation(pages[2], stamp) == I.correlation(pages[2], stamp, 400)).all()
