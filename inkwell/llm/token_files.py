@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import store
-from .tokens import encoder
+from .tokens import load
 
 MANIFEST = "part int, ids_file string, docs_file string, n_documents long, n_tokens long"
 #: bytes of text that a range, and so a file, aims at
@@ -86,18 +86,22 @@ def read_sequence(uri: str, index: int) -> tuple[np.ndarray, np.ndarray]:
     return tuple(c[row].values.to_numpy(zero_copy_only=False) for c in batch.columns)
 
 
-def write(docs: DataFrame, tokenizer_path: str, out_uri: str, id_col: str = "doc_id", text: str = "text", end_id: int = 1, sequence_length: int = 1024, vocabulary: int = 49_408, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Write the files under ``out_uri`` and return the manifest; ``part`` ascends with the ids."""
+def write(docs: DataFrame, tokenizer_path: str, out_uri: str, id_col: str = "doc_id", text: str = "text", end_id: int = 1, sequence_length: int = 1024, range_bytes: int = RANGE_BYTES, special_tokens: bool = True) -> DataFrame:
+    """Write the files under ``out_uri`` and return the manifest; ``part`` ascends with the ids.
+
+    Ids take two bytes where the vocabulary's size allows it.  Ranges are cut by id and the
+    beginning of the text, so rows of null or equal id can be dealt to several tasks.
+    """
     spark = docs.sparkSession
-    dtype = np.dtype(np.uint16 if vocabulary <= 1 << 16 else np.uint32)
+    dtype = np.dtype(np.uint16 if load(tokenizer_path, special_tokens).size <= 1 << 16 else np.uint32)
     end = np.array([end_id], "<u4").tobytes()
     narrow = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text].alias("text"))
     total = narrow.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // range_bytes), spark.sparkContext.defaultParallelism if total > (4 << 20) else 1)
-    ordered = narrow.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = narrow.repartitionByRange(parts, "doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder(tokenizer_path), TaskContext.get().partitionId()
+        encode, part = load(tokenizer_path, special_tokens).many, TaskContext.get().partitionId()
         system, base = open_store(out_uri)
         names = [f"{base}/part-{part:06d}-{uuid.uuid4().hex}.{kind}.arrow" for kind in ("ids", "docs")]
         ids_sink = writer = None
@@ -108,8 +112,8 @@ def write(docs: DataFrame, tokenizer_path: str, out_uri: str, id_col: str = "doc
                 system.create_dir(base, recursive=True)
                 ids_sink = system.open_output_stream(names[0])
                 writer = SequenceWriter(ids_sink, sequence_length, dtype)
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.frombuffer(encode(value.as_py() or "") + end, "<u4")
+            for doc, raw in zip(batch.column(0).to_pylist(), encode(v.as_py() for v in batch.column(1)), strict=True):
+                ids = np.frombuffer(raw + end, "<u4")
                 writer.add(ids)
                 docs_seen.append(doc)
                 lengths.append(len(ids))
