@@ -78,19 +78,32 @@ def test_quality_rules(spark, docs, rows, nothing):
 def test_token_ids_are_the_librarys(rows, name):
     path = public_tokenizers.path(name)
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
     rng = np.random.default_rng(1)
     odd = ["  ", " \n", "\n\n", "\t ", " ", "'s", "'LL ", "12", "½", "<|endoftext|>", "é", " ́", "Σ ", "ß", "\x1c", "\x85", "日本", "🙂", " ", "\r\n", "​", "﻿", "ab", "Cd "]
-    texts = [r[1] or "" for r in rows] + ["".join(rng.choice(odd, 30)) for _ in range(200)]
-    encode = tokens.encoder(path)
-    for t in texts:
-        assert encode(t) == np.asarray(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    odd += ["'", "'re", "'so", "?'s", "''d", "'ll.", "a", "7", "Ⱥ", "ŉ", "²", "\x00", "\xad", "<|startoftext|>", "__", "'v", "'l", "e"]
+    plain = [x for x in odd if max(map(ord, x)) < 0x180 and "<" not in x]
+    texts = [r[1] or "" for r in rows] + ["".join(rng.choice(some, 30)) for some in (odd, plain) for _ in range(300)]
+    got = list(tokens.load(path).many([*texts, None]))
+    assert got == [np.asarray(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in [*texts, ""]]
+    whole.encode_special_tokens = True
+    as_text = tokens.encoder(path, special_tokens=False)
+    for t in [*odd, "a <|endoftext|> b"]:
+        assert as_text(t) == np.asarray(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    assert tokens.load(path).size == whole.get_vocab_size()
+
 
+def library(name):
+    """text -> ids by the library alone, as bytes."""
+    whole = Tokenizer.from_file(public_tokenizers.path(name))
+    return lambda text: np.asarray(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-def test_packing(docs, rows, nothing):
+
+def test_packing(spark, docs, rows, nothing):
     path = public_tokenizers.path("byte_bpe_50k.json")
-    out = packing.pack(docs, path, with_ids=True).collect()
-    encode = tokens.encoder(path)
+    rows = [*rows, (50_000, "a<|endoftext|>b", "en", "s", 0, "e")]
+    clash = docs.union(spark.createDataFrame(rows[-1:], DOCS)).withColumn("start", F.lit("clash")).withColumn("ids", F.lit("clash"))
+    out = packing.pack(clash, path, with_ids=True).collect()
+    encode = library("byte_bpe_50k.json")
     want = collections.Counter((r[0], zlib.crc32(encode(r[1] or "") + b"\0\0\0\0")) for r in rows)
     by_sequence = collections.defaultdict(list)
     for p in out:
@@ -123,6 +136,23 @@ def test_differencing_windows():
         assert len(windows) <= -(-sum(sizes) // 1024) + 2
 
 
+def test_cuts_only_where_a_window_is_over():
+    rng = np.random.default_rng(5)
+    for n in [1, 2, 3, 7, *rng.integers(1, 513, 40).tolist()]:
+        sizes = rng.integers(1, 1024, n).tolist()
+        windows = packing.cut_to_windows(sizes, 1024, 256)
+        assert all(0 < sum(hi - lo for _, (lo, hi) in w) <= 1024 for w in windows)
+        for i, size in enumerate(sizes):
+            at = 0
+            for lo, hi in sorted(p for w in windows for k, p in w if k == i):
+                assert lo == at < hi
+                at = hi
+            assert at == size
+        assert len(windows) <= -(-sum(sizes) // 1024) * 1.03 + 2
+    assert packing.cut_to_windows([1000, 24, 1023, 1], 1024, 256) == [[(0, (0, 1000)), (1, (0, 24))], [(2, (0, 1023)), (3, (0, 1))]]
+    assert packing.cut_to_windows([], 1024, 256) == []
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body class="no-sidebar"><header><h1>Site</h1></header><nav><a href="/">Home</a></nav>
 <div id="cookie-notice"><p>We use cookies, really. OK?</p></div><div class="content"><h2>Head</h2><p>First paragraph is long enough, with <b>marks, and<p>so on; it&nbsp;goes on &amp; on.
 <ul><li>One<li>Two</ul><script>var a = "</p>";</script></div><div class="comments"><p>Nice, thanks! Great, loved it.</p></div><form><p>Subscribe, now.</p></form><footer>(c)</footer>"""
@@ -347,9 +377,11 @@ def test_embeddings_equal_brute_force(spark, leaf):
 
 def test_token_files_round_trip(spark, docs, rows, nothing):
     path, out = public_tokenizers.path("word_bpe_49k.json"), store.fresh_path(spark, "tokens")
-    manifest = token_files.write(docs, path, out, sequence_length=64, range_bytes=20_000)
+    rows = [*rows, (50_000, "a<|endoftext|>b", "en", "s", 0, "e"), *((None, f"no id {i}", None, None, None, None) for i in range(40))]
+    clash = spark.createDataFrame(rows, DOCS).repartition(3).withColumn("part", F.lit("clash")).withColumn("n_tokens", F.lit("clash"))
+    manifest = token_files.write(clash, path, out, sequence_length=64, range_bytes=20_000)
     got = token_files.read_documents(spark, manifest, out).orderBy("start").collect()
-    encode = tokens.encoder(path)
+    encode = library("word_bpe_49k.json")
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
     at = 0
     for r, g in zip(ordered, got, strict=True):
