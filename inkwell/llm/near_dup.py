@@ -10,9 +10,11 @@ go to registers at random; a register keeps its first arrival, and a process end
 as its next arrival cannot be the first of any register.  Two texts agree in a register
 with probability J_P.  Bands of registers propose pairs and exact J_P verifies them.
 
-Within a bucket no pairs are listed.  Every text is compared with its bucket's smallest;
-what this links is joined to components.  Only buckets that still hold more than one
-component are gone through again: there, in blocks, texts of different components whose
+Within a bucket no pairs are listed.  Every text is compared with its bucket's smallest,
+beside which it is sorted, so that a task holds one of those and a batch of others; a
+smallest text with many others is dealt to several tasks.  What this links is joined to
+components.  Only buckets that still hold more than one component are gone through again:
+there, in blocks bounded in texts and in words, texts of different components whose
 signatures agree enough are verified too, where no link found before connects them.  So
 components are those of all links between texts that share a bucket, whatever its size.
 
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,7 +44,8 @@ REGISTERS, ROWS = 128, 5
 BANDS = REGISTERS // ROWS
 #: a pair of J_P = 0.8 agrees in this share of registers but for a chance below 1e-6
 AGREEMENT = 0.62
-BLOCK = 2048
+#: texts and words that a block, and texts that a smallest text's task, aim at
+BLOCK, BLOCK_WORDS = 2048, 4_000_000
 
 
 def shingles(t: Texts, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,48 +108,65 @@ def probability_jaccard(ka: np.ndarray, wa: np.ndarray, kb: np.ndarray, wb: np.n
 
 
 def _sign(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, digest, sig) of every row; a null text has no digest, a text without words no sig."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("sig", T.BinaryType())])
+    """(doc_id, text_key, digest, sig, words) of every row; a null text has no digest, a text without words no sig."""
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text_key", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("sig", T.BinaryType()), T.StructField("words", T.LongType())])
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             digests: list[bytes | None] = []
             sigs: list[bytes | None] = []
+            words_of: list[int] = []
             column = batch.column(2)
             for _, _, t in column_texts(column):
                 words, edge = t.word_hash if len(t.word_start) else np.zeros(0, U64), t.word_offset
                 digests += [hashlib.blake2b(words[edge[i] : edge[i + 1]].tobytes(), digest_size=16).digest() for i in range(t.n)]
                 sig = signatures(*shingles(t), t.n)
                 sigs += [s.tobytes() if k else None for s, k in zip(sig, t.n_words, strict=True)]
+                words_of += t.n_words.tolist()
             null = column.is_null().to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([None if z else d for d, z in zip(digests, null, strict=True)], pa.binary()), pa.array([None if z else s for s, z in zip(sigs, null, strict=True)], pa.binary())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([None if z else d for d, z in zip(digests, null, strict=True)], pa.binary()), pa.array([None if z else s for s, z in zip(sigs, null, strict=True)], pa.binary()), pa.array(words_of, pa.int64())], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) of nodes whose exact J_P reaches the threshold.
+def _verified(texts: DataFrame) -> DataFrame:
+    """Links (a, b) between a bucket's smallest node and its others whose exact J_P reaches the threshold.
 
-    ``texts`` is (node, text) of the nodes that any pair names.
+    ``texts`` is (node, centers, text): centers are the smallest nodes of the node's buckets.
     """
-    a = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    b = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    each = texts.select(F.explode("centers").alias("center"), "node", "text")
+    large = store.written(texts.select(F.explode("centers").alias("center")).groupBy("center").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK), "near-large-stars")
+    parts = F.expr(f"(coalesce(n, 1) + {BLOCK - 1}) div {BLOCK}")
+    own = F.col("node") == F.col("center")
+    among = F.when(own, F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(F.pmod(F.xxhash64("node"), parts)))
+    dealt = each.join(large, "center", "left").select("center", F.explode(among).alias("part"), (~own).alias("other"), "node", "text")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
+        center, held = None, (np.zeros(0, U64), np.zeros(0))
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
-            done = 0
-            for lo, hi, ta in column_texts(batch.column(2)):
-                split = _by_text(*shingles(ta), ta.n)
-                for lo2, hi2, tb in column_texts(batch.column(3).slice(lo, hi - lo)):
-                    other = _by_text(*shingles(tb), tb.n)
-                    for i in range(lo2, hi2):
-                        keep[lo + i] = probability_jaccard(*split[i], *other[i - lo2]) >= THRESHOLD
-                        done += 1
-            rows = pa.array(np.flatnonzero(keep))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
-
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+            centers, nodes, other = batch.column(0).to_pylist(), batch.column(3).to_pylist(), batch.column(2).to_pylist()
+            a: list[int] = []
+            b: list[int] = []
+            for lo, hi, t in column_texts(batch.column(4)):
+                sets = _by_text(*shingles(t), t.n)
+                i = lo
+                while i < hi:
+                    if not other[i]:
+                        center, held = centers[i], sets[i - lo]
+                        i += 1
+                        continue
+                    end = i
+                    while end < hi and other[end] and centers[end] == center:
+                        end += 1
+                    if end == i:
+                        raise RuntimeError("a bucket's smallest text is missing")
+                    near = np.flatnonzero(_alike(held, sets[i - lo : end - lo])) + i
+                    a += [center] * len(near)
+                    b += [nodes[k] for k in near]
+                    i = end
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return dealt.repartition("center", "part").sortWithinPartitions("center", "part", "other").mapInArrow(run, "a long, b long")
 
 
 def _by_text(doc: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -156,14 +176,19 @@ def _by_text(doc: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int) -> li
     return [(key[edge[i] : edge[i + 1]], weight[edge[i] : edge[i + 1]]) for i in range(n)]
 
 
+def _keys(id_: Column, key: Column) -> list[Column]:
+    """A row's id and text hash as columns that are never null, so that equal rows meet by plain equality."""
+    return [F.coalesce(id_, F.lit(0)).alias("__id"), id_.isNull().alias("__none"), key.alias("__key")]
+
+
 def _texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(node, text) of the wanted nodes, from each node's first row."""
-    place = nodes.join(wanted, "node").select("node", F.col("first.doc_id").alias("__id"), F.col("first.text_key").alias("__key"))
-    place = store.written(place, "wanted-texts")
-    full = docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__key"), "text")
+    """(node, centers, sig, text) of the wanted nodes (node, centers), from each node's first row."""
+    place = nodes.join(wanted, "node").select("node", "centers", "sig", *_keys(F.col("first.doc_id"), F.col("first.text_key")))
+    place = store.written(place, "near-wanted")
+    full = docs.select(*_keys(F.col("doc_id"), F.xxhash64("text")), "text")
     # by shuffle at every size: the wanted nodes are a share of all, so they outgrow a broadcast
-    found = full.join(place.hint("merge"), full["__id"].eqNullSafe(place["__id"]) & (full["__key"] == place["__key"]))
-    return store.cut(found.select("node", "text").dropDuplicates(["node"]))
+    found = full.join(place.hint("merge"), ["__id", "__none", "__key"]).dropDuplicates(["__id", "__none", "__key"])
+    return store.cut(found.select("node", "centers", "sig", "text"))
 
 
 def _alike(one: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
@@ -189,7 +214,7 @@ def _alike(one: tuple[np.ndarray, np.ndarray], others: list[tuple[np.ndarray, np
 
 
 def _cross_links(rows: DataFrame) -> DataFrame:
-    """Links (a, b) between different labels of a bucket block: a spanning forest of its pairs that verify.
+    """Links (a, b) of different labels of a bucket block: a spanning forest of its pairs that verify.
 
     A pair counts in the first band that it shares and if its signatures agree enough.  It
     is verified exactly unless links found before connect it already, as then it would change
@@ -220,7 +245,7 @@ def _cross_links(rows: DataFrame) -> DataFrame:
                 continue
             for j in near[_alike(sets[i], [sets[k] for k in near])].tolist():
                 if root[i] != root[j]:
-                    links.append((int(node[i]), int(node[j])))
+                    links.append((int(label[i]), int(label[j])))
                     root[root == root[j]] = root[i]
         a, b = zip(*links, strict=True) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -238,33 +263,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     signed = store.cut(_sign(narrow.select("doc_id", F.xxhash64("text").alias("text_key"), "text")))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
-    grouped = signed.where("digest IS NOT NULL").groupBy("digest").agg(first.alias("first"), F.max("sig").alias("sig"), F.count(F.lit(1)).alias("copies"))
+    grouped = signed.where("digest IS NOT NULL").groupBy("digest").agg(first.alias("first"), F.max("sig").alias("sig"), F.max("words").alias("words"), F.count(F.lit(1)).alias("copies"))
     nodes = store.cut(grouped.withColumn("node", F.monotonically_increasing_id()))
 
-    bands = nodes.where("sig IS NOT NULL").select("node", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"), "sig")
-    member = bands.select(F.xxhash64("band", F.expr(f"substring(sig, band * {2 * ROWS} + 1, {2 * ROWS})")).alias("key"), "band", "node")
-    shared = store.written(member.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most"), F.count(F.lit(1)).alias("n")).where("least < most").select("key", "least", "n"), "near-buckets")
+    bands = nodes.where("sig IS NOT NULL").select("node", "words", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"), "sig")
+    member = bands.select(F.xxhash64("band", F.expr(f"substring(sig, band * {2 * ROWS} + 1, {2 * ROWS})")).alias("key"), "band", "node", "words")
+    shared = store.written(member.groupBy("key").agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most").select("key", "least"), "near-buckets")
     within = store.written(member.join(shared, "key"), "near-members")
-    stars = store.cut(within.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
-    wanted = within.select("node").distinct()
-    texts = _texts_of(wanted, nodes, narrow)
-    links = store.cut(_verified(stars, texts))
-    labels = components(links)
+    # at most one smallest node for each band
+    texts = _texts_of(within.groupBy("node").agg(F.collect_set("least").alias("centers")), nodes, narrow)
+    labels = store.cut(components(store.cut(_verified(texts))))
 
     # buckets that hold more than one component yet
-    named = within.join(labels, "node", "left").select("key", "band", "node", "n", F.coalesce("label", "node").alias("label"))
-    mixed = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("key")
-    blocks = F.expr(f"(n + {BLOCK - 1}) div {BLOCK}")
-    mine = F.pmod(F.xxhash64("node"), blocks)
-    each = named.join(mixed, "key").withColumn("blocks", blocks).withColumn("mine", mine).withColumn("with", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    named = within.join(labels, "node", "left").select("key", "band", "node", "words", F.coalesce("label", "node").alias("label"))
+    sums = [F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"), F.sum("words").alias("total")]
+    blocks = F.expr(f"greatest((n + {BLOCK - 1}) div {BLOCK}, (total + {BLOCK_WORDS - 1}) div {BLOCK_WORDS})")
+    mixed = store.written(named.groupBy("key").agg(*sums).where("lo < hi").select("key", blocks.alias("blocks")), "near-mixed")
+    mine = F.pmod(F.xxhash64("node"), "blocks")
+    each = named.join(mixed, "key").withColumn("mine", mine).withColumn("with", F.explode(F.expr("sequence(0L, blocks - 1)")))
     low, high = F.least("mine", "with"), F.greatest("mine", "with")
     dealt = each.select("key", "band", "node", "label", (low * F.col("blocks") + high).alias("block"), F.when(F.col("mine") > F.col("with"), 1).otherwise(0).alias("half"))
-    rows = dealt.join(nodes.select("node", "sig"), "node").join(texts, "node")
-    more = store.cut(_cross_links(rows))
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    more = store.cut(_cross_links(dealt.join(texts.select("node", "sig", "text"), "node")))
 
     classed = nodes.join(labels, "node", "left").select("digest", "first", "copies", F.coalesce("label", "node").alias("label"))
+    if not more.isEmpty():
+        again = components(more).withColumnRenamed("label", "__to")
+        classed = classed.join(again.withColumnRenamed("node", "label"), "label", "left").select("digest", "first", "copies", F.coalesce("__to", "label").alias("label"))
     heads = classed.groupBy("label").agg(F.min("first").alias("head"), F.sum("copies").alias("class_size"))
     by_digest = classed.join(heads, "label").select("digest", "head", "class_size")
     out = signed.join(by_digest, "digest", "left")
@@ -275,8 +299,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of docs, whole, of which one of each class stays; of repeated rows one."""
-    kept = near_duplicates(docs, id_col, text).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    keyed = docs.withColumn("__id2", F.col(id_col).cast("long")).withColumn("__key2", F.xxhash64(text))
-    joined = keyed.join(kept, F.col("__id2").eqNullSafe(F.col("__id")) & (F.col("__key2") == F.col("__key")))
-    numbered = joined.dropDuplicates(["__id2", "__key2"])
-    return numbered.select(*(numbered[f"`{c}`"] for c in docs.columns))
+    kept = near_duplicates(docs, id_col, text).where("kept").select(*_keys(F.col("doc_id"), F.coalesce("text_key", F.lit(0)))).distinct()
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.struct(*columns).alias("__row"), *_keys(F.col(f"`{id_col}`").cast("long"), F.coalesce(F.xxhash64(F.col(f"`{text}`")), F.lit(0))))
+    one = keyed.join(kept, ["__id", "__none", "__key"]).dropDuplicates(["__id", "__none", "__key"])
+    return one.select(*(F.col("__row")[c].alias(c) for c in docs.columns))
