@@ -2,23 +2,27 @@
 
 A page is read once into text nodes, each with its path of block tags from the root.  Per
 path, the length of text and the number of punctuation marks are summed and divided by
-the path's nodes; text inside links counts against it.  The fused ratio is smoothed over the
-nodes in page order and thresholded; paths above it are content.  The deepest container that
-holds all content is the article, and every node of it that is not boilerplate by
-its tag, role or class is returned, so short paragraphs and headings stay.
+the path's nodes; text inside links counts against it, and so do class and id words of
+boilerplate, as a factor.  The fused ratio is smoothed over the nodes in page order and
+thresholded: nodes of paths above it are content.  Beside them stay, within the deepest
+container around all of them, headings before what stays and other short texts that are
+neither links nor marked.  What is boilerplate by its tag, its role or because it is hidden
+is never looked at.
+
+Time and memory grow with the page, not with its depth.
 
 Defined results: a null, empty or tagless page is a page of that text; rows of null id and
-repeated rows are pages like others; an empty table gives an empty result; other columns
-are not looked at.
+repeated rows are pages like others; very long and deeply nested pages are read whole; of
+equal ratios all count; an empty table gives an empty result; other columns are not looked at.
 """
 
 from __future__ import annotations
 
 import html as entities
+import math
 import re
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +38,16 @@ SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"
 BOILERPLATE = frozenset("script style noscript template title head nav footer aside form select option button textarea input iframe object canvas svg math dialog menu noembed noframes".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu submenu sidebar side-bar aside footer"
+    "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu submenu sidebar aside footer"
     " masthead cookie cookies consent gdpr notice notices alert popup modal overlay comment comments reply replies respond disqus discussion related recommended"
-    " newsletter subscribe subscription signup login breadcrumb breadcrumbs pagination pager share sharing social toolbar widget widgets disclaimer copyright hidden".split()
+    " newsletter subscribe subscription signup login breadcrumb breadcrumbs pagination pager share sharing social toolbar widget widgets disclaimer copyright".split()
 )
+#: words that change nothing beside one of WORDS
+BESIDE = frozenset("area bar block bottom box container footer form head header inner item items left link links list outer panel post posts right section side site slot stories text thread title top unit wrap wrapper".split())
+#: an anchor's name on these says what their text is about
+ANCHORED = frozenset("section article h1 h2 h3 h4 h5 h6 p dt li".split())
+STRONG = frozenset("comment comments respond disqus sidebar cookie cookies newsletter".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTENT = frozenset("article main".split())
 CONTAINERS = CONTENT | frozenset("html body section div center td".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？·\"'«»“”()¿¡-]")
@@ -50,49 +60,71 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-_NAME = re.compile(r"[a-z0-9]+(?:[-_][a-z0-9]+)*")
 SPACE = re.compile(r"\s+")
-LAMBDA = 0.5
+LAMBDA, MARKED, LINKED = 0.5, 0.05, 1 / 3
 
 
 @dataclass(slots=True)
 class Node:
-    """A block's text: the elements around it (outermost first), its text and how much of that lies in links."""
+    """A block's text: the element around it, its path, its text and how much of that lies in links."""
 
-    around: tuple[int, ...]
-    path: str
+    element: int
+    path: int
     text: str
     linked: int
 
 
-def _marked(tag: str, rest: str) -> bool:
-    """Whether attributes say that an element is boilerplate."""
+@dataclass(slots=True)
+class Page:
+    """Nodes in page order; per element (0 is the page itself) its tag, parent and mark; per path whether it holds a mark and ends in a heading."""
+
+    nodes: list[Node] = field(default_factory=list)
+    tags: list[str] = field(default_factory=lambda: [""])
+    parents: list[int] = field(default_factory=lambda: [0])
+    marks: list[bool] = field(default_factory=lambda: [False])
+    marked_path: list[bool] = field(default_factory=lambda: [False])
+    heading_path: list[bool] = field(default_factory=lambda: [False])
+
+
+def _words_mark(value: str) -> bool:
+    """Whether a class or id has a word that is boilerplate, alone or with words that change nothing."""
+    for word in value.split():
+        parts = [x for x in re.split("[-_]+", word) if x and not x.isdigit()]
+        if not WORDS.isdisjoint(parts) and all(x in WORDS or x in BESIDE for x in parts):
+            return True
+    return False
+
+
+def _read(tag: str, rest: str) -> tuple[bool, bool, str]:
+    """(hidden or of a boilerplate role, marked by its words, first class) of an element's attributes."""
     if "=" not in rest and "hidden" not in rest:
-        return False
+        return False, False, ""
+    hidden = marked = False
+    first = ""
     for m in _ATTRIBUTE.finditer(rest):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name in ("class", "id"):
-            for word in _NAME.findall(value):
-                if word.startswith(("no-", "has-", "with-", "without-")):
-                    continue
-                if word in WORDS or (tag not in CONTENT and not WORDS.isdisjoint(re.split("[-_]", word))):
-                    return True
-        elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        elif name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+        if name == "class":
+            marked |= _words_mark(value)
+            first = next(iter(value.split()), "")
+        elif name == "id":
+            marked |= value in STRONG if tag in ANCHORED else _words_mark(value)
+        elif name == "role" and value in ROLES or name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
+            hidden = True
+    return hidden, marked, first
 
 
-def parse(page: str) -> tuple[list[Node], list[str]]:
-    """(text nodes outside boilerplate in page order, tag of each element)."""
-    stack: list[tuple[str, int]] = []
+def parse(page: str) -> Page:
+    """Text nodes outside boilerplate, in page order."""
+    out = Page()
+    stack: list[str] = []
+    own: list[tuple[int, int]] = [(0, 0)]  # (element, path) of the blocks open, the page first
+    held_by: list[int] = []  # per open element the number of blocks open with it
+    open_tags: dict[str, int] = {}
+    flags: list[bool] = []  # of inline elements that are marked
     drop: list[int] = []  # depths of the stack at which boilerplate began
-    tags: list[str] = []
-    nodes: list[Node] = []
+    paths: dict[tuple[int, str], int] = {}
     held: list[str] = []
-    linked = links = 0
-    content = 0
+    linked = links = content = 0
 
     def close_block() -> None:
         nonlocal linked
@@ -100,18 +132,20 @@ def parse(page: str) -> tuple[list[Node], list[str]]:
             text = SPACE.sub(" ", entities.unescape("".join(held))).strip()
             held.clear()
             if text:
-                blocks = [(t, e) for t, e in stack if t not in INLINE]
-                nodes.append(Node(tuple(e for _, e in blocks), "/".join(t for t, _ in blocks), text, min(linked, len(text))))
+                out.nodes.append(Node(*own[-1], text, min(linked, len(text))))
         linked = 0
 
     def pop_to(depth: int) -> None:
         nonlocal links, content
-        if any(t not in INLINE for t, _ in stack[depth:]):
+        if any(t not in INLINE for t in stack[depth:]):
             close_block()
-        for t, _ in stack[depth:]:
-            links -= t == "a"
+        for t, m in zip(stack[depth:], flags[depth:], strict=True):
+            open_tags[t] -= 1
+            links -= t == "a" or m
             content -= t in CONTENT
-        del stack[depth:]
+        del stack[depth:], flags[depth:]
+        if len(held_by) > depth:
+            del own[held_by[depth] :], held_by[depth:]
         while drop and drop[-1] >= depth:
             drop.pop()
 
@@ -134,9 +168,8 @@ def parse(page: str) -> tuple[list[Node], list[str]]:
         if not tag:
             continue
         if m[1] or m[4]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if depth is not None:
-                pop_to(depth)
+            if open_tags.get(tag):
+                pop_to(next(i for i in range(len(stack) - 1, -1, -1) if stack[i] == tag))
             elif tag in ("p", "br") and not drop:
                 close_block()
             continue
@@ -150,83 +183,132 @@ def parse(page: str) -> tuple[list[Node], list[str]]:
             at = end.end() if end else n
             continue
         over = SIBLINGS.get(tag) or ({"p"} if tag in CLOSES_P else None)
-        if over:
+        if over and any(map(open_tags.get, over)):
             scope = SCOPES["p" if over == {"p"} else tag]
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in over:
+                if stack[i] in over:
                     pop_to(i)
                     if over == {"p"} or tag in ("li", "dt", "dd"):
                         break
-                elif stack[i][0] in scope:
+                elif stack[i] in scope:
                     break
-        if tag not in INLINE and not drop:
+        inline = tag in INLINE
+        if not inline and not drop:
             close_block()
-        bad = tag in BOILERPLATE or (tag == "header" and not content) or _marked(tag, rest)
+        hidden, marked, first = _read(tag, rest)
+        bad = hidden or tag in BOILERPLATE or (tag == "header" and not content)
         if tag in ("html", "body"):
-            bad = False
-        stack.append((tag, len(tags)))
-        tags.append(tag)
-        links += tag == "a"
+            bad = marked = False
+        stack.append(tag)
+        open_tags[tag] = open_tags.get(tag, 0) + 1
+        flags.append(inline and marked and tag != "a")
+        held_by.append(len(own))
+        if not inline:
+            above, path = own[-1]
+            label = f"{tag}.{first}" if first and tag in CONTAINERS else tag
+            key = (path, label + "!" * marked)
+            if key not in paths:
+                paths[key] = len(out.marked_path)
+                out.marked_path.append(marked or out.marked_path[path])
+                out.heading_path.append(tag in HEADINGS)
+            own.append((len(out.tags), paths[key]))
+            out.tags.append(tag)
+            out.parents.append(above)
+            out.marks.append(marked)
+        links += tag == "a" or flags[-1]
         content += tag in CONTENT
         if bad:
             drop.append(len(stack) - 1)
     pop_to(0)
     close_block()
-    return nodes, tags
+    return out
 
 
-def path_scores(nodes: list[Node]) -> np.ndarray:
-    """Smoothed fused ratio of each node: its path's text and punctuation per node, less what links hold."""
-    sums: dict[str, list[float]] = {}
+def path_ratios(page: Page, nodes: list[Node]) -> dict[int, tuple[float, float]]:
+    """Per path of the nodes its fused ratio, text and punctuation per node less what links hold, and the share that links hold."""
+    sums: dict[int, list[float]] = {}
     for x in nodes:
         s = sums.setdefault(x.path, [0.0, 0.0, 0.0, 0.0])
         s[0] += len(x.text)
         s[1] += len(PUNCTUATION.findall(x.text))
         s[2] += x.linked
         s[3] += 1
-    fused = {p: (chars / k) * np.log1p(marks / k) * (1 - links / chars) for p, (chars, marks, links, k) in sums.items()}
-    raw = np.array([fused[x.path] for x in nodes])
-    if len(raw) < 3:
-        return raw
-    kernel = np.exp(-0.5 * np.arange(-2, 3) ** 2)
-    padded = np.pad(raw, 2, mode="edge")
-    return np.convolve(padded, kernel / kernel.sum(), mode="valid")
+    return {p: (chars / k * math.log1p(marks / k) * (1 - links / chars) * (MARKED if page.marked_path[p] else 1.0), links / chars) for p, (chars, marks, links, k) in sums.items()}
+
+
+def held(page: Page, elements: Iterable[int]) -> list[int]:
+    """Per element how many of the given ones lie in it, itself included."""
+    out = [0] * len(page.tags)
+    for e in elements:
+        out[e] += 1
+    # elements are numbered in page order, so children come after their parents
+    for e in range(len(page.tags) - 1, 0, -1):
+        out[page.parents[e]] += out[e]
+    return out
+
+
+def content_paths(page: Page, nodes: list[Node]) -> set[int]:
+    """The paths whose ratio, smoothed over the nodes, passes the threshold.
+
+    Smoothing lifts neither marked paths nor those of links, nor what lies in a container
+    without any path that passes by itself.
+    """
+    ratios = path_ratios(page, nodes)
+    raw = np.array([ratios[x.path][0] for x in nodes])
+    smooth = raw
+    if len(raw) > 2:
+        kernel = np.exp(-0.5 * np.arange(-2, 3) ** 2)
+        smooth = np.convolve(np.pad(raw, 2, mode="edge"), kernel / kernel.sum(), mode="valid")
+    least = min(LAMBDA * float(smooth.std()), float(raw.max()))
+    strong = held(page, (x.element for x, r in zip(nodes, raw.tolist(), strict=True) if r >= least))
+    around = [0] * len(page.tags)
+    for e in range(1, len(page.tags)):
+        around[e] = e if page.tags[e] in CONTAINERS else around[page.parents[e]]
+    out = set()
+    for x, r, s in zip(nodes, raw.tolist(), smooth.tolist(), strict=True):
+        lifted = not page.marked_path[x.path] and ratios[x.path][1] < LINKED and strong[around[x.element]]
+        if max(r, s if lifted else 0.0) >= least:
+            out.add(x.path)
+    return out
 
 
-def content_nodes(nodes: list[Node]) -> list[Node]:
-    """The nodes of the deepest container around all nodes whose paths pass the threshold; all nodes if there is none."""
+def content_nodes(page: Page, nodes: list[Node]) -> list[Node]:
+    """Nodes of content paths, and within the deepest container around them headings before what stays and short texts."""
     if not nodes:
         return []
-    score = path_scores(nodes)
-    best: dict[str, float] = {}
-    for x, s in zip(nodes, score, strict=True):
-        best[x.path] = max(best.get(x.path, 0.0), float(s))
-    least = min(LAMBDA * float(score.std()), float(score.max()))
-    chosen = [x for x in nodes if best[x.path] >= least]
-    shared = set(chosen[0].around).intersection(*(x.around for x in chosen))
-    held = Counter(e for x in nodes for e in x.around)
+    paths = content_paths(page, nodes)
+    there, all_there = held(page, (x.element for x in nodes if x.path in paths)), held(page, (x.element for x in nodes))
     # a block of a single text is no home, unless marked as content: its heading lies beside it
-    # elements are numbered in page order: of a chain of elements the innermost has the largest number
-    home = max((e for e, tag in zip(chosen[0].around, chosen[0].path.split("/"), strict=False) if e in shared and (tag in CONTENT or (tag in CONTAINERS and held[e] > 1))), default=None)
-    return nodes if home is None else [x for x in nodes if home in x.around]
+    home = next((e for e in range(len(page.tags) - 1, 0, -1) if there[e] == there[0] and (page.tags[e] in CONTENT or (page.tags[e] in CONTAINERS and all_there[e] > 1))), 0)
+    within, clean = [False] * len(page.tags), [False] * len(page.tags)
+    for e in range(len(page.tags)):
+        up = page.parents[e]
+        within[e] = e == home or (e > 0 and within[up])
+        clean[e] = e == home or (e > 0 and clean[up] and not page.marks[e])
+    out: list[Node] = []
+    follows = False  # whether what comes next, headings aside, stays
+    for x in reversed(nodes):
+        if x.path in paths:
+            stays = follows = True
+        elif page.heading_path[x.path]:
+            stays = follows and within[x.element] and clean[x.element]
+        else:
+            stays = follows = within[x.element] and clean[x.element] and x.linked < LINKED * len(x.text)
+        if stays:
+            out.append(x)
+    return out[::-1]
 
 
-def main_text(page: str | None) -> str:
-    """The page's main text, its blocks joined by one space."""
-    if not page:
+def main_text(html: str | None) -> str:
+    """The page's main text, its blocks joined by one space; of a page with marked articles what lies in them."""
+    if not html:
         return ""
-    nodes, tags = parse(page)
-    inside = [x for x in nodes if any(tags[e] in CONTENT for e in x.around)]
-    return " ".join(x.text for x in (content_nodes_in(inside, tags) if inside else content_nodes(nodes)))
-
-
-def content_nodes_in(nodes: list[Node], tags: list[str]) -> list[Node]:
-    """With marked articles, those that hold content: every node of an article whose paths pass the threshold."""
-    chosen = content_nodes(nodes)
-    homes = {max(e for e in x.around if tags[e] in CONTENT) for x in chosen}
-    outer = {min(e for e in x.around if tags[e] in CONTENT) for x in chosen}
-    homes = outer if len(homes) > len(outer) else homes
-    return [x for x in nodes if not homes.isdisjoint(x.around)]
+    page = parse(html)
+    marked = [False] * len(page.tags)
+    for e in range(1, len(page.tags)):
+        marked[e] = page.tags[e] in CONTENT or marked[page.parents[e]]
+    inside = [x for x in page.nodes if marked[x.element]]
+    return " ".join(x.text for x in content_nodes(page, inside or page.nodes))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -178,6 +178,54 @@ def test_html_keeps_what_lies_beside_the_longest_block():
     assert html_extract.main_text(f"<body><div><h1>Title</h1><p>A lead, of some length.</p><div>{body}</div><ul><li>One</ul></div><nav>Home</nav></body>") == f"Title A lead, of some length. {flat} {flat} One"
 
 
+LONG_TEXT = "A sentence, with marks and more. " * 20
+FLAT = " ".join(LONG_TEXT.split())
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f"<article><h1>T</h1><p>{LONG_TEXT}</p><section id='discussion'><p>{LONG_TEXT}</p></section></article>", f"T {FLAT} {FLAT}"),
+        (f"<article><p>{LONG_TEXT}</p><h2 id='related-work'>Related work</h2><p class='ad-hoc'>An ad hoc note, kept.</p><p>{LONG_TEXT}</p></article>", f"{FLAT} Related work An ad hoc note, kept. {FLAT}"),
+        (f"<article><p>{LONG_TEXT}</p><div class='x1'><b>SHARE</b> <a href='#'>ONE</a><a href='#'>TWO</a></div><p>{LONG_TEXT}</p></article>", f"{FLAT} {FLAT}"),
+        (f"<body><div class='q1'><a href='/'>Home</a> <a href='/n'>News</a></div><div class='q2'><h1>T</h1><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p><p>End.</p></div><div class='q3'>Site 2024</div></body>", f"T {FLAT} {FLAT} End."),
+        (f"<body class='sidebar-left'><div class='content comments-enabled'><h1>T</h1><p>{LONG_TEXT}</p><p>{LONG_TEXT}</p></div><div class='comments'><p>Nice, thanks! Great, loved it.</p></div></body>", f"T {FLAT} {FLAT}"),
+        (f"<main><p>{LONG_TEXT}</p><div class='ad'>Buy this, now. It is cheap, really.</div><h3>Also read</h3><ul><li><a href='/1'>One thing</a><li><a href='/2'>Another</a></ul></main>", FLAT),
+    ],
+)
+def test_html_nodes_are_chosen_by_their_paths(page, want):
+    assert html_extract.main_text(page) == want
+
+
+def test_html_deep_pages_cost_no_more_than_flat_ones():
+    import time
+
+    began = time.process_time()
+    assert html_extract.main_text("<div>x" * 50_000).count("x") == 50_000
+    assert html_extract.main_text("<div><b>" * 50_000 + "x" + "</p></b>" * 50_000) == "x"
+    assert time.process_time() - began < 30
+
+
+def test_html_path_ratios_equal_brute_force():
+    page = html_extract.parse(f"<body><div class='a'><p>{LONG_TEXT}</p><p>One, <a href='#'>two.</a></p></div><div class='ads'><p>Buy, now.</p></div><ul><li><a href='#'>x</a></ul></body>")
+    ratios = html_extract.path_ratios(page, page.nodes)
+    by_path = collections.defaultdict(list)
+    for x in page.nodes:
+        by_path[x.path].append(x)
+    assert [len(v) for v in by_path.values()] == [2, 1, 1]
+    want = []
+    for members, factor, linked in zip(by_path.values(), (1, html_extract.MARKED, 1), (4, 0, 1), strict=True):
+        chars = sum(len(x.text) for x in members)
+        marks = sum(c in ",." for x in members for c in x.text)
+        want.append((chars / len(members) * np.log(1 + marks / len(members)) * (chars - linked) / chars * factor, linked / chars))
+    assert np.allclose([ratios[p] for p in by_path], want)
+    kernel = [np.exp(-k * k / 2) for k in range(-2, 3)]
+    raw = [ratios[x.path][0] for x in page.nodes]
+    smooth = [sum(w * raw[min(max(i + k, 0), len(raw) - 1)] for w, k in zip(kernel, range(-2, 3), strict=True)) / sum(kernel) for i in range(len(raw))]
+    passed = {x.path for x, r, s in zip(page.nodes, raw, smooth, strict=True) if (r if ratios[x.path][1] >= 1 / 3 or x.path == page.nodes[2].path else s) >= 0.5 * np.std(smooth)}
+    assert html_extract.content_paths(page, page.nodes) == passed == {page.nodes[0].path}
+
+
 def brute_classes(rows):
     """Class of each row by all pairs and exact J_P."""
     bags = []
