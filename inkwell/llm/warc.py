@@ -34,10 +34,14 @@ LEAST_SHARED = 100
 
 
 def revisits(pages: DataFrame, id_col: str, payload: str, least: int = LEAST_SHARED) -> DataFrame:
-    """(page_id, refers_to) of the pages whose payload an earlier page, by id, has already."""
+    """(page_id, digest, refers_to) of the pages whose payload an earlier page, by id, has already.
+
+    Rows of equal id with different payloads are pages of their own; those with equal ones
+    are responses alike.
+    """
     slim = pages.select(F.col(id_col).cast("long").alias("page_id"), F.sha2(F.coalesce(payload, F.lit("")), 256).alias("digest"), F.octet_length(payload).alias("n")).where(f"n >= {least}")
     shared = slim.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("refers_to < last").select("digest", "refers_to")
-    return slim.join(shared, "digest").where("page_id <> refers_to").select("page_id", "refers_to").distinct()
+    return slim.join(shared, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
 
 
 def _headers(*lines: tuple[str, Column]) -> Column:
@@ -68,8 +72,8 @@ def record(page_id: Column, url: Column, payload: Column, refers_to: Column) ->
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url: str = "url", payload: str = "html", least: int = LEAST_SHARED) -> None:
     """One record per row under ``path``, in as many archives as pages has partitions; payloads are not shuffled while the revisits' table is small enough to broadcast."""
     seen = store.written(revisits(pages, id_col, payload, least), "revisits")
-    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(payload).alias("payload"))
-    joined = rows.join(seen, "page_id", "left")
+    rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url).alias("url"), F.col(payload).alias("payload"), F.sha2(F.coalesce(payload, F.lit("")), 256).alias("digest"))
+    joined = rows.join(seen, ["page_id", "digest"], "left")
     joined.select(record(F.col("page_id"), F.col("url"), F.col("payload"), F.col("refers_to")).alias("value")).write.option("lineSep", "\r\n").text(path)
 
 
@@ -129,8 +133,14 @@ def _exits(chain: DataFrame) -> DataFrame:
 
 
 def _entries(exits: DataFrame) -> DataFrame:
-    """(file, split, at) where the chain from each file's start enters a split, by pointer doubling."""
+    """(file, split, at) where the chain from each file's start enters a split, by pointer doubling.
+
+    Only candidates that some split's chains lead to are pointers, and the file's start: a
+    few for each split, whatever its candidates.
+    """
     jump = exits.select("file", "at", F.col("exit").alias("to")).where("to IS NOT NULL")
+    targets = jump.select("file", F.col("to").alias("at")).distinct()
+    jump = store.cut(jump.where("at <> 0").join(targets, ["file", "at"], "left_semi").union(jump.where("at = 0")))
     places = exits.select("file", "split", "at")
     reached = store.cut(exits.where("at = 0").select("file", "at"))
     known = reached.count()
