@@ -33,9 +33,9 @@ def assign(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", source: st
     order = [F.col(id_col), *(F.col(t) for t in ties)]
     shuffled = named.join(sizes, "__source").withColumn("__key", ranks.hash_key(id_col, seed))
     ranked = ranks.running(shuffled, "__key", order, ["__source"], {"__rank": F.lit(1)}, f"((__n + {slot_rows - 1}) div {slot_rows})")
-    spread = store.cut(ranked.withColumn("__share", (F.col("__rank") + F.lit(0.5)) / F.col("__n")))
-    tie = [ranks.hash_key("__source", seed), F.col("__source"), *order]
-    placed = ranks.running(spread, "__share", tie, [], {"__place": F.lit(1)}, max(1, -(-total // slot_rows)))
+    spread = store.cut(ranked.withColumn("__share", (F.col("__rank") + F.lit(0.5)) / F.col("__n")).withColumn("__turn", ranks.hash_key("__source", seed)))
+    # sources of few rows share their fractions, so their hash deals the rows of one
+    placed = ranks.running(spread, "__share", [F.col("__source"), *order], [], {"__place": F.lit(1)}, max(1, -(-total // slot_rows)), "__turn", slot_rows)
     # the first place of shard s is ceil(s * total / shards)
     first = F.expr(f"(__shard * {total} + {shards - 1}) div {shards}")
     exact = placed.withColumn("__shard", F.expr(f"(__place * {shards}) div {max(total, 1)}"))
