@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -15,13 +14,13 @@ from .textkit import Texts, column_texts
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one of this machine's own only where that is unset (tests)."""
+    """The folder named by spark.checkpoint.dir, or set as the context's checkpoint folder; an error without either, as executors need to share it."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if named is None:
         named = context.getCheckpointDir()
     if named is None:
-        named = tempfile.mkdtemp(prefix="inkwell-")
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named.rstrip("/")

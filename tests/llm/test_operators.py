@@ -315,6 +315,19 @@ def test_shards(docs, rows, nothing):
     assert sharding.assign(nothing, 4).count() == 0
 
 
+def test_shards_of_many_small_sources(spark):
+    rows = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, F.concat(F.lit("s"), "id")).when(F.col("id") < 4000, F.concat(F.lit("t"), F.floor(F.col("id") / 2))).otherwise("big").alias("source"))
+    got = sharding.assign(rows, 4, slot_rows=100).collect()
+    assert sorted((r.shard, r.slot) for r in got) == [(s, k) for s in range(4) for k in range(1500)]
+    big = collections.Counter(r.shard for r in got if r.source == "big")
+    assert max(big.values()) - min(big.values()) <= 2
+    again = sharding.assign(rows.repartition(5), 4, slot_rows=100_000).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+    alike = rows.withColumn("share", F.lit(0.5)).withColumn("turn", sharding.ranks.hash_key("doc_id", 1))
+    sizes = sharding.ranks.dealt(alike, "share", [], 60, "turn", 100).groupBy("__slot", "__value", "__part").count().collect()
+    assert len(sizes) == 60 and max(r["count"] for r in sizes) <= 200
+
+
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
     order = sorted((s for s in sizes if s is not None)) + [s for s in sizes if s is None]
     weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
@@ -370,6 +383,18 @@ def test_warc_round_trip_with_magic_in_payloads(spark):
         assert sorted(got, key=key) == sorted(want, key=key)
 
 
+def test_warc_rows_of_one_id_keep_their_payloads(spark):
+    pages = [(1, "u", "A" * 200), (5, "u", "A" * 200), (5, "u", "B" * 200), (None, "u", "A" * 200), (7, "u", "B" * 200), (7, "u", "C" * 99)]
+    path = store.fresh_path(spark, "archive")
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string"), path)
+    got = warc.resolved(warc.read(spark, path)).collect()
+    sha = {c: hashlib.sha256((c * n).encode()).hexdigest() for c, n in (("A", 200), ("B", 200), ("C", 99))}
+    want = [(1, 200, sha["A"], "response", None), (5, 200, sha["A"], "revisit", 1), (5, 200, sha["B"], "response", None), (None, 200, sha["A"], "response", None), (7, 200, sha["B"], "revisit", 5), (7, 99, sha["C"], "response", None)]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    warc.write(spark.createDataFrame([], "page_id long, url string, html string"), path + "-none")
+    assert warc.resolved(warc.read(spark, path + "-none")).count() == 0
+
+
 def test_classifier_held_out(spark, nothing):
     rng = np.random.default_rng(6)
     voc = vocabulary(rng, 300)
