@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -14,13 +15,15 @@ from .textkit import Texts, column_texts
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir, or set as the context's checkpoint folder; an error without either, as executors need to share it."""
+    """The folder named by spark.checkpoint.dir, or set as the context's checkpoint folder; one of this machine's own only where both are unset and all runs on this machine (tests)."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     if named is None:
         named = context.getCheckpointDir()
     if named is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="inkwell-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named.rstrip("/")
