@@ -1,10 +1,10 @@
-"""Similarities that need Python: word edit distance of long arrays, matcher ratios."""
+"""Similarities that need Python: whole-text and word edit distances, multisets of tokens, matcher ratios."""
 
 from __future__ import annotations
 
+from collections import Counter
 from difflib import SequenceMatcher
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,24 +12,45 @@ from pyspark.sql import types as T
 
 
 def edit_distance(a, b) -> int:
-    """Edit distance of two sequences, a row of the matrix at a time.
+    """Edit distance of two sequences: a column of the matrix is two whole numbers of one bit a row, so a step costs a few operations on them.
 
-    Insertions along a row are a running minimum of (value - place), so a row takes a few
-    array operations.
+    What both begin or end with alike is left out first, which changes no distance.
     """
+    lo, most = 0, min(len(a), len(b))
+    while lo < most and a[lo] == b[lo]:
+        lo += 1
+    hi = 0
+    while hi < most - lo and a[-1 - hi] == b[-1 - hi]:
+        hi += 1
+    a, b = a[lo : len(a) - hi], b[lo : len(b) - hi]
     if len(a) < len(b):
         a, b = b, a
-    codes: dict = {}
-    x = [codes.setdefault(t, len(codes)) for t in a]
-    y = np.array([codes.setdefault(t, len(codes)) for t in b], np.int64)
-    place = np.arange(len(y) + 1)
-    row = place.copy()
-    for i, t in enumerate(x, 1):
-        new = np.empty_like(row)
-        new[0] = i
-        np.minimum(row[:-1] + (y != t), row[1:] + 1, out=new[1:])
-        row = np.minimum.accumulate(new - place) + place
-    return int(row[-1])
+    n = len(b)
+    if not n:
+        return len(a)
+    places: dict = {}
+    for k, t in enumerate(b):
+        places.setdefault(t, []).append(k)
+    rows = {}
+    for t, at in places.items():
+        raw = bytearray(n // 8 + 1)
+        for k in at:
+            raw[k >> 3] |= 1 << (k & 7)
+        rows[t] = int.from_bytes(raw, "little")
+    every, last = (1 << n) - 1, 1 << (n - 1)
+    # where the column rises and falls from one row to the next
+    up, down, distance = every, 0, n
+    for t in a:
+        same = rows.get(t, 0)
+        diagonal = (((same & up) + up) ^ up) | same | down
+        right_up = down | (every & ~(diagonal | up))
+        right_down = up & diagonal
+        distance += (right_up & last > 0) - (right_down & last > 0)
+        right_up = (right_up << 1 | 1) & every
+        right_down = right_down << 1 & every
+        up = right_down | (every & ~(diagonal | right_up))
+        down = right_up & diagonal
+    return distance
 
 
 @F.pandas_udf(T.IntegerType())
@@ -38,10 +59,28 @@ def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def array_distance(a: Column, b: Column) -> Column:
-    """Edit distance between two string arrays."""
+    """Edit distance between two string arrays, or two whole strings in characters."""
     return _distance(a, b)
 
 
+@F.pandas_udf(T.StructType([T.StructField("both", T.LongType()), T.StructField("either", T.LongType())]))
+def _overlap(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    out = []
+    for x, y in zip(a, b, strict=True):
+        p, q = (Counter(t.split(" ")) if t else Counter() for t in (x, y))
+        both = (p & q).total()
+        out.append((both, p.total() + q.total() - both))
+    return pd.DataFrame(out, columns=["both", "either"])
+
+
+def multiset_overlap(a: Column, b: Column) -> Column:
+    """(both, either): how many tokens two arrays share and have together, repeats counted.  Tokens hold no space.
+
+    Both arrays lie in one row, so nothing is shuffled.
+    """
+    return _overlap(F.array_join(a, " "), F.array_join(b, " "))
+
+
 @F.pandas_udf(T.DoubleType())
 def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() if x is not None and y is not None else None for x, y in zip(a, b, strict=True)], dtype="float64")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics
 from ..functions import text as T
+from ..operators.similarity import array_distance, multiset_overlap
 
 VARIANTS = 4
 KINDS = 7
@@ -50,26 +51,14 @@ def kind_of(doc_id: Column, idx: Column) -> Column:
 def scored(docs: DataFrame, n: int = VARIANTS) -> DataFrame:
     """(doc_id, source, idx, cer, jacc_multi, ratios_mean) of every cell, over whole texts.
 
-    Edit distances are taken by units of a sentence, or 30 words of one, and summed: a document's cost is then
-    near its length times a unit's, not its length squared, and long documents are
-    spread over tasks.
+    All three are functions of a cell's two texts, which lie in one row: a pass over the
+    documents, and no shuffle.
     """
     refs = spread(docs.select("doc_id", "source", "text")).select("doc_id", "source", T.fold_ascii("text").alias("ref"))
     cells = grid(refs, n).withColumn("kind", kind_of(F.col("doc_id"), F.col("idx")))
     whole = cells.withColumn("hyp", damage(F.col("ref"), F.col("kind")))
-
-    pieces = refs.select("doc_id", F.explode(T.short_units("ref")).alias("s"))
-    units = grid(pieces, n).withColumn("kind", kind_of(F.col("doc_id"), F.col("idx")))
     norm = lambda c: F.lower(T.strip(T.collapse(c)))
-    units = units.select("doc_id", "idx", norm(F.col("s")).alias("r"), norm(damage(F.col("s"), F.col("kind"))).alias("h"))
-    errors = units.groupBy("doc_id", "idx").agg((F.sum(metrics.edit_distance("r", "h")) / F.greatest(F.sum(F.length("r")), F.lit(1))).alias("cer"))
-
-    def counts(side: str, a: int, b: int) -> DataFrame:
-        return whole.select("doc_id", "idx", F.explode(T.words(side)).alias("token"), F.lit(a).alias("r"), F.lit(b).alias("h"))
-
-    tokens = counts("ref", 1, 0).unionByName(counts("hyp", 0, 1)).groupBy("doc_id", "idx", "token").agg(F.sum("r").alias("r"), F.sum("h").alias("h"))
-    shared = tokens.groupBy("doc_id", "idx").agg((F.sum(F.least("r", "h")) / F.sum(F.greatest("r", "h"))).alias("jacc_multi"))
-
-    ratio = whole.select("doc_id", "source", "idx", metrics.ratios_mean(metrics.structure("hyp"), metrics.structure("ref")).alias("ratios_mean"))
-    joined = ratio.join(errors, ["doc_id", "idx"], "left").join(shared, ["doc_id", "idx"], "left")
-    return joined.select("doc_id", "source", "idx", F.coalesce("cer", F.lit(0.0)).alias("cer"), F.coalesce("jacc_multi", F.lit(1.0)).alias("jacc_multi"), "ratios_mean")
+    both = whole.select("doc_id", "source", "idx", norm("ref").alias("r"), norm("hyp").alias("h"), T.words("ref").alias("rw"), T.words("hyp").alias("hw"), metrics.ratios_mean(metrics.structure("hyp"), metrics.structure("ref")).alias("ratios_mean"))
+    rated = both.select("doc_id", "source", "idx", F.length("r").alias("n"), array_distance(F.col("r"), F.col("h")).alias("d"), multiset_overlap(F.col("rw"), F.col("hw")).alias("o"), "ratios_mean")
+    cer = F.col("d") / F.greatest(F.col("n"), F.lit(1))
+    return rated.select("doc_id", "source", "idx", F.coalesce(cer, F.lit(0.0)).alias("cer"), F.coalesce(F.try_divide("o.both", "o.either"), F.lit(1.0)).alias("jacc_multi"), "ratios_mean")

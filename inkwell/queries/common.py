@@ -52,9 +52,9 @@ def s_split_after(x: str) -> str:
     return f"string_split(regexp_replace({x}, {q(T.SENTENCE_END)}, '\\1' || chr(1), 'g'), chr(1))"
 
 
-def s_short_units(x: str, most_words: int = 30) -> str:
-    every = f"((?:{T.NOT_WS}+{T.WS}+){{{most_words}}})"
-    return f"flatten(list_transform({s_split_after(x)}, lambda s: string_split(regexp_replace(s, {q(every)}, '\\1' || chr(1), 'g'), chr(1))))"
+def s_distance(a: str, b: str) -> str:
+    """Edit distance of ASCII texts; equal ones and beginnings need no matrix."""
+    return f"(CASE WHEN {a} = {b} THEN 0 WHEN starts_with({a}, {b}) THEN length({a}) - length({b}) ELSE levenshtein({a}, {b}) END)"
 
 
 def s_lines(x: str) -> str:

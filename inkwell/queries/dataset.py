@@ -10,16 +10,24 @@ from ..plans import variants as V
 from ..registry import register
 from .common import docs, q, s_pairs, s_replace, s_strip, table
 
-# a training line per document: some without label or path, some long, some with characters outside the set
-_ROWS = "(SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE 'crops/' || doc_id || '.png' END AS path, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN text[1:100] WHEN 2 THEN '√' || text[1:20] ELSE text[1:78] || CASE WHEN doc_id % 3 = 0 THEN '…' ELSE '' END END AS label FROM documents)"
+# training lines of whole texts: a label per 78 characters, or 100 in documents that pass the limit; some without path, some
+# with characters outside the set, and an empty one at the end of some
+_WIDTH = "CASE WHEN doc_id % 7 = 1 THEN 100 ELSE 78 END"
+_ROWS = f"""(SELECT doc_id, k, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE 'crops/' || doc_id || '.png' END AS path, CASE doc_id % 7 WHEN 1 THEN piece WHEN 2 THEN CASE WHEN k % 4 = 0 THEN '√' ELSE '' END || piece ELSE piece || CASE WHEN (doc_id + k) % 9 = 0 THEN '…' ELSE '' END END AS label
+  FROM (SELECT doc_id, k, text[1 + k * {_WIDTH}:(k + 1) * {_WIDTH}] AS piece FROM (SELECT doc_id, text, unnest(range(0, (length(text) + {_WIDTH} - 1) // ({_WIDTH}) + CASE WHEN doc_id % 7 = 0 THEN 1 ELSE 0 END)) AS k FROM documents)))"""
 
 
 def _rows(spark, sf_dir):
-    """Labels made for crops: a crop's line of text, as long as a crop can hold or a little longer."""
-    d = F.col("doc_id")
-    more = F.when(d % 3 == 0, "…").otherwise("")
-    label = F.when(d % 7 == 0, "").when(d % 7 == 1, F.substring("text", 1, 100)).when(d % 7 == 2, F.concat(F.lit("√"), F.substring("text", 1, 20))).otherwise(F.concat(F.substring("text", 1, 78), more))
-    return docs(spark, sf_dir).select("doc_id", F.when(d % 11 != 0, F.concat(F.lit("crops/"), d.cast("string"), F.lit(".png"))).alias("path"), label.alias("label"))
+    """Labels made for crops of all lines of a text, as long as a crop can hold or a little longer."""
+    d, k = F.col("doc_id"), F.col("k")
+    width = F.when(d % 7 == 1, 100).otherwise(78)
+    count = F.ceil(F.length("text") / width).cast("int") + (d % 7 == 0).cast("int")
+    each = docs(spark, sf_dir).select("doc_id", "text", width.alias("w"), F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1))).alias("k"))
+    piece = F.substr("text", 1 + k * F.col("w"), F.col("w"))
+    more = F.when((d + k) % 9 == 0, "…").otherwise("")
+    sign = F.when(k % 4 == 0, "√").otherwise("")
+    label = F.when(d % 7 == 1, piece).when(d % 7 == 2, F.concat(sign, piece)).otherwise(F.concat(piece, more))
+    return each.select("doc_id", k.cast("long").alias("k"), F.when(d % 11 != 0, F.concat(F.lit("crops/"), d.cast("string"), F.lit(".png"))).alias("path"), label.alias("label"))
 
 
 _SET = D.CHARSET + "\n"
@@ -43,9 +51,9 @@ def agg_counters(spark, sf_dir):
     return _gated(spark, sf_dir).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("flt_ctc_limit", f"SELECT doc_id, length(label)::INTEGER AS n FROM {_ROWS} WHERE length(label) <= 78")
+@register("flt_ctc_limit", f"SELECT doc_id, k, length(label)::INTEGER AS n FROM {_ROWS} WHERE length(label) <= 78")
 def flt_ctc_limit(spark, sf_dir):
-    return _rows(spark, sf_dir).where(F.length("label") <= D.ctc_limit(320, 4)).select("doc_id", F.length("label").alias("n"))
+    return _rows(spark, sf_dir).where(F.length("label") <= D.ctc_limit(320, 4)).select("doc_id", "k", F.length("label").alias("n"))
 
 
 # metrics of crops by arithmetic on line items

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics as M
 from ..functions import text as T
-from ..operators.similarity import array_distance, matcher_ratio
+from ..operators.similarity import array_distance, matcher_ratio, multiset_overlap
 from ..plans import variants as V
 from ..registry import register
-from .common import docs, q, s_collapse, s_fold, s_short_units, s_strip, s_words, table
+from .common import docs, q, s_collapse, s_distance, s_fold, s_strip, s_words, table
 from .scores import _DAMAGE, _comp, _structure_sql
 
 _KIND = "(doc_id * 31 + 17) % 7"
@@ -19,22 +19,26 @@ def _kind():
     return V.kind_of(F.col("doc_id"), F.lit(1))
 
 
-_UNITS = f"(SELECT doc_id, s, {_DAMAGE.format(x='s')} AS h FROM (SELECT doc_id, unnest({s_short_units(s_fold('text'))}) AS s, {_KIND} AS kind FROM documents))"
+_WHOLE = f"(SELECT doc_id, ref, {_DAMAGE.format(x='ref')} AS hyp FROM (SELECT doc_id, {s_fold('text')} AS ref, {_KIND} AS kind FROM documents))"
+
+
+def _whole(spark, sf_dir):
+    """(doc_id, ref, hyp): reference and hypothesis, whole texts."""
+    rows = docs(spark, sf_dir).select("doc_id", T.fold_ascii("text").alias("ref"), _kind().alias("kind"))
+    return rows.select("doc_id", "ref", V.damage(F.col("ref"), F.col("kind")).alias("hyp"))
 
 
-def _units(spark, sf_dir):
-    """(doc_id, s, h): reference and hypothesis by units of a sentence or 30 words, over whole texts."""
-    units = docs(spark, sf_dir).select("doc_id", _kind().alias("kind"), F.explode(T.short_units(T.fold_ascii("text"))).alias("s"))
-    return V.spread(units).select("doc_id", "s", V.damage(F.col("s"), F.col("kind")).alias("h"))
+def _costly(spark, sf_dir):
+    return V.spread(docs(spark, sf_dir).select("doc_id", "text")).select("doc_id", T.fold_ascii("text").alias("ref"), _kind().alias("kind")).select("doc_id", "ref", V.damage(F.col("ref"), F.col("kind")).alias("hyp"))
 
 
 def _error_rate(spark, sf_dir, norm):
-    rows = _units(spark, sf_dir).select("doc_id", norm(F.col("s")).alias("r"), norm(F.col("h")).alias("h"))
-    return rows.groupBy("doc_id").agg(F.round(F.sum(M.edit_distance("r", "h")) / F.greatest(F.sum(F.length("r")), F.lit(1)), 6).alias("cer"))
+    rows = _costly(spark, sf_dir).select("doc_id", norm(F.col("ref")).alias("r"), norm(F.col("hyp")).alias("h"))
+    return rows.select("doc_id", F.round(array_distance(F.col("r"), F.col("h")) / F.greatest(F.length("r"), F.lit(1)), 6).alias("cer"))
 
 
 def _cer_sql(norm) -> str:
-    return f"SELECT doc_id, round(sum(levenshtein(r, h))::DOUBLE / greatest(sum(length(r)), 1), 6) AS cer FROM (SELECT doc_id, {norm('s')} AS r, {norm('h')} AS h FROM {_UNITS}) GROUP BY doc_id"
+    return f"SELECT doc_id, round({s_distance('r', 'h')}::DOUBLE / greatest(length(r), 1), 6) AS cer FROM (SELECT doc_id, {norm('ref')} AS r, {norm('hyp')} AS h FROM {_WHOLE})"
 
 
 _lower = lambda x: f"lower({s_strip(s_collapse(x))})"
@@ -44,9 +48,8 @@ register("m_cer_lib", _cer_sql(s_strip))(lambda spark, sf_dir: _error_rate(spark
 
 
 def _word_error_rate(spark, sf_dir, tokens):
-    rows = _units(spark, sf_dir).select("doc_id", tokens(F.col("s")).alias("r"), tokens(F.col("h")).alias("h"))
-    d = array_distance(F.col("r"), F.col("h"))
-    return rows.withColumn("d", d).groupBy("doc_id").agg(F.round(F.sum("d") / F.greatest(F.sum(F.size("r")), F.lit(1)), 6).alias("wer"))
+    rows = _costly(spark, sf_dir).select("doc_id", tokens(F.col("ref")).alias("r"), tokens(F.col("hyp")).alias("h"))
+    return rows.select("doc_id", F.round(array_distance(F.col("r"), F.col("h")) / F.greatest(F.size("r"), F.lit(1)), 6).alias("wer"))
 
 
 @register("m_wer_norm")
@@ -62,36 +65,28 @@ def m_wer_lib(spark, sf_dir):
 _SPACED = lambda x: f"array_to_string(regexp_extract_all({x}, {q(T.NOT_WS + '+')}), ' ')"
 
 
-@register("m_wer_charword", f"SELECT doc_id, round(sum(levenshtein({_SPACED('s')}, {_SPACED('h')}))::DOUBLE / greatest(sum(len(regexp_extract_all(s, {q(T.NOT_WS + '+')}))), 1), 6) AS wer FROM {_UNITS} GROUP BY doc_id")
+_CHARWORD = f"SELECT doc_id, round({s_distance('r', 'h')}::DOUBLE / greatest(n, 1), 6) AS wer FROM (SELECT doc_id, {_SPACED('ref')} AS r, {_SPACED('hyp')} AS h, len(regexp_extract_all(ref, {q(T.NOT_WS + '+')})) AS n FROM {_WHOLE})"
+
+
+@register("m_wer_charword", _CHARWORD)
 def m_wer_charword(spark, sf_dir):
     """Distance in characters of the space-normalised texts, per word of the reference."""
-    rows = _units(spark, sf_dir).select("doc_id", F.array_join(T.fields("s"), " ").alias("r"), F.array_join(T.fields("h"), " ").alias("h"), F.size(T.fields("s")).alias("n"))
-    return rows.groupBy("doc_id").agg(F.round(F.sum(M.edit_distance("r", "h")) / F.greatest(F.sum("n"), F.lit(1)), 6).alias("wer"))
+    rows = _costly(spark, sf_dir).select("doc_id", F.array_join(T.fields("ref"), " ").alias("r"), F.array_join(T.fields("hyp"), " ").alias("h"), F.size(T.fields("ref")).alias("n"))
+    return rows.select("doc_id", F.round(array_distance(F.col("r"), F.col("h")) / F.greatest("n", F.lit(1)), 6).alias("wer"))
 
 
 @register("m_punct_accuracy")
 def m_punct_accuracy(spark, sf_dir):
-    """Matcher ratio of the punctuation of both sides, by unit, weighted by its amount."""
+    """Matcher ratio of the punctuation of both whole texts; 1 if neither has any."""
     only = lambda c: F.regexp_replace(c, r"[^!-/:-@\[-`{-~]", "")
-    rows = _units(spark, sf_dir).select("doc_id", only(F.col("s")).alias("r"), only(F.col("h")).alias("h"))
-    size = F.length("r") + F.length("h")
-    rated = rows.withColumn("x", matcher_ratio(F.col("r"), F.col("h"))).withColumn("n", size)
-    return rated.groupBy("doc_id").agg(F.round(F.coalesce(F.try_divide(F.sum(F.col("x") * F.col("n")), F.sum("n")), F.lit(1.0)), 6).alias("punctuation"))
+    rows = _costly(spark, sf_dir).select("doc_id", only(F.col("ref")).alias("r"), only(F.col("hyp")).alias("h"))
+    return rows.select("doc_id", F.round(matcher_ratio(F.col("r"), F.col("h")), 6).alias("punctuation"))
 
 
 @register("m_seq_ratio")
 def m_seq_ratio(spark, sf_dir):
-    """Mean matcher ratio of a document's units."""
-    rows = _units(spark, sf_dir).withColumn("x", matcher_ratio(F.col("s"), F.col("h")))
-    return rows.groupBy("doc_id").agg(F.round(F.avg("x"), 6).alias("ratio"))
-
-
-_WHOLE = f"(SELECT doc_id, ref, {_DAMAGE.format(x='ref')} AS hyp FROM (SELECT doc_id, {s_fold('text')} AS ref, {_KIND} AS kind FROM documents))"
-
-
-def _whole(spark, sf_dir):
-    rows = docs(spark, sf_dir).select("doc_id", T.fold_ascii("text").alias("ref"), _kind().alias("kind"))
-    return rows.select("doc_id", "ref", V.damage(F.col("ref"), F.col("kind")).alias("hyp"))
+    """Matcher ratio of both whole texts."""
+    return _costly(spark, sf_dir).select("doc_id", F.round(matcher_ratio(F.col("ref"), F.col("hyp")), 6).alias("ratio"))
 
 
 @register("m_jaccard_set", f"SELECT doc_id, round(CASE WHEN u = 0 THEN 1.0 ELSE i::DOUBLE / u END, 6) AS jaccard FROM (SELECT doc_id, len(list_intersect(a, b)) AS i, len(list_distinct(list_concat(a, b))) AS u FROM (SELECT doc_id, {s_words('ref')} AS a, {s_words('hyp')} AS b FROM {_WHOLE}))")
@@ -104,10 +99,9 @@ _TOK = f"(SELECT doc_id, token, sum(r) AS r, sum(h) AS h FROM (SELECT doc_id, un
 
 @register("m_jaccard_multi", f"SELECT doc_id, round(sum(least(r, h))::DOUBLE / sum(greatest(r, h)), 6) AS jaccard FROM {_TOK} GROUP BY doc_id")
 def m_jaccard_multi(spark, sf_dir):
-    w = _whole(spark, sf_dir)
-    both = w.select("doc_id", F.explode(T.words("ref")).alias("token"), F.lit(1).alias("r"), F.lit(0).alias("h")).union(w.select("doc_id", F.explode(T.words("hyp")), F.lit(0), F.lit(1)))
-    counts = both.groupBy("doc_id", "token").agg(F.sum("r").alias("r"), F.sum("h").alias("h"))
-    return counts.groupBy("doc_id").agg(F.round(F.sum(F.least("r", "h")) / F.sum(F.greatest("r", "h")), 6).alias("jaccard"))
+    rows = _whole(spark, sf_dir).select("doc_id", T.words("ref").alias("r"), T.words("hyp").alias("h"))
+    counted = rows.select("doc_id", multiset_overlap(F.col("r"), F.col("h")).alias("o")).where("o.either > 0")
+    return counted.select("doc_id", F.round(F.col("o.both") / F.col("o.either"), 6).alias("jaccard"))
 
 
 _STRUCT = f"(SELECT doc_id, {_structure_sql('ref', 'r')}, {_structure_sql('hyp', 'h')} FROM {_WHOLE})"
@@ -133,13 +127,13 @@ def m_round2(spark, sf_dir):
     return _whole(spark, sf_dir).select("doc_id", M.ratios_mean(M.structure("hyp"), M.structure("ref")).alias("raw"))
 
 
-@register("m_score_global", f"SELECT doc_id, round(1 - (cer + wer) / 2, 6) AS score FROM (SELECT doc_id, sum(levenshtein(s, h))::DOUBLE / greatest(sum(length(s)), 1) AS cer, sum(levenshtein({_SPACED('s')}, {_SPACED('h')}))::DOUBLE / greatest(sum(len(regexp_extract_all(s, {q(T.NOT_WS + '+')}))), 1) AS wer FROM {_UNITS} GROUP BY doc_id)")
+@register("m_score_global", f"SELECT doc_id, round(1 - ({s_distance('ref', 'hyp')}::DOUBLE / greatest(length(ref), 1) + wer) / 2, 6) AS score FROM (SELECT doc_id, ref, hyp, {s_distance('r', 'h')}::DOUBLE / greatest(n, 1) AS wer FROM (SELECT doc_id, ref, hyp, {_SPACED('ref')} AS r, {_SPACED('hyp')} AS h, len(regexp_extract_all(ref, {q(T.NOT_WS + '+')})) AS n FROM {_WHOLE}))")
 def m_score_global(spark, sf_dir):
     """1 - (character rate + word rate) / 2, the word rate in characters per word."""
-    rows = _units(spark, sf_dir).select("doc_id", "s", "h", F.array_join(T.fields("s"), " ").alias("rs"), F.array_join(T.fields("h"), " ").alias("hs"), F.size(T.fields("s")).alias("n"))
-    rate = lambda a, b, n: F.sum(M.edit_distance(a, b)) / F.greatest(F.sum(n), F.lit(1))
-    both = rows.groupBy("doc_id").agg(rate("s", "h", F.length("s")).alias("cer"), rate("rs", "hs", F.col("n")).alias("wer"))
-    return both.select("doc_id", F.round(1 - (F.col("cer") + F.col("wer")) / 2, 6).alias("score"))
+    rows = _costly(spark, sf_dir).select("doc_id", "ref", "hyp", F.array_join(T.fields("ref"), " ").alias("r"), F.array_join(T.fields("hyp"), " ").alias("h"), F.size(T.fields("ref")).alias("n"))
+    cer = array_distance(F.col("ref"), F.col("hyp")) / F.greatest(F.length("ref"), F.lit(1))
+    wer = array_distance(F.col("r"), F.col("h")) / F.greatest("n", F.lit(1))
+    return rows.select("doc_id", F.round(1 - (cer + wer) / 2, 6).alias("score"))
 
 
 @register("m_diff_report", f"SELECT doc_id, md5(CASE WHEN r = h THEN '' ELSE '--- Ligne 1 ---' || chr(10) || 'GT : ' || r || chr(10) || 'PR : ' || h || chr(10) END) AS digest FROM (SELECT doc_id, {_lower('ref')} AS r, {_lower('hyp')} AS h FROM {_WHOLE})")

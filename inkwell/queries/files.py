@@ -24,7 +24,7 @@ def _lines() -> F.Column:
 def _page_json() -> F.Column:
     """An annotation per document, as JSON; every seventh is broken, every fifth has its category elsewhere or nowhere."""
     d = F.col("doc_id")
-    cells = F.transform(F.slice(T.words("text"), 1, 4), lambda w, i: F.struct(F.when(i == 2, F.lit("")).otherwise(w).alias("text"), F.array(d.cast("double") % 50 + i * 10, (i % 2).cast("double") * 20, F.lit(8.0), F.lit(9.0)).alias("bbox")))
+    cells = F.transform(T.words("text"), lambda w, i: F.struct(F.when(i == 2, F.lit("")).otherwise(w).alias("text"), F.array(d.cast("double") % 50 + i * 10, (i % 2).cast("double") * 20, F.lit(8.0), F.lit(9.0)).alias("bbox")))
     meta = F.struct(F.concat(F.lit("scan_"), d.cast("string"), F.lit(".pdf")).alias("original_filename"), F.md5(d.cast("string")).alias("page_hash"), F.when(d % 5 != 0, F.col("source")).alias("doc_category"))
     good = F.to_json(F.struct(meta.alias("metadata"), cells.alias("cells")))
     return F.when(d % 7 == 0, F.lit("[broken")).otherwise(good)
@@ -110,7 +110,7 @@ def src_tsv_first_tab(spark, sf_dir):
     return R.train_list(spark, path)
 
 
-_CELLS_SQL = f"(SELECT doc_id, source, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE list_filter(list_transform(regexp_extract_all(lower(text), {q(T.WORD)})[1:4], lambda w, i: CASE WHEN i = 3 THEN '' ELSE w END), lambda w: w <> '') END AS c FROM documents)"
+_CELLS_SQL = f"(SELECT doc_id, source, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE list_filter(list_transform(regexp_extract_all(lower(text), {q(T.WORD)}), lambda w, i: CASE WHEN i = 3 THEN '' ELSE w END), lambda w: w <> '') END AS c FROM documents)"
 
 
 @register("src_json_nested", "SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE 'scan_' || doc_id || '.pdf' END AS original, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE md5(doc_id::VARCHAR) END AS hash FROM documents")

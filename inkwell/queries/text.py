@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import metrics
 from ..functions import text as T
 from ..operators import filters as X
+from ..operators.similarity import multiset_overlap
 from ..operators.unicode import nfkc
 from ..plans.postprocess import postprocess
 from ..registry import register
@@ -131,10 +132,11 @@ def flt_oov(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", n.alias("n_oov")).where("n_oov > 0")
 
 
-@register("flt_replacement_useful", f"SELECT doc_id, old, new FROM (SELECT doc_id, coalesce({s_words('text')}[1], '') AS old, coalesce({s_words('text')}[2], '') AS new FROM documents) WHERE old <> '' AND new <> '' AND old <> new AND NOT regexp_matches(old, {q(X.TRIVIAL)}) AND NOT regexp_matches(new, {q(X.TRIVIAL)})")
+@register("flt_replacement_useful", f"SELECT doc_id, old, new FROM (SELECT doc_id, p[1] AS old, p[2] AS new FROM (SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: [w[i], w[i + 1]])) AS p FROM (SELECT doc_id, {s_words('text')} AS w FROM documents))) WHERE old <> '' AND new <> '' AND old <> new AND NOT regexp_matches(old, {q(X.TRIVIAL)}) AND NOT regexp_matches(new, {q(X.TRIVIAL)})")
 def flt_replacement_useful(spark, sf_dir):
-    w = T.words("text")
-    pairs = docs(spark, sf_dir).select("doc_id", F.coalesce(F.get(w, 0), F.lit("")).alias("old"), F.coalesce(F.get(w, 1), F.lit("")).alias("new"))
+    """Every pair of neighbouring words of the whole text as a replacement."""
+    words = docs(spark, sf_dir).select("doc_id", T.words("text").alias("w"))
+    pairs = words.select("doc_id", F.explode(F.expr("transform(slice(w, 2, greatest(size(w) - 1, 0)), (x, i) -> struct(w[i] AS old, x AS new))")).alias("p")).select("doc_id", "p.old", "p.new")
     return pairs.where(X.useful_replacement(F.col("old"), F.col("new")))
 
 
@@ -155,10 +157,20 @@ def fn_sentences_model(spark, sf_dir):
 _PERSON = r"(?:Monsieur|Madame|M\.|Mme|The|Le|Der) +[A-ZÉÈÀ][a-z]+"
 
 
-@register("fn_person_entities", f"SELECT doc_id, array_to_string(list_sort(list_distinct(p)), ',') AS people FROM (SELECT doc_id, regexp_extract_all(text, {q(_PERSON)}) AS p FROM documents) WHERE len(p) > 0")
+# the tables' prose holds no titles, so each text gets some
+_NAMED = "(SELECT doc_id, text || ' Madame ' || CASE doc_id % 3 WHEN 0 THEN 'Alder' WHEN 1 THEN 'Breton' ELSE 'cern' END || ', The  Court, M. Durand, The ' || CASE doc_id % 2 WHEN 0 THEN 'Court' ELSE 'bench' END || ' Le Roy' AS text FROM documents)"
+
+
+def _named(spark, sf_dir):
+    d = F.col("doc_id")
+    name = F.when(d % 3 == 0, "Alder").when(d % 3 == 1, "Breton").otherwise("cern")
+    return docs(spark, sf_dir).select("doc_id", F.concat("text", F.lit(" Madame "), name, F.lit(", The  Court, M. Durand, The "), F.when(d % 2 == 0, "Court").otherwise("bench"), F.lit(" Le Roy")).alias("text"))
+
+
+@register("fn_person_entities", f"SELECT doc_id, array_to_string(list_sort(list_distinct(p)), ',') AS people FROM (SELECT doc_id, regexp_extract_all(text, {q(_PERSON)}) AS p FROM {_NAMED}) WHERE len(p) > 0")
 def fn_person_entities(spark, sf_dir):
     """Set of titles followed by a capitalised word: the default of the pluggable entity model."""
-    found = docs(spark, sf_dir).select("doc_id", F.regexp_extract_all("text", F.lit(_PERSON), F.lit(0)).alias("p")).where(F.size("p") > 0)
+    found = _named(spark, sf_dir).select("doc_id", F.regexp_extract_all("text", F.lit(_PERSON), F.lit(0)).alias("p")).where(F.size("p") > 0)
     return found.select("doc_id", F.array_join(F.sort_array(F.array_distinct("p")), ",").alias("people"))
 
 
@@ -305,27 +317,26 @@ _MULTI = f"(SELECT doc_id, token, sum(x) AS x, sum(y) AS y FROM (SELECT doc_id,
 
 
 def _multi(spark, sf_dir):
-    h = _halves(spark, sf_dir)
-    both = h.select("doc_id", F.explode("a").alias("token"), F.lit(1).alias("x"), F.lit(0).alias("y")).union(h.select("doc_id", F.explode("b"), F.lit(0), F.lit(1)))
-    return both.groupBy("doc_id", "token").agg(F.sum("x").alias("x"), F.sum("y").alias("y"))
+    counted = _halves(spark, sf_dir).select("doc_id", multiset_overlap(F.col("a"), F.col("b")).alias("o"))
+    return counted.select("doc_id", "o.both", "o.either").where("either > 0")
 
 
 @register("set_multiset_and_or", f"SELECT doc_id, sum(least(x, y))::BIGINT AS both, sum(greatest(x, y))::BIGINT AS either FROM {_MULTI} GROUP BY doc_id")
 def set_multiset_and_or(spark, sf_dir):
-    return _multi(spark, sf_dir).groupBy("doc_id").agg(F.sum(F.least("x", "y")).alias("both"), F.sum(F.greatest("x", "y")).alias("either"))
+    return _multi(spark, sf_dir)
 
 
 @register("join_multiset", f"SELECT doc_id, round(sum(least(x, y))::DOUBLE / sum(greatest(x, y)), 6) AS jaccard FROM {_MULTI} GROUP BY doc_id")
 def join_multiset(spark, sf_dir):
-    """Multiset Jaccard by token counts: two sides unioned and grouped once, instead of a full outer join."""
-    return _multi(spark, sf_dir).groupBy("doc_id").agg(F.round(F.sum(F.least("x", "y")) / F.sum(F.greatest("x", "y")), 6).alias("jaccard"))
+    """Multiset Jaccard of the two sides of a row."""
+    return _multi(spark, sf_dir).select("doc_id", F.round(F.col("both") / F.col("either"), 6).alias("jaccard"))
 
 
-@register("set_difference", f"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(a, lambda w: NOT list_contains(b, w)))), ' ') AS only FROM (SELECT doc_id, regexp_extract_all(text, {q(_PERSON)}) AS a, regexp_extract_all(text, 'The +[A-Z][a-z]+') AS b FROM documents)")
+@register("set_difference", f"SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(a, lambda w: NOT list_contains(b, w)))), ' ') AS only FROM (SELECT doc_id, regexp_extract_all(text, {q(_PERSON)}) AS a, regexp_extract_all(text, 'The +[A-Z][a-z]+') AS b FROM {_NAMED})")
 def set_difference(spark, sf_dir):
     """Entities that are new: those of one set without those of another."""
     every, known = (F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in (_PERSON, "The +[A-Z][a-z]+"))
-    return docs(spark, sf_dir).select("doc_id", F.array_join(F.sort_array(F.array_except(every, known)), " ").alias("only"))
+    return _named(spark, sf_dir).select("doc_id", F.array_join(F.sort_array(F.array_except(every, known)), " ").alias("only"))
 
 
 @register("set_union_all", "SELECT doc_id AS id, md5(text) AS digest FROM documents UNION ALL SELECT item_id, md5(text) FROM benchmark")

@@ -9,6 +9,10 @@ from pyspark.sql import SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under spark.checkpoint.dir; under a local temporary folder only where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or f"file://{tempfile.gettempdir()}/inkwell"
+    """A fresh path under spark.checkpoint.dir; under a temporary folder only where that is unset and all runs on this machine."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if base is None:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"file://{tempfile.gettempdir()}/inkwell"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
