@@ -448,6 +448,32 @@ def test_embeddings_equal_brute_force(spark, leaf):
     assert embed_dedup.linked(table.limit(0)).count() == 0
 
 
+def test_leaves_stay_small_as_vectors_grow(spark):
+    rng = np.random.default_rng(12)
+    largest = []
+    for n in (600, 6000):
+        centre = rng.normal(size=(n // 3, 24))
+        rows = [(i, (centre[i % len(centre)] + rng.normal(size=24) * 0.2).tolist(), 0) for i in range(n)]
+        rows += [(n + i, (centre[0] + rng.normal(size=24) * 1e-3).tolist(), 0) for i in range(400)]
+        vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+        nodes = store.cut(embed_dedup._as_bytes(vectors.select("vec_id", F.col("label").cast("string"), "embedding")).withColumnRenamed("vec_id", "node"))
+        sample = embed_dedup._unit([bytes(r.vec) for r in nodes.limit(256).collect()], 24)
+        forests = {("0", 24): embed_dedup.grow(sample, 4, 0.93)}
+        placed = embed_dedup.indexed(nodes, forests, 64, 0.93)
+        per_leaf = placed.groupBy("leaf").agg(F.count(F.when(F.col("node") < n, 1)).alias("others"), F.count(F.when(F.col("node") >= n, 1)).alias("dense")).collect()
+        # no cut divides the dense group, which keeps no more others than it has itself
+        assert all(r.others <= r.dense for r in per_leaf if r.others + r.dense > embed_dedup.OVERFULL * 64)
+        largest.append(max(r.others for r in per_leaf if not r.dense))
+        assert placed.select("node").distinct().count() == n + 400
+        if n == 6000:
+            out = {r.vec_id: r.n_links for r in embed_dedup.linked(vectors, leaf_rows=64, sample_rows=256).collect()}
+    assert max(largest) <= embed_dedup.OVERFULL * 64
+    x = np.array([v for _, v, _ in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.93).sum() - len(x)
+    assert want >= sum(out.values()) >= 0.95 * want
+
+
 def test_token_files_round_trip(spark, docs, rows, nothing):
     path, out = public_tokenizers.path("word_bpe_49k.json"), store.fresh_path(spark, "tokens")
     rows = [*rows, (50_000, "a<|endoftext|>b", "en", "s", 0, "e"), *((None, f"no id {i}", None, None, None, None) for i in range(40))]
