@@ -16,6 +16,8 @@ def edit_distance(a, b) -> int:
 
     What both begin or end with alike is left out first, which changes no distance.
     """
+    if isinstance(a, str) and isinstance(b, str) and a == b:
+        return 0
     lo, most = 0, min(len(a), len(b))
     while lo < most and a[lo] == b[lo]:
         lo += 1

@@ -19,9 +19,9 @@ KINDS = 7
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """df over as many tasks as there are cores, where its files make fewer: for costly work on small inputs."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """df over several tasks a core, where its files make fewer: for work that grows with the square of a text, on small inputs."""
+    tasks = 4 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(tasks) if df.rdd.getNumPartitions() < tasks else df
 
 
 def variants(spark: SparkSession, n: int = VARIANTS) -> DataFrame:
