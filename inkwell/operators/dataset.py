@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions import text as T
+from ..sources.scratch import scratch
+
+#: rows that a task numbers as one
+SLOT_ROWS = 20_000
 
 # The characters that crop labels may use.
 CHARSET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZÀÂÇÉÈÊËÎÏÔÙÛÜŸŒÆàâçéèêëîïôùûüÿœæ0123456789 .,;:!?\"'()-"
@@ -50,14 +55,19 @@ def hash_order(key: str, seed: int) -> Column:
 def ranked(rows: DataFrame, key: str, seed: int) -> DataFrame:
     """rows with ``place`` from 1 in hash order.
 
-    The first two hexadecimal digits deal rows to 256 slots of equal share; only a slot is
-    sorted as one, and the slots' counts are summed before.
+    The first hexadecimal digits deal rows to slots of equal share, as many digits as hold a
+    slot near SLOT_ROWS rows; only a slot is sorted as one, and the slots' counts are summed
+    before.
     """
-    slotted = rows.withColumn("__h", hash_order(key, seed)).withColumn("__slot", F.substring("__h", 1, 2))
+    digits = 1
+    slots = rows.count() / SLOT_ROWS
+    while 16**digits < slots:
+        digits += 1
+    slotted = rows.withColumn("__h", hash_order(key, seed)).withColumn("__slot", F.substring("__h", 1, digits))
     counts = slotted.groupBy("__slot").agg(F.count(F.lit(1)).alias("__n"))
     before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__n")
     own = F.row_number().over(Window.partitionBy("__slot").orderBy("__h", key))
-    local = slotted.withColumn("__own", own).join(F.broadcast(before), "__slot")
+    local = slotted.withColumn("__own", own).join(before, "__slot")
     return local.withColumn("place", F.col("__before") + F.col("__own")).drop("__h", "__slot", "__own", "__before")
 
 
@@ -69,17 +79,57 @@ def split(rows: DataFrame, key: str, val: float, test: float, seed: int = 42) ->
     return ranked(rows, key, seed).withColumn("split", part).drop("place")
 
 
+def _ranges(rows: DataFrame, *keys: str) -> DataFrame:
+    """rows with ``__part``, the number of their range in order of the keys, some SLOT_ROWS rows a range.
+
+    They are written to the shared folder and read again, so that a task that runs twice sees
+    the same ranges.  Rows of equal keys are in one range.
+    """
+    spark = rows.sparkSession
+    parts = max(1, -(-rows.count() // SLOT_ROWS))
+    path = scratch(spark, "ranges")
+    rows.repartitionByRange(parts, *keys).withColumn("__part", F.spark_partition_id()).write.parquet(path)
+    return spark.read.schema(StructType([*rows.schema.fields, StructField("__part", IntegerType())])).parquet(path)
+
+
+def running(rows: DataFrame, order: str | list[str], n: Column, group: str | None = None) -> DataFrame:
+    """rows with ``before``, the sum of ``n`` (nulls none) over the rows earlier in order, of the same group if one is named.
+
+    Ranges of rows are summed first and the ranges' sums are added up, so that no task sees
+    more of a group than its share of a range.  The order should be of unique values.
+    """
+    by, order = [] if group is None else [group], [order] if isinstance(order, str) else order
+    ranges = _ranges(rows, *by, *order).withColumn("__n", F.coalesce(n, F.lit(0)))
+    earlier = lambda w, c: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = ranges.groupBy(*by, "__part").agg(F.sum("__n").alias("__t"))
+    sums = sums.withColumn("__before", earlier(Window.partitionBy(*by).orderBy("__part"), "__t")).drop("__t")
+    local = ranges.withColumn("__local", earlier(Window.partitionBy(*by, "__part").orderBy(*order), "__n")).alias("r")
+    joined = local.join(sums.alias("s"), [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*by, "__part"]])
+    return joined.select(*(F.col(f"r.`{c}`") for c in rows.columns), (F.col("s.__before") + F.col("r.__local")).alias("before"))
+
+
 def until_target(docs: DataFrame, key: str, n: str, target: int) -> DataFrame:
-    """docs up to and with the one at which the running sum of ``n`` in key order reaches the target.
+    """docs up to and with the one at which the running sum of ``n`` in key order reaches the target."""
+    return running(docs, key, F.col(n)).where(F.col("before") < target).drop("before")
+
+
+def nearest(rows: DataFrame, distance: str, key: str, most: int) -> DataFrame:
+    """The ``most`` rows of least distance, those without one last, ties in order of the key.
 
-    Sums are taken per range of keys first, so that no task sees more than a range.
+    The distance at which the number is reached is found from the counts of all distances;
+    only rows at that distance are numbered.
     """
-    spark = docs.sparkSession
-    ranges = docs.repartitionByRange(max(1, spark.sparkContext.defaultParallelism), key).withColumn("__part", F.spark_partition_id()).persist()
-    totals = ranges.groupBy("__part").agg(F.sum(n).alias("__t"))
-    before = totals.withColumn("__before", F.coalesce(F.sum("__t").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__t")
-    local = F.coalesce(F.sum(n).over(Window.partitionBy("__part").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return ranges.withColumn("__local", local).join(F.broadcast(before), "__part").where(F.col("__before") + F.col("__local") < target).drop("__part", "__local", "__before")
+    if most <= 0:
+        return rows.limit(0)
+    last = F.col(distance).isNull()
+    counted = rows.groupBy(last.alias("__last"), distance).agg(F.count(F.lit(1)).alias("__rows"))
+    upto = F.col("before") + F.col("__rows")
+    edge = running(counted, ["__last", distance], F.col("__rows")).where((F.col("before") < most) & (upto >= most)).first()
+    if edge is None:
+        return rows
+    ties = running(rows.where(F.col(distance).eqNullSafe(F.lit(edge[distance]))), key, F.lit(1)).where(F.col("before") < most - edge["before"]).drop("before")
+    nearer = ~last if edge["__last"] else F.col(distance) < F.lit(edge[distance])
+    return rows.where(nearer).unionByName(ties)
 
 
 def to_xyxy(box: Column) -> dict[str, Column]:
@@ -142,8 +192,7 @@ def chunked(rows: DataFrame, group: str, order: str, text: str, seed: int = 0) -
     A block of 14 rows is cut into runs of 2, 3, 4 and 5 in one of four rotations, chosen by a
     hash of group, block and seed, so sizes vary and a rerun agrees.
     """
-    place = F.row_number().over(Window.partitionBy(group).orderBy(order)) - 1
-    numbered = rows.withColumn("__p", place).withColumn("__block", (F.col("__p") / 14).cast("int"))
+    numbered = running(rows, order, F.lit(1), group).withColumnRenamed("before", "__p").withColumn("__block", F.floor(F.col("__p") / 14))
     turn = F.pmod(F.conv(F.substring(F.md5(F.concat_ws("|", F.col(group).cast("string"), F.col("__block").cast("string"), F.lit(str(seed)))), 1, 6), 16, 10).cast("int"), F.lit(4))
     at = F.pmod(F.col("__p"), F.lit(14))
     sizes = [2, 3, 4, 5]

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CER_OK, JACCARD_OK, RATIO_OK = 0.08, 0.92, (0.9, 1.1)
@@ -29,20 +29,25 @@ def best(key: Column, value: str = "idx") -> Column:
     return F.min_by(F.col(value), F.when(key.isNotNull(), F.struct(key.alias("k"), F.col("idx"))))
 
 
-
 def winners(scores: DataFrame) -> DataFrame:
     """Per document the best variant by error rate, by multiset Jaccard and by ratio closest to one; one shuffle, no join."""
     return scores.groupBy("doc_id").agg(best(F.col("cer")).alias("by_cer"), best(-F.col("jacc_multi")).alias("by_jacc"), best(F.abs(F.col("ratios_mean") - 1)).alias("by_ratio"))
 
 
 def profile_by_variant(scores: DataFrame) -> DataFrame:
-    """Mean, deviation, median, extremes of the error rate, rows at the variant's own extremes, and row count."""
-    own = Window.partitionBy("idx")
-    marked = scores.withColumn("lo", F.min("cer").over(own)).withColumn("hi", F.max("cer").over(own))
-    return marked.groupBy("idx").agg(
-        F.avg("cer").alias("mean_cer"), F.stddev_samp("cer").alias("std_cer"), F.median("cer").alias("median_cer"),
-        F.sum((F.col("cer") == F.col("lo")).cast("long")).alias("n_min"), F.sum((F.col("cer") == F.col("hi")).cast("long")).alias("n_max"), F.count("cer").alias("n"),
+    """Mean, deviation, median, extremes of the error rate, rows at the variant's own extremes, and row count.
+
+    Equal rates of a variant are counted first, so that the median and the extremes are taken
+    from one row per distinct rate.
+    """
+    whole = scores.groupBy("idx").agg(F.avg("cer").alias("mean_cer"), F.stddev_samp("cer").alias("std_cer"))
+    rates = scores.groupBy("idx", "cer").agg(F.count("cer").alias("__n"))
+    # a variant without any rate keeps a row: its null counts once, and percentiles pass over it
+    spread = rates.groupBy(F.col("idx").alias("__idx")).agg(
+        F.percentile("cer", 0.5, F.greatest("__n", F.lit(1))).alias("median_cer"),
+        F.coalesce(F.min_by("__n", "cer"), F.lit(0)).alias("n_min"), F.coalesce(F.max_by("__n", "cer"), F.lit(0)).alias("n_max"), F.sum("__n").alias("n"),
     )
+    return whole.join(spread, F.col("idx").eqNullSafe(F.col("__idx"))).select("idx", "mean_cer", "std_cer", "median_cer", "n_min", "n_max", "n")
 
 
 def pivot(scores: DataFrame, variants: Sequence[int], value: Column) -> DataFrame:

@@ -57,6 +57,11 @@ def s_distance(a: str, b: str) -> str:
     return f"(CASE WHEN {a} = {b} THEN 0 WHEN starts_with({a}, {b}) THEN length({a}) - length({b}) ELSE levenshtein({a}, {b}) END)"
 
 
+def s_dealt(rows: str) -> str:
+    """Rows of unique doc_id (and idx), dealt to all threads: a scan of few row groups would measure them on one."""
+    return f"(SELECT DISTINCT * FROM ({rows}))"
+
+
 def s_lines(x: str) -> str:
     whole = f"string_split_regex({x}, {q(T.LINE_END)})"
     return f"(CASE WHEN {whole}[-1] = '' THEN {whole}[:-2] ELSE {whole} END)"

@@ -182,18 +182,9 @@ def lim_first_10_pages(spark, sf_dir):
 
 @register("top_match_half", "SELECT vec_id FROM (SELECT vec_id, row_number() OVER (ORDER BY d, vec_id) AS p, count(*) OVER () AS n FROM (SELECT vec_id, round(embedding[1]::DOUBLE * 1000)::BIGINT AS d FROM embeddings)) WHERE p <= n // 2")
 def top_match_half(spark, sf_dir):
-    """The nearer half of all matches, by distance and id: the median distance is found first, so only its ties are ranked."""
+    """The nearer half of all matches, by distance and id; the first component stands for the distance."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", F.round(F.get("embedding", 0).cast("double") * 1000).cast("long").alias("d"))
-    half = rows.count() // 2
-    per = rows.groupBy("d").agg(F.count(F.lit(1)).alias("n"))
-    from pyspark.sql import Window
-
-    upto = per.withColumn("upto", F.sum("n").over(Window.orderBy("d")))
-    edge = upto.where(F.col("upto") > half).orderBy("d").select("d", (F.col("upto") - F.col("n")).alias("before")).first()
-    if edge is None:
-        return rows.select("vec_id")
-    last = rows.where(F.col("d") == edge.d).orderBy("vec_id").limit(half - edge.before)
-    return rows.where(F.col("d") < edge.d).select("vec_id").unionByName(last.select("vec_id"))
+    return D.nearest(rows, "d", "vec_id", rows.count() // 2).select("vec_id")
 
 
 @register("win_chunk_groups", """WITH r AS (SELECT source, doc_id, lang || doc_id AS t, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS p FROM documents),

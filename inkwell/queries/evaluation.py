@@ -9,7 +9,7 @@ from ..functions import text as T
 from ..operators.similarity import array_distance, matcher_ratio, multiset_overlap
 from ..plans import variants as V
 from ..registry import register
-from .common import docs, q, s_collapse, s_distance, s_fold, s_strip, s_words, table
+from .common import docs, q, s_collapse, s_dealt, s_distance, s_fold, s_strip, s_words, table
 from .scores import _DAMAGE, _comp, _structure_sql
 
 _KIND = "(doc_id * 31 + 17) % 7"
@@ -38,7 +38,8 @@ def _error_rate(spark, sf_dir, norm):
 
 
 def _cer_sql(norm) -> str:
-    return f"SELECT doc_id, round({s_distance('r', 'h')}::DOUBLE / greatest(length(r), 1), 6) AS cer FROM (SELECT doc_id, {norm('ref')} AS r, {norm('hyp')} AS h FROM {_WHOLE})"
+    pairs = s_dealt(f"SELECT doc_id, {norm('ref')} AS r, {norm('hyp')} AS h FROM {_WHOLE}")
+    return f"SELECT doc_id, round({s_distance('r', 'h')}::DOUBLE / greatest(length(r), 1), 6) AS cer FROM {pairs}"
 
 
 _lower = lambda x: f"lower({s_strip(s_collapse(x))})"
@@ -65,7 +66,8 @@ def m_wer_lib(spark, sf_dir):
 _SPACED = lambda x: f"array_to_string(regexp_extract_all({x}, {q(T.NOT_WS + '+')}), ' ')"
 
 
-_CHARWORD = f"SELECT doc_id, round({s_distance('r', 'h')}::DOUBLE / greatest(n, 1), 6) AS wer FROM (SELECT doc_id, {_SPACED('ref')} AS r, {_SPACED('hyp')} AS h, len(regexp_extract_all(ref, {q(T.NOT_WS + '+')})) AS n FROM {_WHOLE})"
+_WORDED = s_dealt(f"SELECT doc_id, ref, hyp, {_SPACED('ref')} AS r, {_SPACED('hyp')} AS h, len(regexp_extract_all(ref, {q(T.NOT_WS + '+')})) AS n FROM {_WHOLE}")
+_CHARWORD = f"SELECT doc_id, round({s_distance('r', 'h')}::DOUBLE / greatest(n, 1), 6) AS wer FROM {_WORDED}"
 
 
 @register("m_wer_charword", _CHARWORD)
@@ -127,7 +129,7 @@ def m_round2(spark, sf_dir):
     return _whole(spark, sf_dir).select("doc_id", M.ratios_mean(M.structure("hyp"), M.structure("ref")).alias("raw"))
 
 
-@register("m_score_global", f"SELECT doc_id, round(1 - ({s_distance('ref', 'hyp')}::DOUBLE / greatest(length(ref), 1) + wer) / 2, 6) AS score FROM (SELECT doc_id, ref, hyp, {s_distance('r', 'h')}::DOUBLE / greatest(n, 1) AS wer FROM (SELECT doc_id, ref, hyp, {_SPACED('ref')} AS r, {_SPACED('hyp')} AS h, len(regexp_extract_all(ref, {q(T.NOT_WS + '+')})) AS n FROM {_WHOLE}))")
+@register("m_score_global", f"SELECT doc_id, round(1 - ({s_distance('ref', 'hyp')}::DOUBLE / greatest(length(ref), 1) + {s_distance('r', 'h')}::DOUBLE / greatest(n, 1)) / 2, 6) AS score FROM {_WORDED}")
 def m_score_global(spark, sf_dir):
     """1 - (character rate + word rate) / 2, the word rate in characters per word."""
     rows = _costly(spark, sf_dir).select("doc_id", "ref", "hyp", F.array_join(T.fields("ref"), " ").alias("r"), F.array_join(T.fields("hyp"), " ").alias("h"), F.size(T.fields("ref")).alias("n"))

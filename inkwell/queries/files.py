@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import dataset as D
 from ..registry import register
 from ..sources import readers as R
 from ..sources import sinks as W
@@ -44,11 +45,12 @@ register("sink_text", f"SELECT item_id, md5({s_strip('text')}) AS digest FROM be
 
 @register("src_text_lossy", f"SELECT item_id, md5({s_strip('text')}) AS digest FROM benchmark")
 def src_text_lossy(spark, sf_dir):
-    """Texts with a stray byte in them, which is dropped on reading."""
-    stray = F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF")))
-    rows = table(spark, sf_dir, "benchmark").select("item_id", stray.alias("b"))
-    valid = F.replace(F.make_valid_utf8(F.col("b").cast("string")), F.lit("�"), F.lit(""))
-    return rows.select("item_id", F.md5(T.strip(valid)).alias("digest"))
+    """Files with a stray byte in them, which is left out on reading."""
+    path = scratch(spark, "stray")
+    stray = F.concat(F.col("text").cast("binary"), F.unhex(F.lit("FF"))).cast("string")
+    W.write_texts(table(spark, sf_dir, "benchmark").select("item_id", stray.alias("text")), path, "item_id")
+    rows = R.lossy_texts(spark, path, folder="item_id")
+    return rows.select(F.col("folder").cast("long").alias("item_id"), F.md5("text").alias("digest"))
 
 
 _CSV = "doc_id long, source string, ratio double"
@@ -85,10 +87,11 @@ def sink_csv_overwrite(spark, sf_dir):
 
 @register("sink_csv_append_header_once", "SELECT doc_id, source FROM documents UNION ALL SELECT item_id, 'benchmark' FROM benchmark")
 def sink_csv_append_header_once(spark, sf_dir):
+    """Rows of two runs appended under the header of the first, and read back."""
     path = scratch(spark, "appended")
-    W.append_rows(docs(spark, sf_dir).select("doc_id", "source"), path)
-    W.append_rows(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.lit("benchmark").alias("source")), path)
-    return spark.read.parquet(path)
+    W.append_csv(docs(spark, sf_dir).select("doc_id", "source"), path)
+    W.append_csv(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.lit("benchmark").alias("source")), path)
+    return W.appended_csv(spark, path, "doc_id long, source string")
 
 
 @register("src_csv_positional", "SELECT url, 'https://x' AS host FROM pages WHERE page_id % 3 = 0")
@@ -176,15 +179,27 @@ def src_regex_map(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", F.md5(out).alias("digest"))
 
 
-@register("sink_json", "SELECT doc_id, lang, md5(text) AS digest FROM documents")
+_TOLD = "SELECT doc_id, lang, md5(text) AS digest FROM documents"
+
+
+def _told(spark, path, multi_line):
+    back = spark.read.schema("doc_id long, lang string, text string").json(path, multiLine=multi_line)
+    return back.select("doc_id", "lang", F.md5("text").alias("digest"))
+
+
+@register("sink_json", _TOLD)
 def sink_json(spark, sf_dir):
+    """Arrays of objects, read back as such."""
     path = scratch(spark, "json")
-    W.write_json_lines(docs(spark, sf_dir).select("doc_id", "lang", "text"), path)
-    back = spark.read.schema("doc_id long, lang string, text string").json(path)
-    return back.select("doc_id", "lang", F.md5("text").alias("digest"))
+    W.write_json_arrays(docs(spark, sf_dir).select("doc_id", "lang", "text"), path)
+    return _told(spark, path, True)
 
 
-register("sink_jsonl", "SELECT doc_id, lang, md5(text) AS digest FROM documents")(sink_json)
+@register("sink_jsonl", _TOLD)
+def sink_jsonl(spark, sf_dir):
+    path = scratch(spark, "jsonl")
+    W.write_json_lines(docs(spark, sf_dir).select("doc_id", "lang", "text"), path)
+    return _told(spark, path, False)
 
 
 @register("sink_tsv_pairs", f"SELECT line FROM (SELECT 'p/' || doc_id || chr(9) || {s_strip('translate(text, chr(9) || chr(10) || chr(13), chr(32) || chr(32) || chr(32))')} AS line FROM documents WHERE {s_strip('text')} <> '')")
@@ -202,21 +217,29 @@ def skip_if_done(spark, sf_dir):
 
 @register("retry_then_log_fail", "SELECT doc_id, CASE WHEN lang = 'de' THEN 'ECHEC' ELSE 'OK' END AS status FROM documents")
 def retry_then_log_fail(spark, sf_dir):
+    """What fails twice is appended to a log; the log says which documents failed."""
+
     def work(lang: str) -> str:
         if lang == "de":
             raise ValueError(lang)
         return lang.upper()
 
-    return W.attempted(docs(spark, sf_dir).select("doc_id", "lang"), work, "lang").select("doc_id", "status")
+    log = scratch(spark, "failures")
+    items = docs(spark, sf_dir).select("doc_id", "lang")
+    W.append_csv(W.attempted(items, work, "lang").where("status <> 'OK'").select("doc_id", "status"), log)
+    failed = W.appended_csv(spark, log, "doc_id long, status string").distinct()
+    return items.join(failed, "doc_id", "left").select("doc_id", F.coalesce("status", F.lit("OK")).alias("status"))
 
 
 @register("cache_by_count", "SELECT (SELECT count(*) FROM documents) AS n, true AS skipped")
 def cache_by_count(spark, sf_dir):
-    """Build once, record the manifest, and see that a second build would be skipped."""
+    """Build three outputs once, record the manifest, and see that a second build would be skipped."""
     n = docs(spark, sf_dir).count()
-    path = scratch(spark, "manifest")
-    W.append_rows(spark.createDataFrame([(1, n, 3)], "built long, n_inputs long, n_outputs long"), path)
-    return spark.createDataFrame([(n, W.unchanged(n, spark.read.parquet(path)))], "n long, skipped boolean")
+    path, outputs = scratch(spark, "manifest"), [scratch(spark, f"built-{k}") for k in range(3)]
+    for part, out in zip(("train", "val", "test"), outputs, strict=True):
+        D.split(docs(spark, sf_dir).select("doc_id"), "doc_id", 0.1, 0.05).where(F.col("split") == part).write.parquet(out)
+    W.append_rows(spark.createDataFrame([(1, n)], "built long, n_inputs long"), path)
+    return spark.createDataFrame([(n, W.unchanged(n, spark.read.parquet(path), outputs))], "n long, skipped boolean")
 
 
 @register("cache_fingerprint", "SELECT sha256('v1' || chr(10) || string_agg(page_id || ':' || sha256(html), chr(10) ORDER BY page_id::VARCHAR)) AS fingerprint FROM pages")

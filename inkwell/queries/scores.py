@@ -9,7 +9,7 @@ from ..functions import metrics
 from ..operators import scores as S
 from ..plans import variants as V
 from ..registry import register
-from .common import SCORED_VARIANTS, SCORES, docs, q, s_collapse, s_distance, s_fold, s_strip, s_words, scores
+from .common import SCORED_VARIANTS, SCORES, docs, q, s_collapse, s_dealt, s_distance, s_fold, s_strip, s_words, scores
 from ..functions import text as T
 
 _DAMAGE = """CASE kind WHEN 0 THEN {x} WHEN 1 THEN replace({x}, 'l', '1') WHEN 2 THEN replace({x}, '.', '') WHEN 3 THEN lower({x})
@@ -26,9 +26,10 @@ def _structure_sql(x: str, p: str) -> str:
       length({x}) - length(regexp_replace({x}, {q(metrics.UPPER)}, '', 'g')) AS {p}_uppers, length({x}) - length(replace({x}, '.', '')) AS {p}_points, length({x}) - length(replace({x}, '!', '')) AS {p}_exclams"""
 
 
+_PAIRS = s_dealt(f"SELECT doc_id, idx, {_NORM('ref')} AS r, {_NORM('hyp')} AS h FROM whole")
 GRID = f"""refs AS (SELECT doc_id, source, {s_fold('text')} AS ref FROM documents),
  whole AS (SELECT *, {_DAMAGE.format(x='ref')} AS hyp FROM (SELECT *, CAST(i AS INTEGER) AS idx, (doc_id * 31 + i * 17) % 7 AS kind FROM refs, range(4) AS v(i))),
- errors AS (SELECT doc_id, idx, {s_distance('r', 'h')}::DOUBLE / greatest(length(r), 1) AS cer FROM (SELECT doc_id, idx, {_NORM('ref')} AS r, {_NORM('hyp')} AS h FROM whole)),
+ errors AS (SELECT doc_id, idx, {s_distance('r', 'h')}::DOUBLE / greatest(length(r), 1) AS cer FROM {_PAIRS}),
  tokens AS (SELECT doc_id, idx, token, sum(r) AS r, sum(h) AS h FROM (
    SELECT doc_id, idx, unnest({s_words('ref')}) AS token, 1 AS r, 0 AS h FROM whole UNION ALL SELECT doc_id, idx, unnest({s_words('hyp')}), 0, 1 FROM whole) GROUP BY ALL),
  shared AS (SELECT doc_id, idx, sum(least(r, h))::DOUBLE / sum(greatest(r, h)) AS jacc_multi FROM tokens GROUP BY ALL),

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import metrics
 from ..functions import text as T
 from ..operators import filters as X
+from ..operators.dataset import running
 from ..operators.similarity import multiset_overlap
 from ..operators.unicode import nfkc
 from ..plans.postprocess import postprocess
 from ..registry import register
+from ..sources.scratch import scratch
+from ..sources.sinks import write_json_lines
 from .common import docs, q, s_collapse, s_fold, s_lines, s_pairs, s_replace, s_sentences, s_split_after, s_strip, s_words
 
 
@@ -86,9 +89,12 @@ _text_query("flt_noise_lines", _PURGE("text"), X.purge_noise)
 
 @register("sink_rejects", f"SELECT doc_id, reason, count(*) AS n FROM (SELECT doc_id, {_REASON('l')} AS reason FROM (SELECT doc_id, unnest({_TRIMMED('text')}) AS l FROM documents)) WHERE reason IS NOT NULL AND reason <> 'empty' GROUP BY ALL")
 def sink_rejects(spark, sf_dir):
-    """Dropped lines with their reasons, as the side output of the noise filter."""
-    dropped = docs(spark, sf_dir).select("doc_id", F.explode(X.noise_lines(F.col("text"))).alias("r"))
-    return dropped.groupBy("doc_id", F.col("r.reason").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    """Dropped lines with their reasons, written beside the noise filter's output as one object a line, and counted from there."""
+    dropped = docs(spark, sf_dir).select("doc_id", F.explode(X.noise_lines(F.col("text"))).alias("r")).select("doc_id", "r.reason", "r.line")
+    path = scratch(spark, "rejects")
+    write_json_lines(dropped, path)
+    back = spark.read.schema("doc_id long, reason string, line string").json(path)
+    return back.groupBy("doc_id", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 _KEEP_P = lambda p: f"length({p}) >= 5 AND NOT (length({s_replace(p, '[^' + chr(92) + 'p{L}' + chr(92) + 'p{N}]', '')}) / length({p}) < 0.5 AND length({p}) > 12)"
@@ -404,5 +410,5 @@ def srt_natural(spark, sf_dir):
     name = F.lower("source")
     key = F.array_join(F.transform(F.regexp_extract_all(name, F.lit(r"\d+|\D+"), F.lit(0)), lambda x: F.when(x.rlike(r"^\d"), F.lpad(x, 20, "0")).otherwise(x)), "\x00")
     rows = docs(spark, sf_dir).select("doc_id", key.alias("k"))
-    ranked = rows.select("k").distinct().withColumn("place", F.row_number().over(Window.orderBy("k")))
-    return rows.join(ranked, "k").select("doc_id", "place")
+    places = running(rows.select("k").distinct(), "k", F.lit(1))
+    return rows.join(places, "k").select("doc_id", (F.col("before") + 1).cast("int").alias("place"))

@@ -27,11 +27,12 @@ def whole_texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return raw.select(stem(F.col("_metadata.file_name")).alias("stem"), X.strip(F.regexp_replace("value", "^﻿", "")).alias("text"))
 
 
-def lossy_texts(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """whole_texts() of files that may hold invalid UTF-8, which is left out."""
+def lossy_texts(spark: SparkSession, path: str, glob: str = "*", folder: str | None = None) -> DataFrame:
+    """whole_texts() of files that may hold invalid UTF-8, which is left out; with ``folder`` the value of the path's part ``<folder>=``, too."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
     valid = F.replace(F.make_valid_utf8(F.col("content").cast("string")), F.lit("�"), F.lit(""))
-    return raw.select(stem(F.col("path")).alias("stem"), X.strip(valid).alias("text"))
+    part = [] if folder is None else [F.regexp_extract("path", f"/{folder}=([^/]*)/", 1).alias("folder")]
+    return raw.select(*part, stem(F.col("path")).alias("stem"), X.strip(valid).alias("text"))
 
 
 def delimited(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",", header: bool = True) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -21,6 +21,48 @@ def append_rows(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """(file system, path) of the JVM."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def append_csv(rows: DataFrame, path: str, sep: str = ",") -> None:
+    """Append to a folder of CSV files whose one header is the file ``_header.csv``.
+
+    That name sorts before those of the parts and is passed over by Spark's readers: the
+    folder's files one after the other are a CSV file with its header once.  The header is
+    written with the first rows and must be the same ever after.
+    """
+    line = sep.join(rows.columns) + "\n"
+    fs, header = _files(rows.sparkSession, f"{path}/_header.csv")
+    if fs.exists(header):
+        if _header(rows.sparkSession, path) != line:
+            raise ValueError(f"{path} has other columns than {rows.columns}")
+    else:
+        out = fs.create(header, False)
+        out.write(line.encode())
+        out.close()
+    rows.write.mode("append").options(sep=sep, header=False, escape='"').csv(path)
+
+
+def _header(spark: SparkSession, path: str) -> str:
+    fs, header = _files(spark, f"{path}/_header.csv")
+    file = fs.open(header)
+    try:
+        return bytes(file.readAllBytes()).decode()
+    finally:
+        file.close()
+
+
+def appended_csv(spark: SparkSession, path: str, schema: str, sep: str = ",") -> DataFrame:
+    """The rows of an append_csv() folder; its header must name the schema's columns in order."""
+    rows = spark.read.options(sep=sep, header=False, escape='"', multiLine=True).schema(schema).csv(path)
+    if _header(spark, path) != sep.join(rows.columns) + "\n":
+        raise ValueError(f"{path} has other columns than {rows.columns}")
+    return rows
+
+
 def overwrite_csv(rows: DataFrame, path: str, sep: str = ",") -> None:
     rows.write.mode("overwrite").options(sep=sep, header=True, escape='"').csv(path)
 
@@ -30,6 +72,22 @@ def write_json_lines(rows: DataFrame, path: str) -> None:
     rows.write.json(path)
 
 
+def write_json_arrays(rows: DataFrame, path: str) -> None:
+    """Files that are a JSON array each, an object per line, characters unescaped; a partition without rows is an empty array."""
+
+    def bracketed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lead = "["
+        for frame in batches:
+            if len(frame):
+                lines = "," + frame["value"]
+                lines.iloc[0] = lead + frame["value"].iloc[0]
+                lead = ","
+                yield pd.DataFrame({"value": lines})
+        yield pd.DataFrame({"value": ["[]" if lead == "[" else "]"]})
+
+    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).mapInPandas(bracketed, "value string").write.text(path)
+
+
 def pair_line(path: Column, label: Column) -> Column:
     """``path TAB label`` with control white space of both made spaces; null if either is empty."""
     p, l = X.strip_control(path), X.strip_control(label)
@@ -75,7 +133,9 @@ def inputs_digest(files: DataFrame) -> DataFrame:
     return files.select(line.alias("l")).agg(F.sha1(F.array_join(F.sort_array(F.collect_list("l")), "\n")).alias("digest"))
 
 
-def unchanged(count: int, manifest: DataFrame, outputs: int = 3) -> bool:
-    """Whether a rebuild can be skipped: the manifest's last count is this one and all outputs are there."""
+def unchanged(count: int, manifest: DataFrame, outputs: Sequence[str]) -> bool:
+    """Whether a rebuild can be skipped: the manifest's last count is this one and every output path is there."""
     last = manifest.orderBy(F.desc("built")).first()
-    return last is not None and last["n_inputs"] == count and last["n_outputs"] == outputs
+    if last is None or last["n_inputs"] != count:
+        return False
+    return all(fs.exists(path) for fs, path in (_files(manifest.sparkSession, o) for o in outputs))
