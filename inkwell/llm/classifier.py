@@ -121,7 +121,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text: str, la
     chosen = known.groupBy("__id").agg(F.max("__y").alias("__y")).orderBy(F.xxhash64("__id"), "__id").limit(max_rows)
     rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select("__id", "__y", text)
     wide = store.append_text_columns(rows, text, lambda t: [*features(t).T], [(f, T.DoubleType()) for f in FEATURES]).drop(text)
-    found = wide.toPandas().sort_values(["__id", *FEATURES])
+    # rows of equal id count once, so that what is gathered stays within max_rows
+    once = wide.groupBy("__id", "__y").agg(F.min(F.struct(*FEATURES)).alias("__f")).select("__id", "__y", "__f.*")
+    found = once.toPandas().sort_values("__id")
     return found[FEATURES].to_numpy(float), found["__y"].to_numpy()
 
 
@@ -138,12 +140,3 @@ def score(docs: DataFrame, model: Discriminant, text: str = "text") -> DataFrame
         return [s, (s >= 0.5).astype(np.int32)]
 
     return store.append_text_columns(docs, text, compute, [("score", T.DoubleType()), ("predicted", T.IntegerType())])
-
-
-def brute_score(texts: list[str | None], model: Discriminant) -> pd.Series:
-    """score() on the driver, for tests."""
-    import pyarrow as pa
-
-    from .textkit import column_texts
-
-    return pd.Series(np.concatenate([model.score(features(t)) for _, _, t in column_texts(pa.array(texts, pa.string()))] or [np.zeros(0)]))

@@ -416,6 +416,27 @@ def test_classifier_held_out(spark, nothing):
     assert classifier.score(nothing, model).count() == 0
 
 
+def test_discriminant_equals_the_definition():
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.normal(0, [1, 2, 0.5], (40, 3)), rng.normal(1, [2, 1, 1], (70, 3))])
+    y = np.repeat([0, 1], [40, 70])
+    pooled = sum((y == c).mean() * np.cov(x[y == c].T, bias=True) for c in (0, 1))
+    odds = np.log(70 / 40)
+    for c, sign in ((0, -1), (1, 1)):
+        shrunk = 0.98 * (0.8 * np.cov(x[y == c].T, bias=True) + 0.2 * pooled) + 0.02 * np.diag(np.diag(pooled))
+        away = x - x[y == c].mean(0)
+        mahalanobis = np.einsum("ij,jk,ik->i", away, np.linalg.inv(shrunk), away)
+        odds = odds - sign * 0.5 * (mahalanobis + np.linalg.slogdet(shrunk)[1])
+    assert np.allclose(classifier.fit(x, y).score(x), 1 / (1 + np.exp(-odds)), atol=1e-9)
+
+
+def test_training_rows_are_bounded_where_ids_repeat(spark):
+    rows = [(k % 4, f"word {k % 4} again", "en", "s", 0, "e") for k in range(200)] + [(None, "no id", "en", "s", 0, "e")]
+    known = spark.createDataFrame([(k, k % 2) for k in range(4)], "doc_id long, quality int")
+    x, y = classifier.training_rows(spark.createDataFrame(rows, DOCS), known, "doc_id", "text", "quality", 3)
+    assert len(x) == len(y) == 3 and np.isfinite(x).all()
+
+
 def brute_links(rows):
     groups = collections.defaultdict(list)
     for i, (_, v, label) in enumerate(rows):
@@ -521,3 +542,31 @@ def test_pipeline_stages_keep_their_columns(spark, tmp_path):
             assert not any(i >= 1000 for i in ids) and 1 in ids and len(ids) == 180
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in docs.collect()}
+
+
+def test_pipeline_takes_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    clash = "score string, predicted string, kept string, size string, taken string, start string, sequence_id string, component_id string"
+    schema = f"doc_id long, text string, lang string, source string, n_chars long, {clash}"
+    more = ("c",) * 8
+    rng = np.random.default_rng(12)
+    good = [". ".join(" ".join(rng.choice(vocabulary(rng, 300), 9)) for _ in range(7)) for _ in range(80)]
+    rows = [(i, t, "en", f"s{i % 2}", 1, *more) for i, t in enumerate(good)] + [(100 + i, " ".join(w + "###" for w in t.split()), "en", "s0", 1, *more) for i, t in enumerate(good[:40])]
+    odd = [(None,) * 13, (None, good[0], None, None, None, *[None] * 8), (300, "", "en", None, 0, *more), (301, " \n\t", "en", "", 0, *more), (302, ". ".join(good) * 40, "en", "s1", 0, *more), (5, good[5], "en", "s1", 1, *more)]
+    spark.createDataFrame(rows + odd, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, 0) for i in range(80)] + [(100 + i, 0, 0) for i in range(40)] + [(None, 1, None), (7, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+        out.write.parquet(f"{tmp_path}/{name}")
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+    last = docs.select("doc_id", "text").collect()
+    assert not any(t is None or not t.strip() for _, t in last)
+    assert {d for d, _ in last if d is not None} <= {*range(80), 302}
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {d for d, _ in last}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), str(tmp_path)).count() == 0
