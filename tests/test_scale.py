@@ -61,7 +61,7 @@ def test_profile_counts_rates_at_the_extremes(spark):
 def test_contained_sentences(spark):
     passages = [(1, "the quick brown fox jumps over the lazy dog."), (2, "a dog."), (3, ""), (4, None), (None, "fox")]
     sentences = [(0, "the lazy dog."), (1, "dog."), (2, "brown fox jumps over the lazy cat."), (3, ""), (4, None), (5, "fox"), (6, "dog."), (7, "d")]
-    found = C.contained(spark.createDataFrame(sentences, "doc_id int, s string"), spark.createDataFrame(passages, "item_id int, t string"))
+    found = C.in_passages(spark.createDataFrame(sentences, "doc_id int, s string"), spark.createDataFrame(passages, "item_id int, t string"))
     want = {(d, i) for d, s in sentences for i, t in passages if s and t and s in t}
     assert sorted(((r.doc_id, r.item_id) for r in found.collect()), key=str) == sorted(want, key=str)
 
