@@ -1,4 +1,10 @@
-"""From raw documents to packed training sequences: classifier, rules, near duplicates, mixture, packing."""
+"""From raw documents to packed training sequences: classifier, rules, near duplicates, mixture, packing.
+
+Each stage takes an empty table (no rows come out), nulls in any column, texts of any length and further columns of any
+name, which the first four hand on as they are.  A null or empty text is scored like any other by the classifier and goes
+at the rules at the latest, having under 20 words.  A null host or source is one of its own; it is the last.  Repeated
+rows are near duplicates of each other, whatever their ids; ties go to the least doc_id.
+"""
 
 from __future__ import annotations
 
