@@ -83,4 +83,59 @@ c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
 n AS (SELECT a, count(*) AS n FROM k GROUP BY a)
 SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id"""
 
-ORACLES = {"op1_host_quality_rules": OP1, "op5_stratified_shards": OP5, "op6_warc_boundary_chain": OP6, "op8_projection_forest": OP8, "op9_weighted_mix": OP9}
+_BLANK = r"[^\x20\x09-\x0D]"
+
+
+def _arc(letter: str, cost: str, line: str, state: str) -> str:
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t{line}}}"
+
+
+def _insert(role: str, state: str) -> str:
+    return _arc("I", "3", f" || chr(10) || '{role}:'", state)
+
+
+def _row_arcs(state: int) -> str:
+    """Least of the edits that read a row and end in a state: Delete, Keep and Rerole where its grammar allows them."""
+    came = {1: [0], 2: [0, 1, 3], 3: [2]}.get(state, [])
+    initial, role = {1: ("s", None), 2: ("u", "user"), 3: ("a", "assistant")}.get(state, (None, None))
+    arcs = [_arc("D", "4", "", f"b{state}")]
+    for q in came:
+        arcs.append(f"CASE WHEN stays AND ini = '{initial}' THEN {_arc('K', 'more', ' || chr(10) || line', f'b{q}')} END")
+        if role:
+            arcs.append(f"CASE WHEN stays THEN {_arc('R', '3 + more', f' || chr(10) || {chr(39)}{role}:{chr(39)} || text', f'b{q}')} END")
+    return f"least({', '.join(arcs)})" if len(arcs) > 1 else arcs[0]
+
+
+# least (cost, letters) by state, row by row; the operator goes both ways and walks tight arcs instead
+_FAR = "{'c': 1000000000::BIGINT, 'a': '', 't': ''}"
+_ZERO = "{'c': 0::BIGINT, 'a': '', 't': ''}"
+_CLOSED = f"n0 AS b0, n1 AS b1, n2x AS b2, least(n3, {_insert('assistant', 'n2x')}) AS b3"
+_WIDER = f"least(n2, {_insert('user', 'n0')}, {_insert('user', 'n1')}, {_insert('user', 'n3')}) AS n2x"
+
+OP11 = f"""
+WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+h AS (SELECT *, ({_crc32('key')} % 20)::INTEGER AS h FROM k),
+g AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE WHEN h = 1 THEN '' WHEN h = 2 THEN translate(text, '.!?', '') ELSE text END AS text, unnest(range(CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS copy FROM h WHERE h <> 0),
+n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i FROM g),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, left(role, 1) AS ini, list_last(regexp_extract_all(text, '{_BLANK}')) AS final FROM n),
+m AS MATERIALIZED (SELECT conv_id, turn, i, ini, text, role || ':' || text AS line, CASE WHEN final IS NULL THEN 'blank' WHEN again THEN 'duplicate' WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault, fault IN ('truncated', 'fine') AS stays, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more,
+  coalesce(lag(ini) OVER (PARTITION BY conv_id ORDER BY i) || ini NOT IN ('su', 'ua', 'au'), false) AS illegal FROM o),
+z AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (illegal) AS illegal FROM m GROUP BY conv_id),
+r AS (SELECT conv_id, 0::BIGINT AS i, {_CLOSED} FROM (SELECT *, {_WIDER} FROM (SELECT DISTINCT conv_id, {_ZERO} AS n0, {_FAR} AS n1, {_FAR} AS n2, {_FAR} AS n3 FROM m))
+  UNION ALL SELECT conv_id, i, {_CLOSED} FROM (SELECT *, {_WIDER} FROM (SELECT m.conv_id, m.i, {_row_arcs(0)} AS n0, {_row_arcs(1)} AS n1, {_row_arcs(2)} AS n2, {_row_arcs(3)} AS n3 FROM r JOIN m ON m.conv_id IS NOT DISTINCT FROM r.conv_id AND m.i = r.i + 1))),
+e AS (SELECT z.*, least(r.b0, r.b3) AS best FROM z JOIN r ON z.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = z.n),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit, sha256(coalesce(substr(best.t, 2), '')) AS repaired_sha256
+FROM c LEFT JOIN e ON c.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+_DRAWS = ", ".join(f"('0x' || substr(h, {8 * k + 1}, 8))::BIGINT AS h{k + 1}" for k in range(4))
+
+OP12 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (SELECT doc_id, t, {_DRAWS}, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS u, len(u)::BIGINT AS n FROM d),
+c AS (SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form, u, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b FROM u),
+p AS (SELECT doc_id, t, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
+
+ORACLES = {"op1_host_quality_rules": OP1, "op5_stratified_shards": OP5, "op6_warc_boundary_chain": OP6, "op8_projection_forest": OP8, "op9_weighted_mix": OP9, "op11_tight_arc_repair": OP11, "op12_bit_parallel_fim": OP12}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, embed_dedup, html_extract, mixing, near_dup, packing, quality_rules, sharding, store, token_files, warc
+from . import classifier, conversations, embed_dedup, fim, html_extract, mixing, near_dup, packing, quality_rules, sharding, store, token_files, warc
 from .oracles import ORACLES
 
 
@@ -74,6 +74,14 @@ def op10_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, manifest, out)
 
 
-QUERIES = {f.__name__: f for f in (op1_host_quality_rules, op2_differencing_packing, op3_tag_path_text, op4_probminhash_near_dup, op5_stratified_shards, op6_warc_boundary_chain, op7_quadratic_discriminant, op8_projection_forest, op9_weighted_mix, op10_arrow_token_files)}
+def op11_tight_arc_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audited(_read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
+def op12_bit_parallel_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(_read(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_host_quality_rules, op2_differencing_packing, op3_tag_path_text, op4_probminhash_near_dup, op5_stratified_shards, op6_warc_boundary_chain, op7_quadratic_discriminant, op8_projection_forest, op9_weighted_mix, op10_arrow_token_files, op11_tight_arc_repair, op12_bit_parallel_fim)}
 
 __all__ = ["ORACLES", "QUERIES"]
