@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import classifier, conversations, embed_dedup, fim, html_extract, mixing, near_dup, packing, quality_rules, sharding, store, token_files, warc
+from . import classifier, conversations, embed_dedup, fim, html_extract, langid, mixing, near_dup, packing, quality_rules, sharding, store, token_files, warc
 from .oracles import ORACLES
 
 
@@ -82,6 +82,14 @@ def op12_bit_parallel_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(_read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_host_quality_rules, op2_differencing_packing, op3_tag_path_text, op4_probminhash_near_dup, op5_stratified_shards, op6_warc_boundary_chain, op7_quadratic_discriminant, op8_projection_forest, op9_weighted_mix, op10_arrow_token_files, op11_tight_arc_repair, op12_bit_parallel_fim)}
+def op13_family_pair_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
+    model = langid.train(docs.where(fold != 0))
+    held_out = F.coalesce(fold == 0, F.lit(False))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_host_quality_rules, op2_differencing_packing, op3_tag_path_text, op4_probminhash_near_dup, op5_stratified_shards, op6_warc_boundary_chain, op7_quadratic_discriminant, op8_projection_forest, op9_weighted_mix, op10_arrow_token_files, op11_tight_arc_repair, op12_bit_parallel_fim, op13_family_pair_language)}
 
 __all__ = ["ORACLES", "QUERIES"]
