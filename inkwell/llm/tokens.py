@@ -25,12 +25,15 @@ from tokenizers import Tokenizer
 
 #: pieces that are not plain, kept with their ids by each worker at most; later ones are asked for each time
 PIECES = 50_000
+#: white space in a row that the merger's pattern, which recurses over it, is still given
+RUN = 10_000
 #: characters looked at together
 SLICE_CHARS = 1 << 19
 
 # A white-space run goes with the word behind it, or stands alone at the end.  White space
 # is the Unicode property, as in the pre-tokenizers' patterns.
 _CHUNK = regex.compile(r"\p{White_Space}*+\P{White_Space}++|\p{White_Space}++")
+_LONG = regex.compile(rf"\p{{White_Space}}{{{RUN}}}")
 # The patterns that the two kinds of pre-tokenization imply (fixed values of the formats).
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -130,8 +133,11 @@ class Encoder:
     def by_library(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _long(self, text: str) -> bool:
+        return not self.words and len(text) >= RUN and _LONG.search(text) is not None
+
     def by_pieces(self, text: str) -> bytes:
-        """A text that is not plain, cut before white space; runs of pieces that are plain go together."""
+        """A text that is not plain, or has a long run of white space, cut before white space; runs of pieces that are plain go together."""
         out: list[bytes] = []
         plain: list[str] = []
 
@@ -141,7 +147,7 @@ class Encoder:
                 plain.clear()
 
         for piece in _CHUNK.findall(text):
-            if _PLAIN(piece):
+            if _PLAIN(piece) and not self._long(piece):
                 plain.append(piece)
                 continue
             close()
@@ -175,7 +181,7 @@ class Encoder:
         for i, t in enumerate(texts):
             if any(content in t for content in self.added):
                 out[i] = self.by_library(t)
-            elif t.isascii() or _PLAIN(t):
+            elif (t.isascii() or _PLAIN(t)) and not self._long(t):
                 plain.append(i)
             else:
                 out[i] = self.by_pieces(t)

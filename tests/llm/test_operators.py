@@ -92,6 +92,17 @@ def test_token_ids_are_the_librarys(rows, name):
     assert tokens.load(path).size == whole.get_vocab_size()
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\t", "\r\n ", "\xa0"])
+def test_long_white_space_is_encoded_and_packed(spark, run):
+    text = "a b x" + run * (2_000_000 // len(run)) + "y é\n日" + run * 30_000
+    encode = library("byte_bpe_50k.json")
+    rows = [(1, text, "en", "s", 0, "e"), (2, run * 12_000, "en", "s", 0, "e")]
+    out = packing.pack(spark.createDataFrame(rows, DOCS), public_tokenizers.path("byte_bpe_50k.json"), with_ids=True).collect()
+    for doc, whole, *_ in rows:
+        pieces = sorted((p for p in out if p.doc_id == doc), key=lambda p: p.start)
+        assert np.array([i for p in pieces for i in p.ids], "<u4").tobytes() == encode(whole) + b"\0\0\0\0"
+
+
 def library(name):
     """text -> ids by the library alone, as bytes."""
     whole = Tokenizer.from_file(public_tokenizers.path(name))
