@@ -4,10 +4,13 @@ A page is read once into text nodes, each with its path of block tags from the r
 path, the length of text and the number of punctuation marks are summed and divided by
 the path's nodes; text inside links counts against it, and so do class and id words of
 boilerplate, as a factor.  The fused ratio is smoothed over the nodes in page order and
-thresholded: nodes of paths above it are content.  Beside them stay, within the deepest
-container around all of them, headings before what stays and other short texts that are
-neither links nor marked.  What is boilerplate by its tag, its role or because it is hidden
-is never looked at.
+thresholded: nodes of paths above it are content.  Each ``article`` or ``main`` has paths of
+its own, so that a card's share no ratio with the article's; where such elements hold most of
+the text that passes, what lies outside them goes.  Beside the passing nodes stay, within the
+deepest container around all of them, headings before what stays, texts that are neither links
+nor marked and lie in no container further in, and lists of links under a heading of sources.
+What is boilerplate by its tag, its role or because it is hidden is never looked at; a form is
+boilerplate unless it is wrapped around containers that hold most of the page's text.
 
 Time and memory grow with the page, not with its depth.
 
@@ -35,12 +38,12 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul".split())
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th", "tbody", "thead"}, "tbody": {"tr", "td", "th", "tbody", "thead"}, "tfoot": {"tr", "td", "th", "tbody", "thead"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "thead": {"table"}, "tbody": {"table"}, "tfoot": {"table"}, "option": {"select"}, "p": {"article", "aside", "blockquote", "body", "button", "div", "figure", "footer", "form", "header", "li", "main", "nav", "section", "table", "td", "th"}}
-BOILERPLATE = frozenset("script style noscript template title head nav footer aside form select option button textarea input iframe object canvas svg math dialog menu noembed noframes".split())
+BOILERPLATE = frozenset("script style noscript template title head nav footer aside select option button textarea input iframe object canvas svg math dialog menu noembed noframes".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu submenu sidebar aside footer"
     " masthead cookie cookies consent gdpr notice notices alert popup modal overlay comment comments reply replies respond disqus discussion related recommended"
-    " newsletter subscribe subscription signup login breadcrumb breadcrumbs pagination pager share sharing social toolbar widget widgets disclaimer copyright".split()
+    " newsletter subscribe subscription signup login breadcrumb breadcrumbs pagination pager share sharing social toolbar widget widgets disclaimer copyright feedback guestbook talkback".split()
 )
 #: words that change nothing beside one of WORDS
 BESIDE = frozenset("area bar block bottom box container footer form head header inner item items left link links list outer panel post posts right section side site slot stories text thread title top unit wrap wrapper".split())
@@ -50,6 +53,10 @@ STRONG = frozenset("comment comments respond disqus sidebar cookie cookies newsl
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTENT = frozenset("article main".split())
 CONTAINERS = CONTENT | frozenset("html body section div center td".split())
+#: containers that a text beside passing paths must not lie in further in
+APART = CONTAINERS - frozenset("html body td center".split())
+#: headings of lists whose links belong to the article
+SOURCES = re.compile(r"(?:sources?|references?|bibliography|citations?|(?:foot)?notes|works cited|literature|quellen|literatur|einzelnachweise|références|bibliographie|fuentes|referencias|bibliografía|notas)\W*", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？·\"'«»“”()¿¡-]")
 
 _TOKEN = re.compile(
@@ -205,7 +212,7 @@ def parse(page: str) -> Page:
         held_by.append(len(own))
         if not inline:
             above, path = own[-1]
-            label = f"{tag}.{first}" if first and tag in CONTAINERS else tag
+            label = f"{tag}#{len(out.tags)}" if tag in CONTENT else f"{tag}.{first}" if first and tag in CONTAINERS else tag
             key = (path, label + "!" * marked)
             if key not in paths:
                 paths[key] = len(out.marked_path)
@@ -272,43 +279,78 @@ def content_paths(page: Page, nodes: list[Node]) -> set[int]:
     return out
 
 
+def outside_forms(page: Page) -> list[Node]:
+    """The nodes that lie in no form, but for forms around containers that hold at least half of the page's text."""
+    if "form" not in page.tags:
+        return page.nodes
+    chars, wraps = [0] * len(page.tags), [False] * len(page.tags)
+    for x in page.nodes:
+        chars[x.element] += len(x.text)
+    for e in range(len(page.tags) - 1, 0, -1):
+        up = page.parents[e]
+        chars[up] += chars[e]
+        wraps[up] |= wraps[e] or page.tags[e] in APART or page.tags[e] in HEADINGS
+    gone = [False] * len(page.tags)
+    for e in range(1, len(page.tags)):
+        gone[e] = gone[page.parents[e]] or (page.tags[e] == "form" and not (wraps[e] and 2 * chars[e] >= chars[0]))
+    return [x for x in page.nodes if not gone[x.element]]
+
+
+def in_articles(page: Page, nodes: list[Node]) -> list[Node]:
+    """The nodes within ``article`` and ``main`` if these hold at least half of the text that passes, else all."""
+    marked = [False] * len(page.tags)
+    for e in range(1, len(page.tags)):
+        marked[e] = page.tags[e] in CONTENT or marked[page.parents[e]]
+    if not any(marked):
+        return nodes
+    paths = content_paths(page, nodes)
+    passing = [x for x in nodes if x.path in paths]
+    inside = sum(len(x.text) for x in passing if marked[x.element])
+    return [x for x in nodes if marked[x.element]] if 2 * inside >= sum(len(x.text) for x in passing) else nodes
+
+
 def content_nodes(page: Page, nodes: list[Node]) -> list[Node]:
-    """Nodes of content paths, and within the deepest container around them headings before what stays and short texts."""
+    """Nodes of content paths, and within the deepest container around them what belongs to them."""
     if not nodes:
         return []
     paths = content_paths(page, nodes)
     there, all_there = held(page, (x.element for x in nodes if x.path in paths)), held(page, (x.element for x in nodes))
     # a block of a single text is no home, unless marked as content: its heading lies beside it
     home = next((e for e in range(len(page.tags) - 1, 0, -1) if there[e] == there[0] and (page.tags[e] in CONTENT or (page.tags[e] in CONTAINERS and all_there[e] > 1))), 0)
-    within, clean = [False] * len(page.tags), [False] * len(page.tags)
+    # per element whether it lies in home, without a mark between, and without a container between
+    within, clean, near = ([False] * len(page.tags) for _ in range(3))
     for e in range(len(page.tags)):
         up = page.parents[e]
         within[e] = e == home or (e > 0 and within[up])
         clean[e] = e == home or (e > 0 and clean[up] and not page.marks[e])
+        near[e] = e == home or (e > 0 and near[up] and page.tags[e] not in APART)
+    cited, listed = [], False
+    for x in nodes:
+        if page.heading_path[x.path]:
+            listed = SOURCES.fullmatch(x.text) is not None
+        cited.append(listed)
     out: list[Node] = []
     follows = False  # whether what comes next, headings aside, stays
-    for x in reversed(nodes):
-        if x.path in paths:
-            stays = follows = True
-        elif page.heading_path[x.path]:
+    for x, source in zip(reversed(nodes), reversed(cited), strict=True):
+        if page.heading_path[x.path] and (x.path not in paths or not PUNCTUATION.search(x.text)):
+            # smoothing lifts headings of what goes, too
             stays = follows and within[x.element] and clean[x.element]
+        elif x.path in paths:
+            stays = follows = True
         else:
-            stays = follows = within[x.element] and clean[x.element] and x.linked < LINKED * len(x.text)
+            stays = follows = clean[x.element] and near[x.element] and (source or x.linked < LINKED * len(x.text))
         if stays:
             out.append(x)
     return out[::-1]
 
 
 def main_text(html: str | None) -> str:
-    """The page's main text, its blocks joined by one space; of a page with marked articles what lies in them."""
+    """The page's main text, its blocks joined by one space."""
     if not html:
         return ""
     page = parse(html)
-    marked = [False] * len(page.tags)
-    for e in range(1, len(page.tags)):
-        marked[e] = page.tags[e] in CONTENT or marked[page.parents[e]]
-    inside = [x for x in page.nodes if marked[x.element]]
-    return " ".join(x.text for x in content_nodes(page, inside or page.nodes))
+    nodes = outside_forms(page)
+    return " ".join(x.text for x in content_nodes(page, in_articles(page, nodes) if nodes else []))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -208,6 +208,42 @@ def test_html_nodes_are_chosen_by_their_paths(page, want):
     assert html_extract.main_text(page) == want
 
 
+PARAGRAPHS = f"<p>{LONG_TEXT}</p><p>{LONG_TEXT}</p>"
+COMMENTS = "".join(f"<div class='c{i}'><b>user{i}</b><p>I liked this, thanks. Great!</p></div>" for i in range(6))
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        # teaser cards marked as articles below a text in a div
+        (f"<body><div class='x'><h1>T</h1>{PARAGRAPHS}</div><article><p>Short teaser, here.</p></article><article><h3>More</h3><p>Another, short.</p></article></body>", f"T {FLAT} {FLAT}"),
+        # a main article and cards that are articles too, inside main
+        (f"<main><article><h1>T</h1>{PARAGRAPHS}<p>End.</p></article><article><h3>More</h3><p>Another, short.</p></article></main>", f"T {FLAT} {FLAT} End."),
+        # several articles of like length all stay
+        (f"<main><article><h2>One</h2>{PARAGRAPHS}</article><article><h2>Two</h2>{PARAGRAPHS}</article></main>", f"One {FLAT} {FLAT} Two {FLAT} {FLAT}"),
+        # a form around the whole page, one within it, and one that is the page's least part
+        (f"<body><form id='aspnetForm'><div id='m'><h1>T</h1>{PARAGRAPHS}</div><div><form><p>Subscribe, now.</p></form></div></form></body>", f"T {FLAT} {FLAT}"),
+        (f"<body><h1>T</h1>{PARAGRAPHS}<form><div><p>Write to us, please. We answer, soon.</p></div></form></body>", f"T {FLAT} {FLAT}"),
+        # neutral boxes beside the text: a cookie line, a rights line, an advert between two paragraphs
+        (f"<body><div class='page'><h1>T</h1>{PARAGRAPHS}<div class='q'>We use cookies, to serve you.</div><div class='z'>All rights reserved.</div></div></body>", f"T {FLAT} {FLAT}"),
+        (f"<article><h1>T</h1><p>{LONG_TEXT}</p><div class='box'>Buy this, now. It is cheap.</div><p>{LONG_TEXT}</p></article>", f"T {FLAT} {FLAT}"),
+        # reader comments under a name that is not common
+        (f"<body><div class='page'><h1>T</h1>{PARAGRAPHS}</div><section class='user-feedback'>{COMMENTS}</section></body>", f"T {FLAT} {FLAT}"),
+        (f"<article><h1>T</h1>{PARAGRAPHS}<section class='voices'>{COMMENTS}</section></article>", f"T {FLAT} {FLAT}"),
+        # links of sources belong to the article, others do not; a table's cells do
+        (f"<article><h1>T</h1>{PARAGRAPHS}<h2>Sources</h2><ul><li><a href='#'>A book</a><li><a href='#'>A paper</a></ul></article>", f"T {FLAT} {FLAT} Sources A book A paper"),
+        (f"<article><h1>T</h1>{PARAGRAPHS}<h2>Top stories</h2><ul><li><a href='#'>A book</a><li><a href='#'>A paper</a></ul></article>", f"T {FLAT} {FLAT}"),
+        (f"<article><p>{LONG_TEXT}</p><table><tr><td>Year<td>Sum<tr><td>1999<td>12</table><p>{LONG_TEXT}</p></article>", f"{FLAT} Year Sum 1999 12 {FLAT}"),
+        # nothing but short texts, one text, no text
+        ("<body><article><p>Short.</p></article></body>", "Short."),
+        ("<article></article><p>x</p>", "x"),
+        ("<form><input><p>Name</p></form>", ""),
+    ],
+)
+def test_html_ratio_decides_beside_tags(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def test_html_deep_pages_cost_no_more_than_flat_ones():
     import time
 
