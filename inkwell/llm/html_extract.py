@@ -6,9 +6,10 @@ the path's nodes; text inside links counts against it, and so do class and id wo
 boilerplate, as a factor.  The fused ratio is smoothed over the nodes in page order and
 thresholded: nodes of paths above it are content.  Each ``article`` or ``main`` has paths of
 its own, so that a card's share no ratio with the article's; where such elements hold most of
-the text that passes, what lies outside them goes.  Beside the passing nodes stay, within the
-deepest container around all of them, headings before what stays, texts that are neither links
-nor marked and lie in no container further in, and lists of links under a heading of sources.
+the text outside links and marked paths, what lies outside them goes.  Beside the passing
+nodes stay, within the deepest container around all of them, headings before what stays, texts
+that are neither links nor marked and lie in no container further in, and lists of links under
+a heading of sources.
 What is boilerplate by its tag, its role or because it is hidden is never looked at; a form is
 boilerplate unless it is wrapped around containers that hold most of the page's text.
 
@@ -297,16 +298,13 @@ def outside_forms(page: Page) -> list[Node]:
 
 
 def in_articles(page: Page, nodes: list[Node]) -> list[Node]:
-    """The nodes within ``article`` and ``main`` if these hold at least half of the text that passes, else all."""
+    """The nodes within ``article`` and ``main`` if these hold at least half of the text outside links and marked paths, else all."""
     marked = [False] * len(page.tags)
     for e in range(1, len(page.tags)):
         marked[e] = page.tags[e] in CONTENT or marked[page.parents[e]]
-    if not any(marked):
-        return nodes
-    paths = content_paths(page, nodes)
-    passing = [x for x in nodes if x.path in paths]
-    inside = sum(len(x.text) for x in passing if marked[x.element])
-    return [x for x in nodes if marked[x.element]] if 2 * inside >= sum(len(x.text) for x in passing) else nodes
+    inside = [x for x in nodes if marked[x.element]]
+    chars = lambda some: sum(len(x.text) - x.linked for x in some if not page.marked_path[x.path])
+    return inside if inside and 2 * chars(inside) >= chars(nodes) else nodes
 
 
 def content_nodes(page: Page, nodes: list[Node]) -> list[Node]:
