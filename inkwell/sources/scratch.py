@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -16,3 +16,10 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.gettempdir()}/inkwell"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The same rows as a Parquet table in the shared folder: read by column, and of a size that the planner knows."""
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
