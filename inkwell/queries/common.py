@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..operators import spelling
+from ..operators.filters import STOPWORDS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +76,28 @@ def s_sentences(x: str) -> str:
     return f"list_filter(list_transform({parts}, lambda s: {s_strip('s')}), lambda s: s <> '')"
 
 
+#: accented letters, each as a sign that no word holds, for an engine that measures words by their bytes
+_ACCENTED = "àâäáãåçéèêëîïíìôöóòõùûüúÿñßœæ"
+_SIGNS = '!"#$%&()*+,-./:;<=>?@[]^`{|}~'
+
+
+def s_corrections(texts: str) -> str:
+    """CTEs over texts (doc_id, text): ``nearest`` (word, fixed, edits) by all pairs of rare and known words, ``spelt`` (doc_id, i, piece, fixed) of all pieces."""
+    plain = lambda x: f"translate({x}, '{_ACCENTED}', '{_SIGNS[: len(_ACCENTED)]}')"
+    within = f"length(word) BETWEEN {spelling.LEAST} AND {spelling.LONGEST}"
+    stop = ", ".join(map(q, STOPWORDS))
+    return f"""texts AS MATERIALIZED ({texts}),
+ tokens AS (SELECT doc_id, word, count(*) AS here FROM (SELECT doc_id, unnest({s_words('text')}) AS word FROM texts) GROUP BY ALL),
+ counts AS MATERIALIZED (SELECT word, sum(here) AS n FROM tokens GROUP BY word),
+ rare AS MATERIALIZED (SELECT doc_id, word FROM tokens JOIN counts USING (word) WHERE here = 1 AND n < {spelling.KNOWN} AND {within} AND word NOT IN ({stop})),
+ asked AS MATERIALIZED (SELECT DISTINCT word, {plain('word')} AS a FROM rare),
+ known AS MATERIALIZED (SELECT word AS fixed, n, {plain('word')} AS b FROM counts WHERE n >= {spelling.KNOWN} AND {within}),
+ near AS (SELECT word, fixed, n, damerau_levenshtein(a, b)::INTEGER AS edits FROM asked JOIN known ON abs(length(a) - length(b)) <= 2 WHERE edits <= CASE WHEN length(word) < {spelling.TWO_EDITS} THEN 1 ELSE 2 END),
+ nearest AS MATERIALIZED (SELECT word, arg_min(fixed, {{'e': edits, 'n': -n, 'w': fixed}}) AS fixed, min(edits) AS edits FROM near GROUP BY word),
+ pieces AS (SELECT doc_id, unnest(p) AS piece, generate_subscripts(p, 1) AS i FROM (SELECT doc_id, regexp_extract_all(text, {q(T.WORD + '|[^' + T.WORD[1:-2] + ']+')}) AS p FROM texts)),
+ spelt AS (SELECT pieces.doc_id, i, piece, nearest.fixed FROM pieces LEFT JOIN rare ON pieces.doc_id = rare.doc_id AND lower(piece) = rare.word LEFT JOIN nearest ON rare.word = nearest.word)"""
+
+
 #: a score table with ties, nulls, values above the clip and documents that nothing covers
 SCORES = """scores AS (
   SELECT doc_id, source, CAST(i AS INTEGER) AS idx,
