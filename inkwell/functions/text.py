@@ -6,7 +6,7 @@ different regular-expression engines.  Patterns here are valid for Java and for
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +17,10 @@ ColumnLike = Column | str
 WS_SET = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WS = f"[{WS_SET}]"
 NOT_WS = f"[^{WS_SET}]"
+#: the same characters, one by one
+WS_CHARS = "".join(chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+#: white space that is not one plain space, which collapse() leaves as it is
+WS_UNEVEN = f"[{WS_SET.replace('\\x1C-\\x20', '\\x1C-\\x1F')}]{WS}*|\\x20{WS}+"
 LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
 WORD = r"[\p{L}\p{N}_]+"
 #: words with inner apostrophes kept
@@ -34,19 +38,26 @@ def col(c: ColumnLike) -> Column:
 
 
 def strip(c: ColumnLike) -> Column:
-    return F.regexp_replace(col(c), STRIP, "")
+    return F.btrim(col(c), F.lit(WS_CHARS))
+
+
+def once(c: Column, function: Callable[[Column], Column]) -> Column:
+    """function(c), with c computed once however often the function uses it: a name of transform() stands for it."""
+    return F.get(F.transform(F.array(c), function), F.lit(0))
 
 
 def collapse(c: ColumnLike) -> Column:
     """Every run of white space as one space."""
-    return F.regexp_replace(col(c), f"{WS}+", " ")
+    return F.regexp_replace(col(c), WS_UNEVEN, " ")
 
 
 def lines(c: ColumnLike) -> Column:
     """Array of lines, at any line boundary; a final boundary opens no line."""
-    whole = F.split(col(c), LINE_END, -1)
-    ends_open = (F.size(whole) > 0) & (F.element_at(whole, -1) == "")
-    return F.when(ends_open, F.slice(whole, 1, F.greatest(F.size(whole) - 1, F.lit(0)))).otherwise(whole)
+    def closed(whole: Column) -> Column:
+        ends_open = (F.size(whole) > 0) & (F.element_at(whole, -1) == "")
+        return F.when(ends_open, F.slice(whole, 1, F.greatest(F.size(whole) - 1, F.lit(0)))).otherwise(whole)
+
+    return once(F.split(col(c), LINE_END, -1), closed)
 
 
 def words(c: ColumnLike) -> Column:
@@ -64,11 +75,11 @@ def fields(c: ColumnLike) -> Column:
 
 def letters(c: ColumnLike) -> Column:
     """Number of letters."""
-    return F.length(F.regexp_replace(col(c), r"[^\p{L}]", ""))
+    return F.length(F.regexp_replace(col(c), r"[^\p{L}]+", ""))
 
 
 def letters_digits(c: ColumnLike) -> Column:
-    return F.length(F.regexp_replace(col(c), r"[^\p{L}\p{N}]", ""))
+    return F.length(F.regexp_replace(col(c), r"[^\p{L}\p{N}]+", ""))
 
 
 def count_of(c: ColumnLike, char: str) -> Column:
@@ -112,7 +123,7 @@ def norm_crop_composed(c: ColumnLike) -> Column:
 def norm_typo(c: ColumnLike) -> Column:
     """Typography: quotes, ellipsis, dashes, the word ``oe`` as ligature, all white space to one space."""
     plain = replace_all(col(c), [*QUOTES, *GUILLEMETS, ("…", "..."), *DASHES])
-    return strip(collapse(replace_word(plain, "oe", "œ")))
+    return strip(collapse(replace_literal(plain, "oe", "œ")))
 
 
 def norm_quotes(c: ColumnLike) -> Column:
@@ -137,6 +148,11 @@ def replace_word(c: ColumnLike, pattern: str, new: str) -> Column:
     return F.regexp_replace(col(c), EDGE_LEFT + pattern + EDGE_RIGHT, new.replace("$", r"\$"))
 
 
+def replace_literal(c: ColumnLike, word: str, new: str) -> Column:
+    """replace_word() of a word without pattern signs; texts that do not hold it are not searched for its edges."""
+    return once(col(c), lambda t: F.when(F.contains(t, F.lit(word)), replace_word(t, word, new)).otherwise(t))
+
+
 # Characters of labels and what stands for them; those without an entry stay.
 LABEL_ONE = {"−": "-", "‐": "-", "‒": "-", "–": "-", "—": "-", "―": "-", "“": '"', "”": '"', "‘": "'", "’": "'", "⁄": "/", "∗": "*", "÷": "/", "×": "x", "♯": "#", "Ø": "O"}
 LABEL_MANY = {"…": "...", "©": "(c)", "®": "(R)", "Δ": "Delta", "Λ": "Lambda", "π": "pi", "λ": "lambda", "γ": "gamma", "ν": "nu", "η": "eta", "φ": "phi", "Σ": "SUM", "∑": "SUM"}
@@ -181,8 +197,11 @@ def strip_control(c: ColumnLike) -> Column:
 def dehyphenate(c: ColumnLike) -> Column:
     """Words cut by a hyphen and white space joined; a hyphen alone becomes a space."""
     word = r"[\p{L}\p{N}_]"
-    joined = F.regexp_replace(col(c), rf"({word})-{WS}+({word})", "$1$2")
-    return F.regexp_replace(joined, rf"({WS}|^)-({WS}|\z)", " ")
+
+    def joined(t: Column) -> Column:
+        return F.regexp_replace(F.regexp_replace(t, rf"({word})-{WS}+({word})", "$1$2"), rf"({WS}|^)-({WS}|\z)", " ")
+
+    return once(col(c), lambda t: F.when(F.contains(t, F.lit("-")), joined(t)).otherwise(t))
 
 
 def split_long_lines(c: ColumnLike, longest: int = 800) -> Column:

@@ -14,6 +14,8 @@ NOISE = [
     r"^politique de confidentialité", r"@studocu", r"^(\d{1,2}%|\d{1,2} \%)$", r"^=+$", r"^\s*-+\s*$",
 ]
 NOISE_PATTERN = "(?i)" + "|".join(NOISE)
+#: the same for Java, which otherwise tries all of them at every place of a line
+_NOISE_JAVA = "(?iu)^(?:" + "|".join(n[1:] for n in NOISE if n[0] == "^") + ")|" + "|".join(n for n in NOISE if n[0] != "^")
 # French words too common to be called rare.
 STOPWORDS = (
     "le la et de du en à les des un une dans au pour par sur avec ou se ce il elle nous vous je tu ils elles "
@@ -27,9 +29,9 @@ def noise_reason(line: Column) -> Column:
     size = F.length(line)
     return (
         F.when(size == 0, "empty")
-        .when((T.letters(line) / (size + 1e-5) < 0.45) & (size > 16), "letters")
+        .when((size > 16) & (T.letters(line) / (size + 1e-5) < 0.45), "letters")
         .when(size < 4, "short")
-        .when(line.rlike(NOISE_PATTERN.replace("(?i)", "(?iu)")), "pattern")
+        .when(line.rlike(_NOISE_JAVA), "pattern")
     )
 
 
@@ -50,7 +52,7 @@ def symbol_paragraphs(paragraphs: Column) -> Column:
     """Trimmed paragraphs without repeated ones, those of under 5 characters and long ones of mostly symbols."""
     each = F.transform(paragraphs, T.strip)
     size = F.length
-    return F.array_distinct(F.filter(each, lambda p: (size(p) >= 5) & ~((T.letters_digits(p) / size(p) < 0.5) & (size(p) > 12))))
+    return F.array_distinct(F.filter(each, lambda p: (size(p) >= 5) & ~((size(p) > 12) & (T.letters_digits(p) / size(p) < 0.5))))
 
 
 def useful_replacement(old: Column, new: Column) -> Column:
@@ -68,7 +70,7 @@ MISREAD = [
 def correct_misreadings(text: Column, custom: list[tuple[str, str]] | None = None) -> Column:
     """The fixed replacements between word edges, then the custom (pattern, replacement) pairs, in order."""
     for old, new in MISREAD:
-        text = T.replace_word(text, old, new)
+        text = T.replace_literal(text, old, new)
     for pattern, new in custom or []:
         text = F.regexp_replace(text, pattern, new)
     return text
@@ -78,9 +80,8 @@ def clean_paragraphs(text: Column) -> Column:
     """Hyphens joined, lines joined, a sentence per line, capitals, then symbol_paragraphs()."""
     lines = F.filter(F.transform(F.split(T.dehyphenate(text), "\n", -1), T.strip), lambda l: l != "")
     per_sentence = F.split(F.regexp_replace(F.array_join(lines, " "), f"([.!?]){T.WS}+", "$1\n"), "\n", -1)
-    first = F.slice(per_sentence, 1, 1)
-    rest = F.transform(F.slice(per_sentence, 2, 1_000_000), capital)
-    return F.array_join(symbol_paragraphs(F.concat(first, rest)), "\n")
+    spelt = F.transform(per_sentence, lambda s, i: F.when(i == 0, s).otherwise(capital(s)))
+    return F.array_join(symbol_paragraphs(spelt), "\n")
 
 
 def capital(s: Column) -> Column:

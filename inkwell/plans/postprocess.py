@@ -1,4 +1,4 @@
-"""The post-processing pipeline: text to text in a fixed order, in one projection."""
+"""The post-processing pipeline: text to text in a fixed order, projections but for the correction of rare words."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import filters
+from ..operators import filters, spelling
 
 LONGEST = 1000
 
@@ -31,3 +31,17 @@ def postprocess(docs: DataFrame, text: str = "text", longest: int = LONGEST, cus
     for _, step in steps(longest, custom):
         out = out.withColumn(text, step(F.col(text)))
     return out
+
+
+def postprocess_full(docs: DataFrame, text: str = "text", longest: int = LONGEST, custom: list[tuple[str, str]] | None = None, known: int = spelling.KNOWN) -> tuple[DataFrame, DataFrame]:
+    """(docs with the text cleaned and its rare words corrected, the corrections): all eight steps.
+
+    Rare words are looked for in the cleaned text, as are the corpus's known words, and
+    repeated lines are dropped once more after the correction, which may make lines equal.
+    """
+    out = docs
+    for name, step in steps(longest, custom):
+        if name == "dedup":
+            out, found = spelling.corrected(out, text, known)
+        out = out.withColumn(text, step(F.col(text)))
+    return out, found

@@ -20,10 +20,10 @@ _ROWS = f"""(SELECT doc_id, k, CASE WHEN doc_id % 11 = 0 THEN NULL ELSE 'crops/'
 def _rows(spark, sf_dir):
     """Labels made for crops of all lines of a text, as long as a crop can hold or a little longer."""
     d, k = F.col("doc_id"), F.col("k")
-    width = F.when(d % 7 == 1, 100).otherwise(78)
-    count = F.ceil(F.length("text") / width).cast("int") + (d % 7 == 0).cast("int")
-    each = docs(spark, sf_dir).select("doc_id", "text", width.alias("w"), F.explode(F.when(count > 0, F.sequence(F.lit(0), count - 1))).alias("k"))
-    piece = F.substr("text", 1 + k * F.col("w"), F.col("w"))
+    cut = lambda width: F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{width}}}"), F.lit(0))
+    pieces = F.concat(F.when(d % 7 == 1, cut(100)).otherwise(cut(78)), F.when(d % 7 == 0, F.array(F.lit(""))).otherwise(F.array().cast("array<string>")))
+    each = docs(spark, sf_dir).select("doc_id", F.posexplode(pieces).alias("k", "piece"))
+    piece = F.col("piece")
     more = F.when((d + k) % 9 == 0, "…").otherwise("")
     sign = F.when(k % 4 == 0, "√").otherwise("")
     label = F.when(d % 7 == 1, piece).when(d % 7 == 2, F.concat(sign, piece)).otherwise(F.concat(piece, more))

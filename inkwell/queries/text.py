@@ -11,11 +11,12 @@ from ..operators import filters as X
 from ..operators.dataset import running
 from ..operators.similarity import multiset_overlap
 from ..operators.unicode import nfkc
+from ..plans import postprocess as postprocess_plan
 from ..plans.postprocess import postprocess
 from ..registry import register
 from ..sources.scratch import scratch
 from ..sources.sinks import write_json_lines
-from .common import docs, q, s_collapse, s_fold, s_lines, s_pairs, s_replace, s_sentences, s_split_after, s_strip, s_words
+from .common import docs, q, s_collapse, s_corrections, s_fold, s_lines, s_pairs, s_replace, s_sentences, s_split_after, s_strip, s_words
 
 
 def _signed(df: DataFrame, c) -> DataFrame:
@@ -387,6 +388,19 @@ def postprocess_pipeline(spark, sf_dir):
     return out.select("doc_id", F.md5("text").alias("digest"), F.length("text").cast("long").alias("size"))
 
 
+@register(
+    "postprocess_full",
+    f"""WITH {s_corrections(f"SELECT doc_id, array_to_string({_DISTINCT('g')}, chr(10)) AS text FROM (SELECT doc_id, {_clean_sql('p')} AS g FROM (SELECT doc_id, {_PURGE('s')} AS p FROM (SELECT doc_id, {_SPLIT_LONG('m', 1000)} AS s FROM (SELECT doc_id, {_misread_sql('t')} AS m FROM (SELECT doc_id, {_TYPO('text')} AS t FROM documents)))))")},
+ whole AS (SELECT texts.doc_id, coalesce(string_agg(coalesce(fixed, piece), '' ORDER BY i), '') AS y, count(fixed) AS n FROM texts LEFT JOIN spelt ON texts.doc_id = spelt.doc_id GROUP BY texts.doc_id),
+ cut AS (SELECT doc_id, n, list_filter(list_transform(string_split(y, chr(10)), lambda l: {s_strip('l')}), lambda l: l <> '') AS f FROM whole)
+ SELECT doc_id, md5(array_to_string({_DISTINCT('f')}, chr(10))) AS digest FROM cut""",
+)
+def postprocess_full(spark, sf_dir):
+    """All eight steps: the six of postprocess_pipeline with rare words found and corrected before repeated lines go."""
+    out, _ = postprocess_plan.postprocess_full(docs(spark, sf_dir).select("doc_id", "text"))
+    return out.select("doc_id", F.md5("text").alias("digest"))
+
+
 @register("label_blank", f"SELECT doc_id, md5(unnest({s_sentences('text')})) AS phrase, '' AS label FROM documents")
 def label_blank(spark, sf_dir):
     """Every sentence with an empty label, to be filled by hand."""
