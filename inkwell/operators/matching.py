@@ -15,7 +15,6 @@ with any document costs nothing.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -29,19 +28,19 @@ from .consensus import best_range, clean
 
 GRAM, WINDOW = 12, 13
 SEED = GRAM + WINDOW - 1
-#: characters by which a whole sentence is looked up
-START = 12
+#: rows of keys that are sent to all tasks to look rows up by; more are joined by a shuffle
+SENT = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def gram_hashes(text: str, size: int = GRAM) -> np.ndarray:
-    """A 64-bit hash of every run of ``size`` characters."""
+    """A 64-bit hash of every run of ``size`` characters, another for every size."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     n = max(len(codes) - size + 1, 0)
     value = np.zeros(n, np.uint64)
     for k in range(size):
         value = value * _BASE + codes[k : k + n]
-    value ^= value >> np.uint64(29)
+    value ^= value >> np.uint64(29) ^ np.uint64(size)
     return value * np.uint64(0xBF58476D1CE4E5B9) ^ value >> np.uint64(32)
 
 
@@ -64,62 +63,71 @@ def winnowed(hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.flatnonzero(_sliding(np.maximum, padded, window) == hashes)
 
 
-def start_hash(piece: str) -> int:
-    """Key of a sentence's first characters, apart from all hashes of grams in practice: two checksums and the length."""
-    raw = piece.encode("utf-8", "surrogatepass")
-    return (zlib.crc32(raw) << 31 | zlib.adler32(raw) >> 1) ^ len(piece) << 56
+def cleaned(sentences: Sequence[str]) -> list[str]:
+    """clean() of every sentence in lower case, all in one go."""
+    if any("\0" in s for s in sentences):
+        return [clean(s.lower()) for s in sentences]
+    return [p.strip() for p in clean("\0".join(sentences).lower()).split("\0")] if sentences else []
 
 
-def _document_keys(sentences: Sequence[str]) -> tuple[list[int], list[int], list[bool]]:
-    """(keys, places, whether a sentence's start) of a document."""
-    pieces = [clean(s.lower()) for s in sentences]
+def _document_keys(sentences: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, places, whether a sentence begins there): a document's chosen grams, and a key for the start of each sentence."""
+    pieces = cleaned(sentences)
     filled = [k for k, p in enumerate(pieces) if p]
-    text = " ".join(pieces[k] for k in filled)
-    hashes = gram_hashes(text)
+    hashes = gram_hashes(" ".join(pieces[k] for k in filled))
+    sizes = np.array([len(pieces[k]) for k in filled], np.int64)
+    begins = np.concatenate(([0], np.cumsum(sizes + 1)))
     at = winnowed(hashes)
     # a gram belongs to the sentence it begins in, the space behind a sentence included
-    begins = np.cumsum([0] + [len(pieces[k]) + 1 for k in filled])
-    places = np.asarray(filled, np.int64)[np.searchsorted(begins, at, side="right") - 1] if len(at) else at
-    found = sorted(set(zip(hashes[at].view(np.int64).tolist(), places.tolist(), strict=True)))
-    starts = [(start_hash(p[:START]), k) for k, p in enumerate(pieces) if p]
-    return [x for x, _ in found + starts], [k for _, k in found + starts], [False] * len(found) + [True] * len(starts)
+    within = np.searchsorted(begins, at, side="right") - 1
+    whole, short = np.flatnonzero(sizes >= GRAM), np.flatnonzero(sizes < GRAM)
+    brief = np.array([gram_hashes(pieces[filled[k]], int(sizes[k]))[0] for k in short.tolist()], np.uint64)
+    keys = np.concatenate((hashes[at], hashes[begins[whole]], brief)).view(np.int64)
+    places = np.asarray(filled, np.int32)[np.concatenate((within, whole, short)).astype(np.intp)]
+    return keys, places, np.arange(len(keys)) >= len(at)
 
 
 def document_keys(documents: DataFrame) -> DataFrame:
     """(row, place, key, start) of documents (row, sentences)."""
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        key, place, start = (np.concatenate([r[k] for r in rows]) for k in (1, 2, 3))
+        row = np.repeat(np.array([r[0] for r in rows], np.int64), [len(r[1]) for r in rows])
+        return pa.RecordBatch.from_arrays([pa.array(row), pa.array(place), pa.array(key), pa.array(start)], names=["row", "place", "key", "start"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            owners: list[int] = []
-            made: tuple[list, list, list] = ([], [], [])
-            for i, (row, sentences) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
-                got = _document_keys(sentences.as_py() or [])
-                owners += [row] * len(got[0])
-                for column, values in zip(made, got, strict=True):
-                    column += values
-                if len(owners) > 200_000 or i == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([pa.array(owners, pa.int64()), pa.array(made[1], pa.int32()), pa.array(made[0], pa.int64()), pa.array(made[2], pa.bool_())], names=["row", "place", "key", "start"])
-                    owners, made = [], ([], [], [])
+            held: list[tuple] = []
+            size = 0
+            for row, sentences in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                held.append((row, *_document_keys(sentences.as_py() or [])))
+                size += len(held[-1][1])
+                if size > 200_000:
+                    yield batch_of(held)
+                    held, size = [], 0
+            if held:
+                yield batch_of(held)
 
     return documents.select("row", "sentences").mapInArrow(run, "row long, place int, key long, start boolean")
 
 
 def passage_keys(passages: DataFrame) -> DataFrame:
-    """(target, key, start) of passages (target, phrase): all their grams, and all pieces a sentence may begin with."""
-
-    def keys(phrase: str) -> Iterator[tuple[int, bool]]:
-        wanted = clean(phrase.lower())
-        yield from ((x, False) for x in set(gram_hashes(wanted).view(np.int64).tolist()))
-        # a sentence shorter than START is looked up whole
-        yield from ((x, True) for x in {start_hash(wanted[i : i + n]) for i in range(len(wanted)) for n in range(1, min(START, len(wanted) - i) + 1)})
+    """(target, key): all grams of passages (target, phrase), and all shorter pieces, which whole sentences may be."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for target, phrase in zip(frame.target, frame.phrase, strict=True):
-                rows = list(keys(phrase))
-                yield pd.DataFrame({"target": target, "key": [k for k, _ in rows], "start": [s for _, s in rows]})
+                wanted = clean(phrase.lower())
+                keys = np.unique(np.concatenate([gram_hashes(wanted, n) for n in range(1, GRAM + 1)]))
+                yield pd.DataFrame({"target": target, "key": keys.view(np.int64)})
+
+    return passages.select("target", "phrase").mapInPandas(run, "target string, key long")
 
-    return passages.select("target", "phrase").mapInPandas(run, "target string, key long, start boolean")
+
+def among(df: DataFrame, keys: DataFrame, on: str) -> DataFrame:
+    """The rows of df whose ``on`` is in keys: the keys are sent to all tasks if they are at most SENT, else both sides are shuffled."""
+    few = keys.limit(SENT + 1).count() <= SENT
+    return df.join(F.broadcast(keys) if few else keys, on, "left_semi")
 
 
 def _around(places: Sequence[int], n: int, most: int) -> list[tuple[int, int]]:
@@ -149,10 +157,15 @@ def best_matches(documents: DataFrame, passages: DataFrame, most: int = 4, least
     # a number of its own for every row: any number of documents may share an id
     documents = kept(documents.where(F.size("sentences") > 0).select(ids, "sentences", F.monotonically_increasing_id().alias("row")), "sentences")
     passages = kept(passages.where(F.col("phrase").isNotNull()).groupBy("target").agg(F.min("phrase").alias("phrase")), "passages")
-    keys = kept(passage_keys(passages), "passage-keys")
-    hits = kept(document_keys(documents).join(keys, ["key", "start"]).select("target", "row", "place", "start").distinct(), "hits")
-
-    near = hits.where(~F.col("start")).groupBy("row", "target").agg(F.collect_set("place").alias("places"))
+    asked = kept(passage_keys(passages), "passage-keys")
+    known = kept(asked.select("key").distinct(), "known-keys")
+    # most keys of the documents are in no passage: they go before anything is shuffled
+    met = kept(among(document_keys(documents), known, "key").select("row", "place", "key", "start"), "met")
+    hits = kept(met.join(asked, "key").select("target", "row", "place", "start").distinct(), "hits")
+
+    near = kept(hits.where(~F.col("start")).groupBy("row", "target").agg(F.collect_set("place").alias("places")), "near")
+    begun = hits.where("start").select("target", "row", "place")
+    whole = kept(among(documents, near.select("row").unionByName(begun.select("row")).distinct(), "row"), "near-documents")
     last = 0 if include_last else 1
 
     @F.udf("array<struct<at:int,run:array<string>>>", useArrow=True)
@@ -160,9 +173,9 @@ def best_matches(documents: DataFrame, passages: DataFrame, most: int = 4, least
         n = len(sentences) - last
         return [(a, list(sentences[a:b])) for a, b in _around([p for p in places if p < n], n, most)]
 
-    pieces = near.join(documents, "row").select("target", "doc", F.explode(runs("places", "sentences")).alias("r")).select("target", "doc", "r.at", "r.run")
+    around = near.join(whole, "row").select("target", "doc", F.explode(runs("places", "sentences")).alias("r")).select("target", "doc", "r.at", "r.run")
     # equal texts around a passage are compared once, for the first document that holds them
-    once = pieces.groupBy("target", "run").agg(F.min(F.struct("doc", "at")).alias("first"))
+    once = around.groupBy("target", "run").agg(F.min(F.struct("doc", "at")).alias("first"))
 
     @F.pandas_udf("score double, i int, j int")
     def compared(phrases: pd.Series, found: pd.Series) -> pd.DataFrame:
@@ -178,10 +191,10 @@ def best_matches(documents: DataFrame, passages: DataFrame, most: int = 4, least
     def lies_in(part: pd.Series, phrases: pd.Series) -> pd.Series:
         return pd.Series([clean(s.lower()) in clean(p.lower()) for s, p in zip(part, phrases, strict=True)])
 
-    begun = hits.where("start").join(documents, "row").select("target", "doc", "place", F.element_at("sentences", F.col("place") + 1).alias("part"))
-    single = begun.groupBy("target", "part").agg(F.min(F.struct("doc", "place")).alias("first")).join(passages, "target").where(lies_in("part", "phrase"))
-    held = single.select("target", F.struct(F.col("first.doc"), F.col("first.place"), "part").alias("p"))
+    held = begun.join(whole, "row").select("target", "doc", "place", F.element_at("sentences", F.col("place") + 1).alias("part"))
+    single = held.groupBy("target", "part").agg(F.min(F.struct("doc", "place")).alias("first")).join(passages, "target").where(lies_in("part", "phrase"))
+    first = single.select("target", F.struct(F.col("first.doc"), F.col("first.place"), "part").alias("p"))
 
-    none_b, none_p = F.lit(None).cast(spans.schema["b"].dataType), F.lit(None).cast(held.schema["p"].dataType)
-    both = spans.withColumn("p", none_p).unionByName(held.withColumn("b", none_b)).groupBy("target").agg(F.min("b").alias("b"), F.min("p").alias("p"))
+    none_b, none_p = F.lit(None).cast(spans.schema["b"].dataType), F.lit(None).cast(first.schema["p"].dataType)
+    both = spans.withColumn("p", none_p).unionByName(first.withColumn("b", none_b)).groupBy("target").agg(F.min("b").alias("b"), F.min("p").alias("p"))
     return both.select("target", F.col("b.span").alias("span"), (-F.col("b.below")).alias("score"), F.col("p.part").alias("part"))
