@@ -9,6 +9,7 @@ from ..functions import text as T
 from ..operators.similarity import array_distance, matcher_ratio, multiset_overlap
 from ..plans import variants as V
 from ..registry import register
+from ..sources.scratch import scratch
 from .common import docs, q, s_collapse, s_dealt, s_distance, s_fold, s_strip, s_words, table
 from .scores import _DAMAGE, _comp, _structure_sql
 
@@ -168,3 +169,19 @@ def stream_scored_documents(spark, sf_dir):
     from ..streaming.windows import scored_stream
 
     return scored_stream(spark, sf_dir)
+
+
+@register("stream_sessions", """SELECT user_id, min(ts)::VARCHAR AS begun, max(ts)::VARCHAR AS ended, count(*) AS n, round(sum(value), 4) AS total FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM (
+    SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events)) GROUP BY user_id, session""")
+def stream_sessions(spark, sf_dir):
+    """Sessions of each user's events by a stream with keyed state, timers and numbered batches; no batch pass."""
+    from ..streaming import sessions as S
+    from ..streaming.windows import source
+
+    events = source(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("key"), F.col("ts").cast("timestamp").alias("ts"), "value")
+    path = scratch(spark, "sessions")
+    S.written(S.changes(events), path, f"{path}-log")
+    stamp = lambda c: F.regexp_replace(F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.?0+$", "")
+    at = lambda c: F.when(F.date_format(c, "SSSSSS") == "000000", F.date_format(c, "yyyy-MM-dd HH:mm:ss")).otherwise(stamp(c))
+    return S.table(spark, path).select(F.col("key").alias("user_id"), at("begun").alias("begun"), at("ended").alias("ended"), "n", F.round("total", 4).alias("total"))

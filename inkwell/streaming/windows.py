@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..sources.scratch import scratch
 
 
-def _source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+def source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A table's Parquet files as a stream."""
     batch = spark.read.parquet(f"{sf_dir}/{table}.parquet")
     return spark.readStream.schema(batch.schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir) if sf_dir and _is_file(spark, f"{sf_dir}/{table}.parquet") else spark.readStream.schema(batch.schema).parquet(f"{sf_dir}/{table}.parquet")
@@ -36,7 +36,7 @@ def tumbling_totals(spark: SparkSession, sf_dir: str, length: str = "1 hour", la
     events is added by a batch pass over them.
     """
     at = F.col("ts").cast("timestamp")  # a stamp without zone is read in the session's
-    events = _source(spark, sf_dir, "events").withColumn("ts", at)
+    events = source(spark, sf_dir, "events").withColumn("ts", at)
     by = [F.window("ts", length).alias("w"), "event_type"]
     agg = [F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")]
     closed = drained(events.withWatermark("ts", late).groupBy(*by).agg(*agg), "windows")
@@ -47,5 +47,5 @@ def tumbling_totals(spark: SparkSession, sf_dir: str, length: str = "1 hour", la
 
 def scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, n) of documents as they arrive, each once, appended to a table."""
-    docs = _source(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = source(spark, sf_dir, "documents").select("doc_id", "text")
     return drained(docs.dropDuplicates(["doc_id"]).select("doc_id", F.length("text").alias("n")), "scored")
