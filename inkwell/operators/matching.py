@@ -16,20 +16,24 @@ with any document costs nothing.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import WS_CHARS
 from ..sources.scratch import kept
-from .consensus import best_range, clean
+from .consensus import QUOTES, best_range, clean
 
 GRAM, WINDOW = 12, 13
 SEED = GRAM + WINDOW - 1
 #: rows of keys that are sent to all tasks to look rows up by; more are joined by a shuffle
 SENT = 1_000_000
+_UNEVEN = WS_CHARS.replace(" ", "")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -67,11 +71,23 @@ def cleaned(sentences: Sequence[str]) -> list[str]:
     """clean() of every sentence in lower case, all in one go."""
     if any("\0" in s for s in sentences):
         return [clean(s.lower()) for s in sentences]
-    return [p.strip() for p in clean("\0".join(sentences).lower()).split("\0")] if sentences else []
+    text = _plain("\0".join(sentences).lower())
+    return [p.strip() for p in text.split("\0")] if sentences else []
 
 
-def _document_keys(sentences: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, places, whether a sentence begins there): a document's chosen grams, and a key for the start of each sentence."""
+def _plain(text: str) -> str:
+    """clean() of a text, which is not gone through again where all its white space is single spaces."""
+    even = "  " not in text and not any(c in text for c in _UNEVEN)
+    for old, new in QUOTES:
+        text = text.replace(old, new)
+    return text if even else clean(text)
+
+
+def _document_keys(sentences: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, places, last keys, sentences): a document's chosen grams, and for each sentence its first and last gram and a hash of all of it, which is 0 for the others.
+
+    A sentence shorter than a gram is its own first and last.
+    """
     pieces = cleaned(sentences)
     filled = [k for k, p in enumerate(pieces) if p]
     hashes = gram_hashes(" ".join(pieces[k] for k in filled))
@@ -81,34 +97,44 @@ def _document_keys(sentences: Sequence[str]) -> tuple[np.ndarray, np.ndarray, np
     # a gram belongs to the sentence it begins in, the space behind a sentence included
     within = np.searchsorted(begins, at, side="right") - 1
     whole, short = np.flatnonzero(sizes >= GRAM), np.flatnonzero(sizes < GRAM)
-    brief = np.array([gram_hashes(pieces[filled[k]], int(sizes[k]))[0] for k in short.tolist()], np.uint64)
+    brief = np.array([_short(pieces[filled[k]]) for k in short.tolist()], np.uint64)
+    last = hashes[begins[whole] + sizes[whole] - GRAM]
+    order = np.concatenate((whole, short)).astype(np.intp)
+    sent = np.array([xxhash.xxh3_64_intdigest(pieces[filled[k]]) | 1 for k in order.tolist()], np.uint64)
     keys = np.concatenate((hashes[at], hashes[begins[whole]], brief)).view(np.int64)
-    places = np.asarray(filled, np.int32)[np.concatenate((within, whole, short)).astype(np.intp)]
-    return keys, places, np.arange(len(keys)) >= len(at)
+    places = np.asarray(filled, np.int32)[np.concatenate((within, order)).astype(np.intp)]
+    return keys, places, np.concatenate((hashes[at], last, brief)).view(np.int64), np.concatenate((np.zeros(len(at), np.uint64), sent)).view(np.int64)
+
+
+@lru_cache(maxsize=100_000)
+def _short(piece: str) -> int:
+    return int(gram_hashes(piece, len(piece))[0])
 
 
 def document_keys(documents: DataFrame) -> DataFrame:
-    """(row, place, key, start) of documents (row, sentences)."""
+    """(row, doc, place, key, last, sent) of documents (row, doc, sentences)."""
+    names = ["row", "doc", "place", "key", "last", "sent"]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        key, place, start = (np.concatenate([r[k] for r in rows]) for k in (1, 2, 3))
-        row = np.repeat(np.array([r[0] for r in rows], np.int64), [len(r[1]) for r in rows])
-        return pa.RecordBatch.from_arrays([pa.array(row), pa.array(place), pa.array(key), pa.array(start)], names=["row", "place", "key", "start"])
+        place, key, last, sent = (np.concatenate([r[k] for r in rows]) for k in (3, 2, 4, 5))
+        sizes = [len(r[2]) for r in rows]
+        row, doc = (np.repeat(np.array([r[k] for r in rows], np.int64), sizes) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([*map(pa.array, (row, doc, place, key, last, sent))], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held: list[tuple] = []
             size = 0
-            for row, sentences in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                held.append((row, *_document_keys(sentences.as_py() or [])))
-                size += len(held[-1][1])
+            for row, doc, sentences in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                held.append((row, doc, *_document_keys(sentences.as_py() or [])))
+                size += len(held[-1][2])
                 if size > 200_000:
                     yield batch_of(held)
                     held, size = [], 0
             if held:
                 yield batch_of(held)
 
-    return documents.select("row", "sentences").mapInArrow(run, "row long, place int, key long, start boolean")
+    return documents.select("row", "doc", "sentences").mapInArrow(run, "row long, doc long, place int, key long, last long, sent long")
 
 
 def passage_keys(passages: DataFrame) -> DataFrame:
@@ -145,8 +171,8 @@ def _around(places: Sequence[int], n: int, most: int) -> list[tuple[int, int]]:
 def best_matches(documents: DataFrame, passages: DataFrame, most: int = 4, least: float = 0.7, include_last: bool = False) -> DataFrame:
     """(target, span, score, part) of passages (target, phrase) over documents (doc, sentences).
 
-    ``span`` is the best span of any document that shares a run of SEED characters with the
-    passage, of equal scores the first document's and of its spans the first; it never holds
+    ``span`` is the best span of all that hold a place at which any document shares a run of
+    SEED characters with the passage, of equal scores the first document's and of its spans the first; it never holds
     a document's last sentence unless ``include_last``, and is null below ``least``.  ``part``
     is the first sentence that lies in the passage, exactly.  A row only where there is
     either; null phrases, null sentences and documents without sentences match nothing;
@@ -160,29 +186,30 @@ def best_matches(documents: DataFrame, passages: DataFrame, most: int = 4, least
     asked = kept(passage_keys(passages), "passage-keys")
     known = kept(asked.select("key").distinct(), "known-keys")
     # most keys of the documents are in no passage: they go before anything is shuffled
-    met = kept(among(document_keys(documents), known, "key").select("row", "place", "key", "start"), "met")
-    hits = kept(met.join(asked, "key").select("target", "row", "place", "start").distinct(), "hits")
-
-    near = kept(hits.where(~F.col("start")).groupBy("row", "target").agg(F.collect_set("place").alias("places")), "near")
-    begun = hits.where("start").select("target", "row", "place")
+    met = kept(among(among(document_keys(documents), known, "key"), known.withColumnRenamed("key", "last"), "last"), "met")
+    near = kept(met.where("sent = 0").join(asked, "key").groupBy("row", "target").agg(F.collect_set("place").alias("places")), "near")
+    # of equal sentences the first stands for all
+    begun = met.where("sent <> 0").groupBy("key", "sent").agg(F.min(F.struct("doc", "place", "row")).alias("b")).join(asked, "key").select("target", "b.row", "b.place")
+    begun = kept(begun, "begun")
     whole = kept(among(documents, near.select("row").unionByName(begun.select("row")).distinct(), "row"), "near-documents")
     last = 0 if include_last else 1
 
-    @F.udf("array<struct<at:int,run:array<string>>>", useArrow=True)
+    @F.udf("array<struct<at:int,run:array<string>,near:array<int>>>", useArrow=True)
     def runs(places, sentences):
         n = len(sentences) - last
-        return [(a, list(sentences[a:b])) for a, b in _around([p for p in places if p < n], n, most)]
+        held = sorted(int(p) for p in places if p < n)
+        return [(a, list(sentences[a:b]), [p - a for p in held if a <= p < b]) for a, b in _around(held, n, most)]
 
-    around = near.join(whole, "row").select("target", "doc", F.explode(runs("places", "sentences")).alias("r")).select("target", "doc", "r.at", "r.run")
+    around = near.join(whole, "row").select("target", "doc", F.explode(runs("places", "sentences")).alias("r")).select("target", "doc", "r.*")
     # equal texts around a passage are compared once, for the first document that holds them
-    once = around.groupBy("target", "run").agg(F.min(F.struct("doc", "at")).alias("first"))
+    once = around.groupBy("target", "run", "near").agg(F.min(F.struct("doc", "at")).alias("first"))
 
     @F.pandas_udf("score double, i int, j int")
-    def compared(phrases: pd.Series, found: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([best_range(p, list(r), most, least) or (None, None, None) for p, r in zip(phrases, found, strict=True)], columns=["score", "i", "j"]).astype({"score": "float64", "i": "Int32", "j": "Int32"})
+    def compared(phrases: pd.Series, found: pd.Series, near: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([best_range(p, list(r), most, least, list(k)) or (None, None, None) for p, r, k in zip(phrases, found, near, strict=True)], columns=["score", "i", "j"]).astype({"score": "float64", "i": "Int32", "j": "Int32"})
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    scored = once.join(passages, "target").repartition(parts).withColumn("b", compared("phrase", "run")).where("b.score IS NOT NULL")
+    scored = once.join(passages, "target").repartition(parts).withColumn("b", compared("phrase", "run", "near")).where("b.score IS NOT NULL")
     span = F.array_join(F.slice("run", F.col("b.i") + 1, F.col("b.j") - F.col("b.i")), " ")
     at = F.col("first.at")
     spans = scored.select("target", F.struct((-F.col("b.score")).alias("below"), F.col("first.doc").alias("doc"), (at + F.col("b.i")).alias("i"), (at + F.col("b.j")).alias("j"), span.alias("span")).alias("b"))

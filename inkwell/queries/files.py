@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import dataset as D
 from ..registry import register
+from ..sources import appends as A
 from ..sources import readers as R
 from ..sources import sinks as W
 from ..sources.scratch import scratch
@@ -87,11 +88,12 @@ def sink_csv_overwrite(spark, sf_dir):
 
 @register("sink_csv_append_header_once", "SELECT doc_id, source FROM documents UNION ALL SELECT item_id, 'benchmark' FROM benchmark")
 def sink_csv_append_header_once(spark, sf_dir):
-    """Rows of two runs appended under the header of the first, and read back."""
+    """Rows of two runs appended under the header of the first, and read back; the second run is started twice."""
     path = scratch(spark, "appended")
-    W.append_csv(docs(spark, sf_dir).select("doc_id", "source"), path)
-    W.append_csv(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.lit("benchmark").alias("source")), path)
-    return W.appended_csv(spark, path, "doc_id long, source string")
+    A.append_once(docs(spark, sf_dir).select("doc_id", "source"), path, "documents")
+    for _ in range(2):
+        A.append_once(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), F.lit("benchmark").alias("source")), path, "benchmark")
+    return A.appended(spark, path, "doc_id long, source string")
 
 
 @register("src_csv_positional", "SELECT url, 'https://x' AS host FROM pages WHERE page_id % 3 = 0")
@@ -226,8 +228,8 @@ def retry_then_log_fail(spark, sf_dir):
 
     log = scratch(spark, "failures")
     items = docs(spark, sf_dir).select("doc_id", "lang")
-    W.append_csv(W.attempted(items, work, "lang").where("status <> 'OK'").select("doc_id", "status"), log)
-    failed = W.appended_csv(spark, log, "doc_id long, status string").distinct()
+    A.append_once(W.attempted(items, work, "lang").where("status <> 'OK'").select("doc_id", "status"), log, "attempts-1")
+    failed = A.appended(spark, log, "doc_id long, status string").distinct()
     return items.join(failed, "doc_id", "left").select("doc_id", F.coalesce("status", F.lit("OK")).alias("status"))
 
 
