@@ -20,10 +20,13 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..sources.scratch import kept
 from .filters import STOPWORDS
+from .matching import among
 
 KNOWN = 20
 #: words of fewer characters may differ by one edit only; shorter ones than LEAST are left alone, and so are those longer than LONGEST
 TWO_EDITS, LEAST, LONGEST = 7, 4, 32
+#: hashes of known words' remains that are sent to all tasks; more are joined by a shuffle
+SENT = 4_000_000
 
 
 def rare_words(words: Column, most: int = 1) -> Column:
@@ -94,8 +97,11 @@ def corrections(rare: DataFrame, frequent: DataFrame) -> DataFrame:
 
     Words of either side are counted once; null words match nothing.
     """
-    known = frequent.select(F.col("word").alias("correction"), "n", F.explode(remains(F.col("word"))).alias("rest"))
-    asked = rare.where(edits(F.col("word")) > 0).select("word").distinct().select("word", F.explode(remains(F.col("word"))).alias("rest"))
+    # remains go as hashes, which take less room; words that meet by chance are measured apart
+    known = kept(frequent.select(F.col("word").alias("correction"), "n", F.explode(remains(F.col("word"))).alias("r")).select("correction", "n", F.xxhash64("r").alias("rest")), "known-remains")
+    asked = rare.where(edits(F.col("word")) > 0).select("word").distinct().select("word", F.explode(remains(F.col("word"))).alias("r")).select("word", F.xxhash64("r").alias("rest"))
+    # most remains of rare words are no known word's: they go before anything is shuffled
+    asked = among(asked, known.select("rest").distinct(), "rest", SENT)
     met = asked.join(known, "rest").where(F.col("word") != F.col("correction")).groupBy("word", "correction").agg(F.max("n").alias("n"))
     allowed = edits(F.col("word"))
 
