@@ -150,10 +150,10 @@ def passage_keys(passages: DataFrame) -> DataFrame:
     return passages.select("target", "phrase").mapInPandas(run, "target string, key long")
 
 
-def among(df: DataFrame, keys: DataFrame, on: str, sent: int = SENT) -> DataFrame:
-    """The rows of df whose ``on`` is in keys: the keys are sent to all tasks if they are at most ``sent``, else both sides are shuffled."""
+def among(df: DataFrame, keys: DataFrame, on: str, sent: int = SENT, how: str = "left_semi") -> DataFrame:
+    """The rows of df whose ``on`` is in keys (with ``left_anti`` is not): the keys are sent to all tasks if they are at most ``sent``, else both sides are shuffled."""
     few = keys.limit(sent + 1).count() <= sent
-    return df.join(F.broadcast(keys) if few else keys, on, "left_semi")
+    return df.join(F.broadcast(keys) if few else keys, on, how)
 
 
 def _around(places: Sequence[int], n: int, most: int) -> list[tuple[int, int]]:

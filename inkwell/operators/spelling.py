@@ -124,9 +124,9 @@ def corrected(docs: DataFrame, text: str = "text", known: int = KNOWN, most: int
     numbered = kept(docs.withColumn("__row", F.monotonically_increasing_id()), "texts")
     words = T.words(text)
     counts = kept(numbered.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
-    frequent, unknown = counts.where(F.col("n") >= known), counts.where((F.col("n") < known) & (edits(F.col("word")) > 0))
-    rare = numbered.select("__row", F.explode(rare_words(words, most)).alias("word")).join(unknown.select("word"), "word")
-    rare = kept(rare, "rare-words")
+    frequent = counts.where(F.col("n") >= known)
+    rare = numbered.select("__row", F.explode(rare_words(words, most)).alias("word")).where(edits(F.col("word")) > 0)
+    rare = kept(among(rare, frequent.select("word"), "word", how="left_anti"), "rare-words")
     found = kept(corrections(rare.select("word"), frequent.where(edits(F.col("word")) > 0)), "corrections")
     # a text's own corrections: never more than its words
     of_row = rare.join(found, "word").groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("word", "correction"))).alias("__new"))
