@@ -50,12 +50,12 @@ STRUCTURE = ("words", "paragraphs", "uppers", "points", "exclams", "quests")
 UPPER = r"[A-ZÉÈÀÙÂÊÎÔÛÇ]"
 
 
-def structure(c: ColumnLike) -> dict[str, Column]:
-    """Counts of words, paragraphs, capitals and sentence marks."""
+def structure(c: ColumnLike, words: Column | None = None) -> dict[str, Column]:
+    """Counts of words, paragraphs, capitals and sentence marks; ``words`` if they are counted already."""
     text = col(c)
     blank = r"^[\x09-\x0D\x1C-\x20\x{85}\x{A0}]*\z"
     out = {
-        "words": F.regexp_count(text, F.lit(r"[\p{L}\p{N}_]+")),
+        "words": F.regexp_count(text, F.lit(r"[\p{L}\p{N}_]+")) if words is None else words,
         "paragraphs": F.size(F.filter(F.split(text, "\n\n", -1), lambda p: ~p.rlike(blank))),
         "uppers": F.length(text) - F.length(F.regexp_replace(text, UPPER, "")),
         "points": count_of(text, "."),

@@ -37,7 +37,8 @@ def grid(docs: DataFrame, n: int = VARIANTS) -> DataFrame:
 def damage(ref: Column, kind: Column) -> Column:
     """The provider: what an extractor with this kind of fault reads for ``ref``."""
     cut = F.substr(ref, F.lit(1), F.floor(F.length(ref) * 2 / 3).cast("int"))
-    faults = [ref, F.translate(ref, "l", "1"), F.translate(ref, ".", ""), F.lower(ref), cut, F.translate(ref, "e", "c"), F.translate(ref, " ", "")]
+    put = lambda old, new: F.replace(ref, F.lit(old), F.lit(new))
+    faults = [ref, put("l", "1"), put(".", ""), F.lower(ref), cut, put("e", "c"), put(" ", "")]
     out = F.when(kind == 0, faults[0])
     for k, fault in enumerate(faults[1:], 1):
         out = out.when(kind == k, fault)
@@ -52,13 +53,23 @@ def scored(docs: DataFrame, n: int = VARIANTS) -> DataFrame:
     """(doc_id, source, idx, cer, jacc_multi, ratios_mean) of every cell, over whole texts.
 
     All three are functions of a cell's two texts, which lie in one row: a pass over the
-    documents, and no shuffle.
+    documents, and no shuffle.  What depends on the reference alone is computed once a
+    document, and counts once a cell, however often the ratios use them.
     """
     refs = spread(docs.select("doc_id", "source", "text")).select("doc_id", "source", T.fold_ascii("text").alias("ref"))
-    cells = grid(refs, n).withColumn("kind", kind_of(F.col("doc_id"), F.col("idx")))
-    whole = cells.withColumn("hyp", damage(F.col("ref"), F.col("kind")))
     norm = lambda c: F.lower(T.strip(T.collapse(c)))
-    both = whole.select("doc_id", "source", "idx", norm("ref").alias("r"), norm("hyp").alias("h"), T.words("ref").alias("rw"), T.words("hyp").alias("hw"), metrics.ratios_mean(metrics.structure("hyp"), metrics.structure("ref")).alias("ratios_mean"))
-    rated = both.select("doc_id", "source", "idx", F.length("r").alias("n"), array_distance(F.col("r"), F.col("h")).alias("d"), multiset_overlap(F.col("rw"), F.col("hw")).alias("o"), "ratios_mean")
+    used = metrics.STRUCTURE[:5]
+
+    def read(df: DataFrame, text: str, side: str) -> DataFrame:
+        # folded texts are ASCII, whose words are the same in lower case
+        out = df.withColumn(f"{side}w", T.words(text))
+        counts = metrics.structure(text, F.size(f"{side}w"))
+        return out.withColumns({f"{side}n": norm(text), **{f"{side}_{k}": counts[k] for k in used}})
+
+    # of each side a row has the normalised text (n), the words (w) and the counts
+    cells = grid(read(refs, "ref", "r"), n).withColumn("kind", kind_of(F.col("doc_id"), F.col("idx")))
+    both = read(cells.withColumn("hyp", damage(F.col("ref"), F.col("kind"))), "hyp", "h")
+    sides = [{k: F.col(f"{side}_{k}") for k in used} for side in "hr"]
+    rated = both.select("doc_id", "source", "idx", F.length("rn").alias("n"), array_distance(F.col("rn"), F.col("hn")).alias("d"), multiset_overlap(F.col("rw"), F.col("hw")).alias("o"), metrics.ratios_mean(*sides).alias("ratios_mean"))
     cer = F.col("d") / F.greatest(F.col("n"), F.lit(1))
     return rated.select("doc_id", "source", "idx", F.coalesce(cer, F.lit(0.0)).alias("cer"), F.coalesce(F.try_divide("o.both", "o.either"), F.lit(1.0)).alias("jacc_multi"), "ratios_mean")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import metrics as M
 from ..functions import text as T
-from ..operators.similarity import array_distance, matcher_ratio, multiset_overlap
+from ..operators.similarity import array_distance, matcher_ratio, multiset_overlap, token_distance
 from ..plans import variants as V
 from ..registry import register
 from ..sources.scratch import scratch
@@ -51,7 +51,7 @@ register("m_cer_lib", _cer_sql(s_strip))(lambda spark, sf_dir: _error_rate(spark
 
 def _word_error_rate(spark, sf_dir, tokens):
     rows = _costly(spark, sf_dir).select("doc_id", tokens(F.col("ref")).alias("r"), tokens(F.col("hyp")).alias("h"))
-    return rows.select("doc_id", F.round(array_distance(F.col("r"), F.col("h")) / F.greatest(F.size("r"), F.lit(1)), 6).alias("wer"))
+    return rows.select("doc_id", F.round(token_distance(F.col("r"), F.col("h")) / F.greatest(F.size("r"), F.lit(1)), 6).alias("wer"))
 
 
 @register("m_wer_norm")
