@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 
 def runs(rows: DataFrame, flag: Column, page: str = "page", y: str = "y", least: int = 1) -> DataFrame:
@@ -38,23 +44,71 @@ def segments(rows: DataFrame, white: int = 250, least: int = 1, last_share: floa
     return numbered.withColumn("mean", others).where(~((F.col("n") > 1) & (F.col("k") == F.col("n") - 1) & (size < F.col("mean") * last_share))).select("page", "k", "start", "end")
 
 
-def cut_lines(pages: DataFrame, slice_height: int = 880, step: int = 100, stride: int = 80) -> DataFrame:
+#: cuts that a task works on at a time
+CUTS = 2_000_000
+
+
+def _cut(h: np.ndarray, is_blank: Callable[[np.ndarray], np.ndarray], slice_height: int, offsets: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """(cuts of all pages one after the other, number of cuts of each); a step finds the next cut of every page."""
+    y = np.zeros(len(h), np.int64)
+    going = np.full(len(h), True)
+    steps, used = [y], [going]
+    while True:
+        far = y + slice_height
+        going = going & (far < h)
+        if not going.any():
+            break
+        best, open_ = far.copy(), going.copy()
+        for d in offsets:
+            hit = open_ & (far + d < h) & (far + d > y)
+            hit &= is_blank(far + d)
+            best[hit] += d
+            open_ &= ~hit
+        y = np.where(going, best, y)
+        steps.append(y)
+        used.append(going)
+    steps.append(h)
+    used.append(np.full(len(h), True))
+    marked = np.array(used).T
+    return np.array(steps).T[marked], marked.sum(1)
+
+
+def cut_lines(pages: DataFrame, slice_height: int = 880, step: int = 100, stride: int = 80, is_blank: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """pages (page, h, blank: array of blank rows) with ``cuts``: where a page is cut into slices.
 
     From each cut the next is so far below, or at the first blank row of a few offsets
-    around it.  The fold's state is the array of cuts.
+    around it.  ``is_blank(page, y)`` stands for the column ``blank`` where a row can be
+    told by itself: then a page costs its cuts, not its rows.
     """
-    steps = F.sequence(F.lit(0), F.greatest((F.col("h") / F.lit(slice_height - step)).cast("int"), F.lit(0)))
     offsets = list(range(-step, step + 1, stride))
 
-    def grow(cuts: Column, _: Column) -> Column:
-        y = F.element_at(cuts, -1)
-        tries = F.array(*(y + slice_height + d for d in offsets))
-        hit = F.filter(tries, lambda t: (t < F.col("h")) & (t > y) & F.array_contains(F.col("blank"), t))
-        best = F.coalesce(F.get(hit, 0), y + slice_height)
-        return F.when(y + slice_height < F.col("h"), F.concat(cuts, F.array(best))).otherwise(cuts)
-
-    return pages.withColumn("cuts", F.concat(F.aggregate(steps, F.array(F.lit(0)), grow), F.array(F.col("h").cast("int"))))
+    def tester(batch: pa.RecordBatch) -> Callable[[np.ndarray], np.ndarray]:
+        if is_blank is not None:
+            page = batch["page"].to_numpy(zero_copy_only=False)
+            return lambda y: is_blank(page, y)
+        rows = batch["blank"]
+        span = 1 << 32
+        own = np.repeat(np.arange(len(rows)), pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False))
+        marks = np.unique(own * span + rows.flatten().to_numpy(zero_copy_only=False))
+        return lambda y: np.isin(np.arange(len(rows)) * span + y, marks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(batch["h"], 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = 0
+            while at < batch.num_rows:
+                # pages are taken together while the highest of them, that often, stays below CUTS
+                highest = np.maximum.accumulate(sizes[at:]) // (slice_height - step) + 2
+                n = max(1, int(np.searchsorted(highest * np.arange(1, len(highest) + 1), CUTS)))
+                part = batch.slice(at, n)
+                cuts, counts = _cut(sizes[at : at + n], tester(part), slice_height, offsets)
+                ends = np.concatenate(([0], np.cumsum(counts)))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cuts, pa.int32()), mask=pc.is_null(part["h"]))
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*part.schema.names, "cuts"])
+                at += n
+
+    schema = StructType([*pages.schema.fields, StructField("cuts", ArrayType(IntegerType()))])
+    return pages.mapInArrow(run, schema)
 
 
 def median_threshold(boxes: DataFrame, share: float = 0.6, default: float = 15.0) -> DataFrame:

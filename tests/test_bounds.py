@@ -39,3 +39,26 @@ def test_fields_and_token_distance(spark):
     out = rows.select(T.fields("r").alias("f"), similarity.token_distance(T.fields("r"), T.fields("h")).alias("d")).collect()
     assert [(r.f, r.d) for r in out] == [(["a", "b", "c", "d."], 2), ([], 0), ([], 2), (None, None)]
     assert rows.select(F.size(T.fields("r")).alias("n")).first().n == 4
+
+
+def test_cut_lines_of_high_pages(spark):
+    """Before, a page's rows were an array each, searched again for every cut, and the cuts copied for every further one."""
+    from inkwell.operators import layout
+
+    def by_hand(h, blank, slice_height=880, offsets=(-100, -20, 60)):
+        cuts = [0]
+        while cuts[-1] + slice_height < h:
+            tries = (cuts[-1] + slice_height + d for d in offsets)
+            cuts.append(next((t for t in tries if t < h and blank(t)), cuts[-1] + slice_height))
+        return [*cuts, h]
+
+    high = [(1, 40_000_000), (2, 0), (3, 880), (4, 881), (5, 5000), (6, None)]
+    out = layout.cut_lines(spark.createDataFrame(high, "page long, h int"), is_blank=lambda page, y: (y * 13 + page) % 31 == 0)
+    found = {r.page: r.cuts for r in out.collect()}
+    assert found == {page: None if h is None else by_hand(h, lambda y, page=page: (y * 13 + page) % 31 == 0) for page, h in high}
+
+    rng = random.Random(5)
+    rows = [(k, rng.randrange(9000), sorted(rng.sample(range(9000), 900)) if k % 7 else [], f"name {k}") for k in range(60)]
+    given = layout.cut_lines(spark.createDataFrame(rows, "page long, h int, blank array<int>, name string"))
+    assert given.columns == ["page", "h", "blank", "name", "cuts"]
+    assert {r.page: r.cuts for r in given.collect()} == {page: by_hand(h, set(blank).__contains__) for page, h, blank, _ in rows}
