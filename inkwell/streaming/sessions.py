@@ -1,9 +1,10 @@
 """Sessions of keyed events as a stream: repeated and late events, timers, and a table that a restart leaves the same.
 
-Events go through ``dropDuplicatesWithinWatermark``; each task makes sessions of what it
-has, so that a key of any share of all events sends few rows on; and a stateful processor
-keeps the open sessions of each key.  A session ends when no event came for ``gap``; an
-event-time timer then takes it out of the state.  Every change of a session is put out, and
+Events go through ``dropDuplicatesWithinWatermark``; each Arrow batch makes sessions of what it
+has, so that a key of any share of all events sends few rows on; and keyed state holds the
+open sessions of each key, which goes to Python and back with the key's rows, many keys at
+a time.  A session ends when no event came for ``gap``; the key's event-time timer then takes
+it out of the state.  Every change of a session (n is 0 if another has taken it in) is put out, and
 ``written`` appends the changes of each micro-batch under its number, overwriting what a
 batch that failed half-way left there.  The latest change of each session is the table, so
 sessions still open when the input ends are in it, without a batch pass.
@@ -11,26 +12,25 @@ sessions still open when the input ends are in it, without a batch pass.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState
 
-SESSION = "begun timestamp, ended timestamp, n long, total double"
-#: a change: the session as it is now; n is 0 if another session has taken it in
-CHANGE = f"key long, {SESSION}, closed boolean"
+#: times are microseconds inside the stream, whatever the session's zone
+SESSION = "begun long, ended long, n long, total double"
+#: a key's open sessions, column by column
+STATE = "begun array<long>, ended array<long>, n array<long>, total array<double>"
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 PART = ["begun", "ended", "n", "total"]
-#: sessions that a task holds before it sends them on
-HELD = 50_000
 
 
-def merged(sessions: list[tuple], gap: pd.Timedelta) -> list[tuple]:
+def merged(sessions: list[tuple], gap) -> list[tuple]:
     """Sessions in order of time, those at most ``gap`` apart made one; the order in which they are merged does not matter."""
     out: list[tuple] = []
     for s in sorted(sessions):
@@ -42,77 +42,66 @@ def merged(sessions: list[tuple], gap: pd.Timedelta) -> list[tuple]:
     return out
 
 
-class Sessions(StatefulProcessor):
-    """Open sessions of a key, as a list in order of time."""
-
-    def __init__(self, gap: str) -> None:
-        self.gap = pd.Timedelta(gap)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getListState("open", SESSION)
-
-    def _held(self) -> list[tuple]:
-        return [tuple(s) for s in self.open.get()] if self.open.exists() else []
-
-    def _changes(self, key: int, sessions: list[tuple], closed: bool) -> pd.DataFrame:
-        return pd.DataFrame([(key, *s, closed) for s in sessions], columns=["key", "begun", "ended", "n", "total", "closed"])
-
-    def _alarm(self, sessions: list[tuple]) -> None:
-        for s in sessions:
-            self.handle.registerTimer(int((s[1] + self.gap).timestamp() * 1000) + 1)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self._held()
-        now = list(held)
-        for frame in rows:
-            now = merged(now + list(frame[PART].itertuples(index=False, name=None)), self.gap)
-        before = {s[0]: s for s in held}
-        after = {s[0]: s for s in now}
-        changed = [s for b, s in after.items() if before.get(b) != s]
-        gone = [(b, s[1], 0, 0.0) for b, s in before.items() if b not in after]
-        self.open.put(now)
-        self._alarm(changed)
-        yield self._changes(key[0], changed + gone, False)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at = pd.Timestamp(timerValues.getCurrentWatermarkInMs(), unit="ms")
-        held = self._held()
-        over = [s for s in held if s[1] + self.gap < at]
-        left = [s for s in held if s[1] + self.gap >= at]
-        if over:
-            self.open.put(left) if left else self.open.clear()
-        yield self._changes(key[0], over, True)
+def joined(key: pd.Series, at: pd.Series, value: pd.Series, gap: int) -> pd.DataFrame:
+    """The sessions that a batch's events make by themselves, each in the row of its last event; the other rows are null."""
+    codes = pd.factorize(key, use_na_sentinel=False)[0]
+    times, values = at.to_numpy(np.int64), value.to_numpy(np.float64)
+    order = np.lexsort((times, codes))
+    codes, ts = codes[order], times[order]
+    fresh = np.full(len(ts), True)
+    fresh[1:] = (codes[1:] != codes[:-1]) | (ts[1:] - ts[:-1] > gap)
+    starts = np.flatnonzero(fresh)
+    ends = np.append(starts[1:], len(ts))[: len(starts)] - 1
+    sums = np.add.reduceat(values[order], starts) if len(starts) else values
+    own = pd.DataFrame({"begun": ts[starts], "ended": ts[ends], "n": ends - starts + 1, "total": sums}, index=order[ends])
+    return own.astype({"begun": "Int64", "ended": "Int64", "n": "Int64", "total": "Float64"}).reindex(range(len(ts)))
+
+
+def _changes(gap: int):
+    """What a key's new sessions, or its timer, change: for applyInPandasWithState.
+
+    The state is the key's open sessions, as arrays in order of time.  A key has one timer,
+    for its session that ends first.
+    """
+
+    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = list(zip(*state.get, strict=True)) if state.exists else []
+        now_ms = state.getCurrentWatermarkMs()
+        if state.hasTimedOut:
+            left = [s for s in held if s[1] + gap >= now_ms * 1000]
+            out = [(key[0], *s, True) for s in held if s[1] + gap < now_ms * 1000]
+        else:
+            left = merged(held + [tuple(s) for frame in frames for s in frame[PART].itertuples(index=False, name=None)], gap)
+            before, after = {s[0]: s for s in held}, {s[0] for s in left}
+            out = [(key[0], *s, False) for s in left if before.get(s[0]) != s]
+            out += [(key[0], b, s[1], 0, 0.0, False) for b, s in before.items() if b not in after]
+        if left:
+            state.update(tuple(list(x) for x in zip(*left, strict=True)))
+            state.setTimeoutTimestamp(max((min(s[1] for s in left) + gap) // 1000 + 1, now_ms + 1))
+        else:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["key", *PART, "closed"]).astype({"key": "Int64"})
 
-    def close(self) -> None:
-        pass
+    return run
 
 
 def changes(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
     """Changes of sessions from a stream of (id, key, ts, value); an event of an id seen within ``late`` is left out, and so is one that comes later than that."""
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     once = events.where(F.col("ts").isNotNull()).withWatermark("ts", late).dropDuplicatesWithinWatermark(["id"])
-    width = pd.Timedelta(gap)
-
-    def own(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The sessions that a task's events make by themselves."""
-
-        def sent() -> pd.DataFrame:
-            return pd.DataFrame([(k, *s) for k, sessions in held.items() for s in sessions], columns=["key", *PART]).astype({"key": "Int64"})
-
-        held: dict = defaultdict(list)
-        for frame in frames:
-            for key, rows in frame.groupby("key", dropna=False):
-                events = [(t, t, 1, 0.0 if pd.isna(v) else float(v)) for t, v in zip(rows["ts"], rows["value"], strict=True)]
-                held[None if pd.isna(key) else int(key)] = merged(held[None if pd.isna(key) else int(key)] + events, width)
-            if sum(map(len, held.values())) > HELD:
-                yield sent()
-                held.clear()
-        if held:
-            yield sent()
-
-    parts = once.mapInPandas(own, f"key long, {SESSION}")
-    return parts.groupBy("key").transformWithStateInPandas(statefulProcessor=Sessions(gap), outputStructType=CHANGE, outputMode="Update", timeMode="EventTime")
+    width = pd.Timedelta(gap) // pd.Timedelta("1us")
+
+    # its rows are taken with those of its batch, so it must run once, where it stands
+    @F.pandas_udf(SESSION)
+    def own(key: pd.Series, at: pd.Series, value: pd.Series) -> pd.DataFrame:
+        return joined(key, at, value, width)
+
+    value = F.coalesce(F.col("value").cast("double"), F.lit(0.0))
+    single = once.select(F.col("key").cast("long").alias("key"), "ts", F.unix_micros("ts").alias("at"), value.alias("value"))
+    parts = single.select("key", "ts", own.asNondeterministic()("key", "at", "value").alias("s")).where("s.n IS NOT NULL").select("key", "ts", "s.*")
+    found = parts.groupBy("key").applyInPandasWithState(_changes(width), f"key long, {SESSION}, closed boolean", STATE, "update", "EventTimeTimeout")
+    return found.select("key", F.timestamp_micros("begun").alias("begun"), F.timestamp_micros("ended").alias("ended"), "n", "total", "closed")
 
 
 def written(stream: DataFrame, path: str, log: str) -> None:

@@ -62,3 +62,20 @@ def test_cut_lines_of_high_pages(spark):
     given = layout.cut_lines(spark.createDataFrame(rows, "page long, h int, blank array<int>, name string"))
     assert given.columns == ["page", "h", "blank", "name", "cuts"]
     assert {r.page: r.cuts for r in given.collect()} == {page: by_hand(h, set(blank).__contains__) for page, h, blank, _ in rows}
+
+
+def test_sessions_of_a_batch():
+    """Before, every event of a batch was a row of its own object, and every session set a timer."""
+    import pandas as pd
+
+    from inkwell.streaming import sessions as S
+
+    rng = random.Random(6)
+    events = [(rng.choice([1, 2, None]), rng.randrange(3000), 1.0) for _ in range(300)]
+    key, at, value = (pd.Series(list(c)) for c in zip(*events, strict=True))
+    out = S.joined(key.astype("Int64"), at, value, 25)
+    assert len(out) == 300 and S.joined(key[:0], at[:0], value[:0], 25).empty
+    whole = out.assign(key=[k for k, _, _ in events]).dropna(subset=["n"])
+    for k in (1, 2, None):
+        own = whole[whole["key"].isna() if k is None else whole["key"] == k]
+        assert sorted(tuple(r) for r in own[S.PART].itertuples(index=False)) == S.merged([(t, t, 1, v) for q, t, v in events if q == k], 25)
