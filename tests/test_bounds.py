@@ -79,3 +79,40 @@ def test_sessions_of_a_batch():
     for k in (1, 2, None):
         own = whole[whole["key"].isna() if k is None else whole["key"] == k]
         assert sorted(tuple(r) for r in own[S.PART].itertuples(index=False)) == S.merged([(t, t, 1, v) for q, t, v in events if q == k], 25)
+
+
+def test_alignment_compares_only_what_lies_on_its_path(monkeypatch):
+    """Before, every sentence of the one side was compared with every like one of the other."""
+    from inkwell.operators import consensus
+
+    rng = random.Random(7)
+    words = ["".join(rng.choice("abcdefghilmnorst") for _ in range(rng.randrange(2, 9))) for _ in range(400)]
+    first = [" ".join(rng.choice(words) for _ in range(12)) + "." for _ in range(600)]
+    second = [s.replace("l", "1") for s in first]
+    asked = []
+    whole = consensus.ratio
+    monkeypatch.setattr(consensus, "ratio", lambda a, b: asked.append(1) or whole(a, b))
+    assert consensus.align(first, second) == (first, second)
+    assert consensus.align(first, first[:400]) == (first, first[:400] + [""] * 200)
+    assert len(asked) <= 1400
+
+
+def test_near_duplicates_by_tokens_equal_a_scan():
+    from inkwell.operators import consensus
+
+    def scan(sentences, most=0.7):
+        kept, tokens = [], []
+        for s in sentences:
+            own = set(s.split())
+            hit = next((j for j, t in enumerate(tokens) if len(own & t) > most * max(1, min(len(own), len(t)))), None)
+            if hit is None:
+                kept.append(s)
+                tokens.append(own)
+            elif len(s) > len(kept[hit]):
+                kept[hit], tokens[hit] = s, own
+        return kept
+
+    rng = random.Random(8)
+    for _ in range(300):
+        sentences = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(7))) for _ in range(12)]
+        assert consensus.drop_near_duplicates(sentences) == scan(sentences)
