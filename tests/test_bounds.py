@@ -116,3 +116,26 @@ def test_near_duplicates_by_tokens_equal_a_scan():
     for _ in range(300):
         sentences = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(7))) for _ in range(12)]
         assert consensus.drop_near_duplicates(sentences) == scan(sentences)
+
+
+def test_matching_ratio_equals_the_matcher(monkeypatch):
+    """Before, every rare character of the one text was paired with all its places in the other, once a part of the text."""
+    from difflib import SequenceMatcher
+
+    rng = random.Random(9)
+    letters = ["abc", "etaoinshrdlu" * 3 + "qxzjk", "".join(map(chr, range(0x4E00, 0x4E00 + 300))), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJ" * 3 + "éàçœ𝄞"]
+    for _ in range(250):
+        some = rng.choice(letters)
+        a, other = (" ".join("".join(rng.choice(some) for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(1, 250))) for _ in "ab")
+        b = rng.choice([other, a, a.replace("a", "1"), a.replace(" ", ""), a[: len(a) * 2 // 3], a[len(a) // 2 :] + a[: len(a) // 3], ""])
+        a, b = rng.choice([(a, b), (b, a)])
+        assert similarity.matching_ratio(a, b) == SequenceMatcher(None, a, b).ratio()
+
+    def none(*_):
+        raise AssertionError("the matcher")
+
+    text = " ".join("".join(rng.choice(letters[1]) for _ in range(rng.randrange(2, 8))) for _ in range(20000))
+    monkeypatch.setattr(similarity, "SequenceMatcher", none)
+    assert similarity.matching_ratio(text, text) == 1.0
+    for other in (text[: len(text) // 3], text.replace("l", "1"), text.replace(" ", "")):
+        assert 0 < similarity.matching_ratio(text, other) < 1
