@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .batches import bounded
+
 #: terms, and characters of all of them, that travel with a task at most
 MOST_TERMS, MOST_CHARS = 2_000_000, 64_000_000
 
@@ -87,6 +89,7 @@ def canonical_case(docs: DataFrame, terms: Iterable[str] | DataFrame, text: str
             raise ValueError("the lexicon is too large to travel with a task")
     if not known:
         return docs
+    bounded(docs.sparkSession)
     lexicon = docs.sparkSession.sparkContext.broadcast(known)
 
     @F.pandas_udf("string")

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import WS_CHARS
 from ..sources.scratch import kept
+from .batches import bounded
 from .consensus import QUOTES, best_range, clean
 
 GRAM, WINDOW = 12, 13
@@ -179,6 +180,7 @@ def best_matches(documents: DataFrame, passages: DataFrame, most: int = 4, least
     documents of null id come last; passages of equal target are one.
     """
     spark = documents.sparkSession
+    bounded(spark)
     ids = F.coalesce(F.col("doc").cast("long"), F.lit(2**63 - 1)).alias("doc")
     # a number of its own for every row: any number of documents may share an id
     documents = kept(documents.where(F.size("sentences") > 0).select(ids, "sentences", F.monotonically_increasing_id().alias("row")), "sentences")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .batches import bounded
 
 SentenceModel = Callable[[Column], Column]
 EntityModel = Callable[[Column], Column]
@@ -39,6 +40,7 @@ def corrected(docs: DataFrame, provider: Callable[[str], Sequence[tuple[int, int
 
     ``edits`` keeps what was changed, as (old, new) in lower case.
     """
+    bounded(docs.sparkSession)
 
     @F.pandas_udf("text string, edits array<struct<old:string,new:string>>")
     def run(texts: pd.Series) -> pd.DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import bounded
+
 
 @F.pandas_udf(T.StringType())
 def _nfkc(texts: pd.Series) -> pd.Series:
@@ -17,4 +19,5 @@ def _nfkc(texts: pd.Series) -> pd.Series:
 
 def nfkc(text: Column) -> Column:
     """NFKC of a text, by an Arrow UDF."""
+    bounded()
     return _nfkc(text)

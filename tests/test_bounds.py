@@ -139,3 +139,35 @@ def test_matching_ratio_equals_the_matcher(monkeypatch):
     assert similarity.matching_ratio(text, text) == 1.0
     for other in (text[: len(text) // 3], text.replace("l", "1"), text.replace(" ", "")):
         assert 0 < similarity.matching_ratio(text, other) < 1
+
+
+def test_batches_of_long_texts_are_small(spark):
+    """Before, a batch held 10,000 texts of any size."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from inkwell.operators import batches, consensus, lexicon, matching, providers
+    from inkwell.operators.unicode import nfkc
+
+    @F.pandas_udf("int")
+    def rows(texts: pd.Series) -> pd.Series:
+        return pd.Series([len(texts)] * len(texts))
+
+    long = spark.range(40, numPartitions=1).select("id", F.repeat(F.lit("word "), 200_000).alias("text"))
+    said = spark.createDataFrame([(1, ["a b"])], "doc_id long, sentences array<string>")
+    c = F.col("text")
+    bounding = [
+        lambda: nfkc(c), lambda: similarity.array_distance(c, c), lambda: similarity.token_distance(F.split(c, " "), F.split(c, " ")),
+        lambda: similarity.multiset_overlap(F.split(c, " "), F.split(c, " ")), lambda: similarity.matcher_ratio(c, c),
+        lambda: providers.corrected(long, lambda line: []), lambda: consensus.without_near_duplicates(said), lambda: lexicon.canonical_case(long, ["word"]),
+        lambda: matching.best_matches(said.withColumnRenamed("doc_id", "doc"), spark.createDataFrame([("t", "a b")], "target string, phrase string")),
+    ]
+    for bound in bounding:
+        spark.conf.unset(batches.LIMIT)
+        bound()
+        assert spark.conf.get(batches.LIMIT) == str(batches.BYTES)
+    assert max(r[0] for r in long.select(rows("text")).collect()) <= 5
+    spark.conf.set(batches.LIMIT, "1000000")
+    nfkc(c)
+    assert spark.conf.get(batches.LIMIT) == "1000000"
+    spark.conf.unset(batches.LIMIT)
