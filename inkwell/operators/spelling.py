@@ -6,19 +6,24 @@ it: the least edit distance (insertions, deletions, substitutions and swaps of n
 then the most frequent, then the first by code point.
 
 Two words within a distance share what is left of each after so many deletions at most, so
-known and rare words are joined on these remains, not compared all with all; pairs that
-meet are measured exactly.  Only rare, unknown words take part, and those occur less than
+known and rare words are joined on these remains, not compared all with all, one deletion
+first and two for what one did not find; pairs that meet are measured exactly.  Only rare, unknown words take part, and those occur less than
 ``known`` times, so no word of the joins is hot.
 """
 
 from __future__ import annotations
 
+from collections.abc import Hashable, Iterable, Sequence
+from itertools import combinations
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..sources.scratch import kept
+from .batches import bounded
 from .filters import STOPWORDS
 from .matching import among
 
@@ -27,6 +32,7 @@ KNOWN = 20
 TWO_EDITS, LEAST, LONGEST = 7, 4, 32
 #: hashes of known words' remains that are sent to all tasks; more are joined by a shuffle
 SENT = 4_000_000
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def rare_words(words: Column, most: int = 1) -> Column:
@@ -49,27 +55,57 @@ def edits(word: Column) -> Column:
     return F.when((size < LEAST) | (size > LONGEST), 0).when(size < TWO_EDITS, 1).otherwise(2)
 
 
-def _remains(word: str) -> list[str]:
-    size = len(word)
-    if not LEAST <= size <= LONGEST:
-        return [word]
-    once = {word[:i] + word[i + 1 :] for i in range(size)}
-    twice = {w[:i] + w[i + 1 :] for w in once for i in range(size - 1)} if size >= TWO_EDITS else set()
-    return sorted({word} | once | twice)
+def _hashed(codes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the characters along the last axis."""
+    value = np.full(codes.shape[:-1], codes.shape[-1], np.uint64)
+    for k in range(codes.shape[-1]):
+        value = (value ^ codes[..., k]) * _BASE
+        value ^= value >> np.uint64(29)
+    return value.view(np.int64)
+
+
+def _codes(words: list[str]) -> np.ndarray:
+    """Words of one length as rows of character codes."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
+
 
+def _remains(words: Sequence[str], most: int) -> list[np.ndarray]:
+    """Per word hashes of what is left after 0 to ``most`` deletions, never more than edits() of the word: all words of a length at once."""
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+    for size, at in _by_key(len(w) for w in words).items():
+        if not LEAST <= size <= LONGEST:
+            continue
+        kinds = [np.array(list(combinations(range(size), size - d))) for d in range(min(most, 1 if size < TWO_EDITS else 2) + 1)]
+        step = max(1, 1_000_000 // (len(kinds[-1]) * size))
+        for lo in range(0, len(at), step):
+            some = at[lo : lo + step]
+            codes = _codes([words[k] for k in some]).astype(np.uint64)
+            left = np.concatenate([_hashed(codes[:, kind]) for kind in kinds], axis=1)
+            for k, row in zip(some, left, strict=True):
+                out[k] = row
+    return out
 
-def remains(word: Column) -> Column:
-    """What is left of a word after at most edits() deletions, itself included.
+
+def _by_key(keys: Iterable[Hashable]) -> dict[Hashable, list[int]]:
+    """The places of each key."""
+    out: dict[Hashable, list[int]] = {}
+    for k, key in enumerate(keys):
+        out.setdefault(key, []).append(k)
+    return out
+
+
+def remains(word: Column, most: int = 2) -> Column:
+    """Hashes of what is left of a word after at most ``most`` and edits() deletions, itself included.
 
     A known word that is shorter than a rare one may need fewer deletions than the edits
     between them, never more than its own edits(): so both sides go by their own length.
     """
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf("array<long>")
     def left(words: pd.Series) -> pd.Series:
-        return words.map(_remains)
+        return pd.Series(_remains(words.tolist(), most), dtype=object)
 
-    return left(word)
+    return F.array_distinct(left(word))
 
 
 def distance(a: str, b: str, most: int) -> int:
@@ -92,28 +128,73 @@ def distance(a: str, b: str, most: int) -> int:
     return min(rows[len(a)][len(b) + 1], most + 1)
 
 
-def corrections(rare: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(word, correction, edits) of rare words (word) by frequent ones (word, n); those without one near are left out.
+def near_distances(words: Sequence[str], others: Sequence[str]) -> np.ndarray:
+    """distance() of every two words, 3 where it is above 2: a cell of the tables of all pairs of equal lengths at a time.
 
-    Words of either side are counted once; null words match nothing.
+    Two edits reach no further than two places from the diagonal, and a swap no further than over one character
+    that is left out or put in between.
     """
+    out = np.full(len(words), 3, np.uint8)
+    for (n, m), at in _by_key((len(a), len(b)) for a, b in zip(words, others, strict=True)).items():
+        if abs(n - m) > 2:
+            continue
+        a, b = (np.ascontiguousarray(_codes([side[k] for k in at]).T) if side[at[0]] else None for side in (words, others))
+        far = np.full(len(at), 9, np.uint8)
+        cells: dict[tuple[int, int], np.ndarray] = {}
+        for i in range(n + 1):
+            for j in range(max(0, i - 2), min(m, i + 2) + 1):
+                if not i or not j:
+                    cells[i, j] = np.full(len(at), i + j, np.uint8)
+                    continue
+                best = np.minimum(cells.get((i - 1, j), far), cells.get((i, j - 1), far)) + np.uint8(1)
+                best = np.minimum(best, cells[i - 1, j - 1] + (a[i - 1] != b[j - 1]))
+                for p, r in ((2, 2), (3, 2), (2, 3)):
+                    if i >= p and j >= r and (i - p, j - r) in cells:
+                        swapped = (a[i - 1] == b[j - r]) & (a[i - p] == b[j - 1])
+                        best = np.where(swapped, np.minimum(best, cells[i - p, j - r] + np.uint8(p + r - 3)), best)
+                cells[i, j] = best
+            for j in range(m + 1):
+                cells.pop((i - 3, j), None)
+        out[at] = np.minimum(cells[n, m], 3)
+    return out
+
+
+def _nearest(rare: DataFrame, known: DataFrame, most: int) -> DataFrame:
+    """(word, correction, edits): the best of the known words (correction, n) within ``most`` edits of each rare word (word)."""
     # remains go as hashes, which take less room; words that meet by chance are measured apart
-    known = kept(frequent.select(F.col("word").alias("correction"), "n", F.explode(remains(F.col("word"))).alias("r")).select("correction", "n", F.xxhash64("r").alias("rest")), "known-remains")
-    asked = rare.where(edits(F.col("word")) > 0).select("word").distinct().select("word", F.explode(remains(F.col("word"))).alias("r")).select("word", F.xxhash64("r").alias("rest"))
-    # most remains of rare words are no known word's: they go before anything is shuffled
-    asked = among(asked, known.select("rest").distinct(), "rest", SENT)
-    met = asked.join(known, "rest").where(F.col("word") != F.col("correction")).groupBy("word", "correction").agg(F.max("n").alias("n"))
-    allowed = edits(F.col("word"))
+    known = kept(known.select("correction", "n", F.explode(remains(F.col("correction"), most)).alias("rest")), "known-remains")
+    asked = rare.select("word", F.explode(remains(F.col("word"), most)).alias("rest"))
+    keys = known.select("rest").distinct()
+    # most remains of rare words are no known word's: they go before anything is shuffled, if the known ones can be sent to all tasks
+    if keys.limit(SENT + 1).count() <= SENT:
+        asked = asked.join(F.broadcast(keys), "rest", "left_semi")
+    allowed = F.least(edits(F.col("word")), F.lit(most))
+    met = asked.join(known, "rest").where((F.col("word") != F.col("correction")) & (F.abs(F.length("word") - F.length("correction")) <= allowed))
 
     @F.pandas_udf("int")
-    def apart(a: pd.Series, b: pd.Series, most: pd.Series) -> pd.Series:
-        return pd.Series([distance(*row) for row in zip(a, b, most, strict=True)], dtype="int32")
+    def apart(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(near_distances(a.tolist(), b.tolist()), dtype="int32")
 
-    near = met.where(F.abs(F.length("word") - F.length("correction")) <= allowed).withColumn("edits", apart("word", "correction", allowed)).where(F.col("edits") <= allowed)
+    # two words may meet more than once, which changes no least
+    near = met.withColumn("edits", apart("word", "correction")).where(F.col("edits") <= allowed)
     best = near.groupBy("word").agg(F.min(F.struct("edits", (-F.col("n")).alias("below"), "correction")).alias("b"))
     return best.select("word", "b.correction", "b.edits")
 
 
+def corrections(rare: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(word, correction, edits) of rare words (word) by frequent ones (word, n); those without one near are left out.
+
+    Words of either side are counted once; null words match nothing.  Only words that no
+    known word is one edit away from are looked up by two deletions, of which there are many more.
+    """
+    bounded(rare.sparkSession)
+    known = frequent.where("word IS NOT NULL").select(F.col("word").alias("correction"), "n")
+    asked = kept(rare.where(edits(F.col("word")) > 0).select("word").distinct(), "asked")
+    one = kept(_nearest(asked, known, 1), "one-edit")
+    rest = asked.where(edits(F.col("word")) > 1).join(one, "word", "left_anti")
+    return one.unionByName(_nearest(rest, known, 2))
+
+
 def corrected(docs: DataFrame, text: str = "text", known: int = KNOWN, most: int = 1) -> tuple[DataFrame, DataFrame]:
     """(docs with rare, unknown words of the text corrected, the corrections made: word, correction, edits).
 

@@ -28,6 +28,31 @@ def test_distance_is_the_least_number_of_edits():
             assert (S.distance(a, b, 2) <= 2) == (b == a or b in one or b in two)
 
 
+def test_near_distances_of_many_pairs():
+    """Before, each pair that met was measured by itself, a cell at a time."""
+    rng = random.Random(2)
+    some = lambda: "".join(rng.choice("abcd𝄞") for _ in range(rng.randrange(0, 9)))
+    pairs = [("ca", "abc"), ("abc", "ca"), ("xabcy", "xcay"), ("", ""), ("", "ab"), ("abc", "")]
+    for _ in range(4000):
+        a = b = some()
+        for _ in range(rng.randrange(4)):
+            at = rng.randrange(len(b) + 1)
+            b = rng.choice([b[:at] + b[at + 1 :], b[:at] + "x" + b[at:], b[:at] + b[at : at + 2][::-1] + b[at + 2 :], b[:at] + "z" + b[at + 1 :]])
+        pairs += [(a, b), (a, some())]
+    found = S.near_distances(*map(list, zip(*pairs, strict=True)))
+    assert found.tolist() == [S.distance(a, b, 2) for a, b in pairs]
+
+
+def test_words_one_edit_away_need_no_two_deletions(spark, monkeypatch):
+    asked = []
+    whole = S._nearest
+    monkeypatch.setattr(S, "_nearest", lambda rare, known, most: asked.append((most, sorted(r.word for r in rare.collect()))) or whole(rare, known, most))
+    rare = spark.createDataFrame([("mountxin",), ("moxxtain",), ("rivxr",), ("rxvxr",), ("quietness",)], "word string")
+    known = spark.createDataFrame([("mountain", 30), ("river", 25), ("mountainous", 20)], "word string, n long")
+    assert {tuple(r) for r in S.corrections(rare, known).collect()} == {("mountxin", "mountain", 1), ("moxxtain", "mountain", 2), ("rivxr", "river", 1)}
+    assert asked == [(1, ["mountxin", "moxxtain", "quietness", "rivxr", "rxvxr"]), (2, ["moxxtain", "quietness"])]
+
+
 def nearest(word, known):
     most = 1 if len(word) < S.TWO_EDITS else 2
     found = [(d, -n, v) for v, n in known.items() if v != word for d in [S.distance(word, v, most)] if d <= most]
