@@ -14,10 +14,13 @@ first and two for what one did not find; pairs that meet are measured exactly.
 from __future__ import annotations
 
 from collections.abc import Hashable, Iterable, Sequence
+from functools import reduce
 from itertools import combinations
+from operator import and_
 
 import numpy as np
 import pandas as pd
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,23 +33,74 @@ from .matching import among
 KNOWN = 20
 #: words of fewer characters may differ by one edit only; shorter ones than LEAST are left alone, and so are those longer than LONGEST
 TWO_EDITS, LEAST, LONGEST = 7, 4, 32
-#: hashes of known words' remains that are sent to all tasks; more are joined by a shuffle
-SENT = 4_000_000
+#: bits that are sent to all tasks, a power of two: each stands for the hashes of equal last bits, set if a known word's remain has one
+SIEVE = 1 << 27
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
+def _rare(numbered: Column, most: int) -> Column:
+    """Of an array of (word, at) those whose word occurs ``most`` times at most in it and is no stop word, sorted."""
+
+    def rare(s: Column) -> Column:
+        def short(w: Column, i: Column) -> Column:
+            # the run of equal words that holds place i is longer than ``most`` if any two of it lie so far apart
+            side = lambda k: (F.get(s, i + k) if k else w)["word"]
+            other = [F.coalesce(side(-d) != side(most - d), F.lit(True)) for d in range(most + 1)]
+            return reduce(and_, other) & ~w["word"].isin(STOPWORDS)
+
+        return F.filter(s, short)
+
+    # bound to a name, the sorted words are computed once a text, not once a word
+    return T.once(F.sort_array(numbered), rare)
+
+
+def _numbered(words: Column) -> Column:
+    return F.transform(words, lambda w, i: F.struct(w.alias("word"), i.alias("at")))
+
+
 def rare_words(words: Column, most: int = 1) -> Column:
     """The distinct words of an array that occur ``most`` times at most in it and are no stop words, sorted."""
-    # a word is rare if it begins its run in sorted order and the one ``most`` places on is another
+    return F.array_distinct(F.transform(_rare(_numbered(words), most), lambda x: x["word"]))
 
-    def rare(s: Column) -> Column:
-        first = lambda w, i: (i == 0) | (F.get(s, i - 1) != w)
-        short = lambda w, i: (i + most >= F.size(s)) | (F.get(s, i + most) != w)
-        return F.filter(s, lambda w, i: first(w, i) & short(w, i))
 
-    # bound to a name by transform(), the sorted words are computed once a text, not once a word
-    once = F.get(F.transform(F.array(F.array_sort(words)), rare), F.lit(0))
-    return F.array_except(once, F.array(*map(F.lit, STOPWORDS)))
+def rare_places(text: str, most: int = 1) -> Column:
+    """Where a text's rare_words() that may have corrections stand: array of (word, at), at the number of a piece (pieces()), counted from 0.
+
+    It is null where the piece in lower case is not the word.
+    """
+    def whole(own: Column) -> Column:
+        def placed(low: Column) -> Column:
+            # a letter whose lower case is no letter alone cuts its word: such texts are numbered word by word
+            cut = F.flatten(F.transform(own, lambda o, i: F.transform(T.words(o), lambda w: F.struct(w.alias("word"), i.alias("at")))))
+            every = F.when(F.size(low) == F.size(own), _numbered(low)).otherwise(cut)
+            return _rare(F.filter(every, lambda x: F.length(x["word"]).between(LEAST, LONGEST)), most)
+
+        # between two words there is one piece, and one before the first word if the text does not begin with it
+        begun = F.when(F.startswith(F.col(text), F.get(own, F.lit(0))), 0).otherwise(1)
+        at = lambda x: F.when(F.lower(F.get(own, x["at"])) == x["word"], 2 * x["at"] + begun)
+        return F.transform(T.once(T.words(text), placed), lambda x: F.struct(x["word"].alias("word"), at(x).alias("at")))
+
+    return T.once(F.regexp_extract_all(F.col(text), F.lit(T.WORD), F.lit(0)), whole)
+
+
+def pieces(text: str) -> Column:
+    """The words of a text and what lies between them, in order."""
+    return F.regexp_extract_all(F.col(text), F.lit(rf"{T.WORD}|[^\p{{L}}\p{{N}}_]+"), F.lit(0))
+
+
+def replaced(text: str, new: Column) -> Column:
+    """The text with pieces replaced: ``new`` is an array of (at, correction), sorted by at.
+
+    What lies between two replaced pieces is joined as one run, so every piece is touched
+    once; a look-up of each piece among the text's corrections grows as their product.
+    """
+    def spelt(p: Column) -> Column:
+        last = lambda k: F.when(k == 0, -1).otherwise(F.get(new, k - 1)["at"])
+        run = lambda lo, hi: F.array_join(F.slice(p, lo + 1, hi - lo), "")
+        heads = F.transform(new, lambda f, k: F.concat(run(last(k) + 1, f["at"]), f["correction"]))
+        return F.concat(F.array_join(heads, ""), run(last(F.size(new)) + 1, F.size(p)))
+
+    return T.once(pieces(text), spelt)
 
 
 def edits(word: Column) -> Column:
@@ -69,7 +123,23 @@ def _codes(words: list[str]) -> np.ndarray:
     return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), -1)
 
 
-def _remains(words: Sequence[str], most: int) -> list[np.ndarray]:
+def _sieve(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Of so many bits those that the hashes (rest) set, in bytes; Spark makes them in words of 64, so what comes here has a fixed size."""
+    at = F.col("rest").bitwiseAND(bits - 1)
+    word = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))
+    rows = hashes.groupBy(F.shiftright(at, 6).alias("at")).agg(F.bit_or(word).alias("word")).toArrow()
+    out = np.zeros(max(bits // 64, 1), np.int64)
+    out[rows["at"].to_numpy()] = rows["word"].to_numpy()
+    return out.view(np.uint8)
+
+
+def _passes(hashes: np.ndarray, sieve: np.ndarray) -> np.ndarray:
+    """Whether a hash's bit is set."""
+    at = hashes & (8 * len(sieve) - 1)
+    return (sieve[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1) > 0
+
+
+def _remains(words: Sequence[str], most: int, sieve: np.ndarray | None = None) -> list[np.ndarray]:
     """Per word hashes of what is left after 0 to ``most`` deletions, never more than edits() of the word: all words of a length at once."""
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
     for size, at in _by_key(len(w) for w in words).items():
@@ -81,7 +151,12 @@ def _remains(words: Sequence[str], most: int) -> list[np.ndarray]:
             some = at[lo : lo + step]
             codes = _codes([words[k] for k in some]).astype(np.uint64)
             left = np.concatenate([_hashed(codes[:, kind]) for kind in kinds], axis=1)
-            for k, row in zip(some, left, strict=True):
+            if sieve is None:
+                rows = list(left)
+            else:
+                passed = _passes(left, sieve)
+                rows = np.split(left[passed], np.cumsum(passed.sum(axis=1))[:-1])
+            for k, row in zip(some, rows, strict=True):
                 out[k] = row
     return out
 
@@ -94,8 +169,8 @@ def _by_key(keys: Iterable[Hashable]) -> dict[Hashable, list[int]]:
     return out
 
 
-def remains(word: Column, most: int = 2) -> Column:
-    """Hashes of what is left of a word after at most ``most`` and edits() deletions, itself included.
+def remains(word: Column, most: int = 2, sieve: Broadcast | None = None) -> Column:
+    """Hashes of what is left of a word after at most ``most`` and edits() deletions, itself included; with a sieve those that pass it.
 
     A known word that is shorter than a rare one may need fewer deletions than the edits
     between them, never more than its own edits(): so both sides go by their own length.
@@ -103,7 +178,7 @@ def remains(word: Column, most: int = 2) -> Column:
 
     @F.pandas_udf("array<long>")
     def left(words: pd.Series) -> pd.Series:
-        return pd.Series(_remains(words.tolist(), most), dtype=object)
+        return pd.Series(_remains(words.tolist(), most, sieve and sieve.value), dtype=object)
 
     return F.array_distinct(left(word))
 
@@ -163,18 +238,18 @@ def _nearest(rare: DataFrame, known: DataFrame, most: int) -> DataFrame:
     """(word, correction, edits): the best of the known words (correction, n) within ``most`` edits of each rare word (word)."""
     # remains go as hashes, which take less room; words that meet by chance are measured apart
     known = kept(known.select("correction", "n", F.explode(remains(F.col("correction"), most)).alias("rest")), "known-remains")
-    asked = rare.select("word", F.explode(remains(F.col("word"), most)).alias("rest"))
-    keys = known.select("rest").distinct()
-    # most remains of rare words are no known word's: they go before anything is shuffled, if the known ones can be sent to all tasks
-    if keys.limit(SENT + 1).count() <= SENT:
-        asked = asked.join(F.broadcast(keys), "rest", "left_semi")
+    # most remains of rare words are no known word's: they go before they leave Python; the join drops those that pass by chance
+    sieve = rare.sparkSession.sparkContext.broadcast(_sieve(known, SIEVE))
+    asked = rare.select("word", F.explode(remains(F.col("word"), most, sieve)).alias("rest"))
     allowed = F.least(edits(F.col("word")), F.lit(most))
     met = asked.join(known, "rest").where((F.col("word") != F.col("correction")) & (F.abs(F.length("word") - F.length("correction")) <= allowed))
 
     @F.pandas_udf("int")
-    def apart(a: pd.Series, b: pd.Series) -> pd.Series:
+    def measured(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(near_distances(a.tolist(), b.tolist()), dtype="int32")
 
+    # as a function of unsure result it is not computed once more for the filter
+    apart = measured.asNondeterministic()
     # two words may meet more than once, which changes no least
     near = met.withColumn("edits", apart("word", "correction")).where(F.col("edits") <= allowed)
     best = near.groupBy("word").agg(F.min(F.struct("edits", (-F.col("n")).alias("below"), "correction")).alias("b"))
@@ -195,27 +270,26 @@ def corrections(rare: DataFrame, frequent: DataFrame) -> DataFrame:
     return one.unionByName(_nearest(rest, known, 2))
 
 
-def corrected(docs: DataFrame, text: str = "text", known: int = KNOWN, most: int = 1) -> tuple[DataFrame, DataFrame]:
+def corrected(docs: DataFrame, text: str = "text", known: int = KNOWN, most: int = 1, count: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(docs with rare, unknown words of the text corrected, the corrections made: word, correction, edits).
 
     A replaced word is in lower case, as the known words are.  A null text stays null, an empty
-    one empty; rows of equal or null id are rows like others; other columns pass.
+    one empty; rows of equal or null id are rows like others; other columns pass.  ``count``
+    names a further column: how many words of the text were replaced, null of a null text.
     """
     # a number of its own for every row, to find it again
     numbered = kept(docs.withColumn("__row", F.monotonically_increasing_id()), "texts")
-    words = T.words(text)
-    counts = kept(numbered.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
+    counts = kept(numbered.select(F.explode(T.words(text)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
     frequent = counts.where(F.col("n") >= known)
-    rare = numbered.select("__row", F.explode(rare_words(words, most)).alias("word")).where(edits(F.col("word")) > 0)
+    rare = numbered.select("__row", F.inline(rare_places(text, most)))
     rare = kept(among(rare, frequent.select("word"), "word", how="left_anti"), "rare-words")
     found = kept(corrections(rare.select("word"), frequent.where(edits(F.col("word")) > 0)), "corrections")
     # a text's own corrections: never more than its words
-    of_row = rare.join(found, "word").groupBy("__row").agg(F.map_from_entries(F.collect_list(F.struct("word", "correction"))).alias("__new"))
+    of_row = rare.where("at IS NOT NULL").join(found, "word").groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("at", "correction"))).alias("__new"))
     joined = numbered.join(of_row, "__row", "left")
-    pieces = F.regexp_extract_all(F.col(text), F.lit(rf"{T.WORD}|[^\p{{L}}\p{{N}}_]+"), F.lit(0))
-    spelt = F.array_join(F.transform(pieces, lambda p: F.coalesce(F.col("__new")[F.lower(p)], p)), "")
-    out = joined.withColumn(text, F.when(F.col("__new").isNull(), F.col(text)).otherwise(spelt)).select(docs.columns)
-    return out, found
+    spelt = F.when(F.col("__new").isNull(), F.col(text)).otherwise(replaced(text, F.col("__new")))
+    made = [] if count is None else [F.when(F.col(text).isNotNull(), F.coalesce(F.size("__new"), F.lit(0))).cast("long").alias(count)]
+    return joined.select(*(spelt.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns), *made), found
 
 
 def useful(found: DataFrame, logged: DataFrame | None = None) -> DataFrame:

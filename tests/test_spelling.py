@@ -116,3 +116,48 @@ def test_corrected_texts_equal_brute_force(spark, known):
     logged = spark.createDataFrame(list(fixes.items())[:2], "old string, new string")
     assert {(r.old, r.new) for r in S.useful(found, logged).collect()} == set(list(fixes.items())[2:])
     assert S.corrected(df.limit(0))[0].count() == 0
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 27])
+def test_a_full_sieve_loses_nothing(spark, monkeypatch, bits):
+    """Before, remains were sent to Spark whole, and shuffled whole where the known ones were too many to be sent to all tasks."""
+    monkeypatch.setattr(S, "SIEVE", bits)
+    rng = random.Random(5)
+    known = {"".join(rng.choice("abcde") for _ in range(rng.randrange(S.LEAST, 10))): n for n in range(20, 220)}
+    rare = {"".join(rng.choice("abcde") for _ in range(rng.randrange(S.LEAST, 10))) for _ in range(200)} - set(known)
+    got = {r.word: r.correction for r in S.corrections(spark.createDataFrame([(w,) for w in rare], "word string"), spark.createDataFrame(list(known.items()), "word string, n long")).collect()}
+    assert got == {w: b[2] for w in rare for b in [nearest(w, known)] if b}
+    hashes = spark.createDataFrame([(h,) for row in S._remains(list(known), 2) for h in row.tolist()], "rest long")
+    sieve = S._sieve(hashes, bits)
+    assert len(sieve) == bits // 8 and [r.tolist() for r in S._remains(list(known), 2, sieve)] == [r.tolist() for r in S._remains(list(known), 2)]
+    assert bits == 64 or sum(map(len, S._remains(list(rare), 2, sieve))) < sum(map(len, S._remains(list(rare), 2))) / 2
+
+
+def test_pairs_are_measured_once(spark):
+    """Before, the filter by distance measured every pair a second time."""
+    rare, known = spark.createDataFrame([("mountxin",)], "word string"), spark.createDataFrame([("mountain", 30)], "correction string, n long")
+    plan = S._nearest(rare, known, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"(?:apart|measured)\(", plan)) == 1
+
+
+@pytest.mark.parametrize("most", [1, 2])
+def test_replaced_by_place(spark, most):
+    words = "winter mountain evening " * 20
+    texts = ["(Wintxr, mountaix!", "Évening\n evenxng  Wintxr", "İwintxr İ mountxin İ", "\U0001f600wintxr", "wintxr mountain", "wintxr, Wintxr", "evͅenxng evenxng", "ΟΔΟΣ'Α mountaxn", "", " ", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate([words, *texts])], "id int, text string")
+    out, _ = S.corrected(df, most=most, count="n")
+    got = {r.id: (r.text, r.n) for r in out.collect()}
+    twice = ("winter, winter", 2) if most == 2 else ("wintxr, Wintxr", 0)
+    want = [("(winter, mountain!", 2), ("evening\n evening  winter", 3), ("İwintxr İ mountain İ", 1), ("\U0001f600winter", 1), ("winter mountain", 1), twice, ("evͅenxng evening", 1), ("ΟΔΟΣ'Α mountain", 1), ("", 0), (" ", 0), (None, None)]
+    assert [got[k] for k in range(1, len(want) + 1)] == want and got[0] == (words, 0)
+
+
+def test_a_text_of_many_corrections_is_spelt_in_proportion(spark):
+    """Before, each piece was looked for among all of its text's corrections, which grows with the square of the text."""
+    known = ["abcdefghij", "klmnopqrst", "uvwxyzabcd", "mnbvcxzlkj"]
+    rare = [w[:a] + x + w[a + 1 : b] + y + w[b + 1 :] for w in known for a in range(10) for b in range(a + 1, 10) for x in "éèêàâîïôûç" for y in "éèêàâîïôûçüö"]
+    fixed = [w for w in known for _ in range(len(rare) // len(known))]
+    df = spark.createDataFrame([(0, " ".join(known * 20)), (1, " ".join(rare))], "id int, text string")
+    out, _ = S.corrected(df, count="n")
+    assert {r.id: (r.text, r.n) for r in out.collect()}[1] == (" ".join(fixed), len(rare))
+    assert "map_from_entries" not in out._jdf.queryExecution().optimizedPlan().toString()
