@@ -19,9 +19,12 @@ WS = f"[{WS_SET}]"
 NOT_WS = f"[^{WS_SET}]"
 #: the same characters, one by one
 WS_CHARS = "".join(chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
-#: white space that is not one plain space, which collapse() leaves as it is
-WS_UNEVEN = f"[{WS_SET.replace('\\x1C-\\x20', '\\x1C-\\x1F')}]{WS}*|\\x20{WS}+"
+#: white space that is not one plain space, which collapse() leaves as it is; for Java, which asks a class's ranges
+#: one by one: nearly all characters lie outside the two ranges that it asks first
+WS_UNEVEN = f"[\\x09-\\x1F\\x{{85}}-\\x{{3000}}&&[{WS_SET.replace('\\x1C-\\x20', '\\x1C-\\x1F')}]]{WS}*|\\x20[\\x09-\\x20\\x{{85}}-\\x{{3000}}&&{WS}]+"
 LINE_END = r"\r\n|[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]"
+#: the same for Java, by the same means
+_LINE_END_JAVA = r"\r\n|[\n-\x1E\x{85}-\x{2029}&&[\n\r\x0B\x0C\x1C-\x1E\x{85}\x{2028}\x{2029}]]"
 WORD = r"[\p{L}\p{N}_]+"
 #: words with inner apostrophes kept
 WORD_FR = r"[0-9\p{L}]+(?:'[0-9\p{L}]+)*"
@@ -57,7 +60,7 @@ def lines(c: ColumnLike) -> Column:
         ends_open = (F.size(whole) > 0) & (F.element_at(whole, -1) == "")
         return F.when(ends_open, F.slice(whole, 1, F.greatest(F.size(whole) - 1, F.lit(0)))).otherwise(whole)
 
-    return once(F.split(col(c), LINE_END, -1), closed)
+    return once(F.split(col(c), _LINE_END_JAVA, -1), closed)
 
 
 def words(c: ColumnLike) -> Column:
@@ -149,8 +152,9 @@ def replace_word(c: ColumnLike, pattern: str, new: str) -> Column:
 
 
 def replace_literal(c: ColumnLike, word: str, new: str) -> Column:
-    """replace_word() of a word without pattern signs; texts that do not hold it are not searched for its edges."""
-    return once(col(c), lambda t: F.when(F.contains(t, F.lit(word)), replace_word(t, word, new)).otherwise(t))
+    """replace_word() of a word without pattern signs; texts that do not hold it are not searched, nor are places for its edges."""
+    pattern = rf"{word}(?<![\p{{L}}\p{{N}}_]{word}){EDGE_RIGHT}"
+    return once(col(c), lambda t: F.when(F.contains(t, F.lit(word)), F.regexp_replace(t, pattern, new.replace("$", r"\$"))).otherwise(t))
 
 
 # Characters of labels and what stands for them; those without an entry stay.

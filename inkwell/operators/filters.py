@@ -14,8 +14,11 @@ NOISE = [
     r"^politique de confidentialité", r"@studocu", r"^(\d{1,2}%|\d{1,2} \%)$", r"^=+$", r"^\s*-+\s*$",
 ]
 NOISE_PATTERN = "(?i)" + "|".join(NOISE)
-#: the same for Java, which otherwise tries all of them at every place of a line
-_NOISE_JAVA = "(?iu)^(?:" + "|".join(n[1:] for n in NOISE if n[0] == "^") + ")|" + "|".join(n for n in NOISE if n[0] != "^")
+#: the same for Java, which tries them at every place of a line: how a line begins, what it is as a whole, what it holds
+_BEGINS, _IS, _HOLDS = ("(?iu)" + "|".join(n for n in NOISE if kind(n)) for kind in (
+    lambda n: n[0] == "^" and n[-1] != "$", lambda n: n[0] == "^" and n[-1] == "$", lambda n: n[0] != "^"))
+#: characters that tell how a line begins: more than any of NOISE has
+_BEGINNING = 64
 # French words too common to be called rare.
 STOPWORDS = (
     "le la et de du en à les des un une dans au pour par sur avec ou se ce il elle nous vous je tu ils elles "
@@ -27,11 +30,13 @@ TRIVIAL = r"^[.,; }\]\[{)(]*\z"
 def noise_reason(line: Column) -> Column:
     """Why a trimmed line is dropped, null if it stays: few letters in a long line, too short, or a noise pattern."""
     size = F.length(line)
+    # what a line is as a whole has no letters, so it is looked for in lines that "letters" does not judge; what it holds begins with @
+    noise = F.substring(line, 1, _BEGINNING).rlike(_BEGINS) | ((size <= 16) & line.rlike(_IS)) | (F.contains(line, F.lit("@")) & line.rlike(_HOLDS))
     return (
         F.when(size == 0, "empty")
         .when((size > 16) & (T.letters(line) / (size + 1e-5) < 0.45), "letters")
         .when(size < 4, "short")
-        .when(line.rlike(_NOISE_JAVA), "pattern")
+        .when(noise, "pattern")
     )
 
 
