@@ -161,3 +161,15 @@ def test_a_text_of_many_corrections_is_spelt_in_proportion(spark):
     out, _ = S.corrected(df, count="n")
     assert {r.id: (r.text, r.n) for r in out.collect()}[1] == (" ".join(fixed), len(rare))
     assert "map_from_entries" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_postprocess_full_spells_at_places(spark):
+    """Before, the pipeline's pieces were looked for among all of their text's corrections."""
+    from inkwell.plans.postprocess import postprocess_full
+
+    texts = ["A wintxr is near the mountaix here. A winter is near the mountain here. ", "", None, *(f"The winter mountain number {k} is near." for k in range(25))]
+    out, found = postprocess_full(spark.createDataFrame(list(enumerate(texts)), "id int, text string"))
+    got = {r.id: r.text for r in out.collect()}
+    assert got == dict(enumerate(["A winter is near the mountain here.", *texts[1:]]))
+    assert {(r.word, r.correction) for r in found.collect()} == {("mountaix", "mountain"), ("wintxr", "winter")}
+    assert "map_from_entries" not in out._jdf.queryExecution().optimizedPlan().toString()
