@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: bytes of a batch of rows that goes to Python; a longer row is a batch of its own
 BYTES = 4 << 20
@@ -14,3 +14,9 @@ def bounded(spark: SparkSession | None = None) -> None:
     spark = spark or SparkSession.active()
     if spark.conf.get(LIMIT, None) is None:
         spark.conf.set(LIMIT, str(BYTES))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows in a partition a core at least: a file of one row group is else the work of one task, whatever its size."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

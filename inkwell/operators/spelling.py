@@ -13,20 +13,23 @@ first and two for what one did not find; pairs that meet are measured exactly.
 
 from __future__ import annotations
 
-from collections.abc import Hashable, Iterable, Sequence
+import re
+from collections import Counter
+from collections.abc import Hashable, Iterable, Iterator, Sequence
 from functools import reduce
 from itertools import combinations
 from operator import and_
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..sources.scratch import kept
-from .batches import bounded
+from .batches import bounded, spread
 from .filters import STOPWORDS
 from .matching import among
 
@@ -35,6 +38,9 @@ KNOWN = 20
 TWO_EDITS, LEAST, LONGEST = 7, 4, 32
 #: bits that are sent to all tasks, a power of two: each stands for the hashes of equal last bits, set if a known word's remain has one
 SIEVE = 1 << 27
+#: known words that are sent to all tasks at most, the most frequent ones; distinct words that a task counts before it hands them on; pairs measured together
+COMMON, COUNTED, MEASURED = 200_000, 500_000, 100_000
+_WORD = re.compile(r"\w+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,44 +69,100 @@ def rare_words(words: Column, most: int = 1) -> Column:
     return F.array_distinct(F.transform(_rare(_numbered(words), most), lambda x: x["word"]))
 
 
-def rare_places(text: str, most: int = 1) -> Column:
-    """Where a text's rare_words() that may have corrections stand: array of (word, at), at the number of a piece (pieces()), counted from 0.
+def _words(low: str) -> list[str]:
+    """All _WORD of a text."""
+    # most that lies between white space, commas and stops is a word, which costs less to see than to search
+    out = low.replace(",", " ").replace(".", " ").split()
+    if "".join(out).isalnum():
+        return out
+    return [w for piece in out for w in ((piece,) if piece.isalnum() else _WORD.findall(piece))]
+
+
+def _matched(text: str) -> Iterator[tuple[str, re.Match]]:
+    """The words of a text in lower case, each with the piece of the text that it lies in."""
+    own, low = list(_WORD.finditer(text)), _words(text.lower())
+    if len(own) == len(low):
+        return zip(low, own, strict=True)
+    # a letter whose lower case is no letter alone cuts its word: such texts go word by word
+    return ((w, m) for m in own for w in _words(m[0].lower()))
+
+
+def _rare_places(text: str, most: int, common: frozenset[str]) -> list[tuple[str, int | None]]:
+    """(word, from) of the words that occur ``most`` times at most in a text, may have corrections and are not common, in order."""
+    low = text.lower()
+    words = [w for w in _words(low) if w not in common and LEAST <= len(w) <= LONGEST]
+    asked = {w for w, n in Counter(words).items() if n <= most}.difference(STOPWORDS)
+    if len(low) != len(text):
+        return [(w, m.start() if m[0].lower() == w else None) for w, m in _matched(text) if w in asked]
+    out, end = [], 0
+    for w in words:
+        if w in asked:
+            # all before it are placed, so it is where it stands next as a whole
+            at = low.find(w, end)
+            while _inner(low, at - 1) or _inner(low, at + len(w)):
+                at = low.find(w, at + 1)
+            end = at + len(w)
+            out.append((w, at if text[at:end].lower() == w else None))
+    return out
 
-    It is null where the piece in lower case is not the word.
-    """
-    def whole(own: Column) -> Column:
-        def placed(low: Column) -> Column:
-            # a letter whose lower case is no letter alone cuts its word: such texts are numbered word by word
-            cut = F.flatten(F.transform(own, lambda o, i: F.transform(T.words(o), lambda w: F.struct(w.alias("word"), i.alias("at")))))
-            every = F.when(F.size(low) == F.size(own), _numbered(low)).otherwise(cut)
-            return _rare(F.filter(every, lambda x: F.length(x["word"]).between(LEAST, LONGEST)), most)
 
-        # between two words there is one piece, and one before the first word if the text does not begin with it
-        begun = F.when(F.startswith(F.col(text), F.get(own, F.lit(0))), 0).otherwise(1)
-        at = lambda x: F.when(F.lower(F.get(own, x["at"])) == x["word"], 2 * x["at"] + begun)
-        return F.transform(T.once(T.words(text), placed), lambda x: F.struct(x["word"].alias("word"), at(x).alias("at")))
+def _inner(text: str, at: int) -> bool:
+    """Whether a character of a word stands at a place."""
+    return 0 <= at < len(text) and (text[at] == "_" or text[at].isalnum())
+
 
-    return T.once(F.regexp_extract_all(F.col(text), F.lit(T.WORD), F.lit(0)), whole)
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(word, n) of all words of the texts; a task hands on its own sums, COUNTED words or a batch at a time."""
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                seen.update(_words(t.lower()) if t else ())
+            if len(seen) >= COUNTED:
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+                seen = Counter()
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
 
-def pieces(text: str) -> Column:
-    """The words of a text and what lies between them, in order."""
-    return F.regexp_extract_all(F.col(text), F.lit(rf"{T.WORD}|[^\p{{L}}\p{{N}}_]+"), F.lit(0))
+    return docs.select(text).mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def replaced(text: str, new: Column) -> Column:
-    """The text with pieces replaced: ``new`` is an array of (at, correction), sorted by at.
+def rare_places(docs: DataFrame, text: str, most: int, frequent: DataFrame) -> DataFrame:
+    """(__row, word, at) of a text's words that occur ``most`` times at most in it, may have corrections and are not frequent (word, n).
 
-    What lies between two replaced pieces is joined as one run, so every piece is touched
-    once; a look-up of each piece among the text's corrections grows as their product.
+    ``at`` is where the word begins, counted from 0, null where the piece there in lower case is not the word.
     """
-    def spelt(p: Column) -> Column:
-        last = lambda k: F.when(k == 0, -1).otherwise(F.get(new, k - 1)["at"])
-        run = lambda lo, hi: F.array_join(F.slice(p, lo + 1, hi - lo), "")
-        heads = F.transform(new, lambda f, k: F.concat(run(last(k) + 1, f["at"]), f["correction"]))
-        return F.concat(F.array_join(heads, ""), run(last(F.size(new)) + 1, F.size(p)))
+    spark = docs.sparkSession
+    # most words are one of the most frequent: they go before they leave Python; the join drops the other known ones
+    first = frequent.orderBy(F.desc("n"), "word").limit(COMMON).select("word").toArrow()["word"].to_pylist()
+    common = spark.sparkContext.broadcast(frozenset(first))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(r, w, at) for r, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) if t for w, at in _rare_places(t, most, common.value)]
+            rows, words, places = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(words, pa.string()), pa.array(places, pa.int32())], ["__row", "word", "at"])
+
+    rare = docs.select("__row", text).mapInArrow(placed, "__row long, word string, at int")
+    return among(rare, frequent.select("word"), "word", how="left_anti")
+
+
+def _put(text: str, at: Sequence[int], new: Sequence[str]) -> str:
+    out, last = [], 0
+    for a, n in zip(at, new, strict=True):
+        out += (text[last:a], n)
+        last = _WORD.match(text, a).end()
+    return "".join((*out, text[last:]))
+
+
+def replaced(text: Column, places: Column, new: Column) -> Column:
+    """The text with words replaced: ``places`` are where they begin, ascending, ``new`` their corrections; nulls are none."""
 
-    return T.once(pieces(text), spelt)
+    @F.pandas_udf("string")
+    def spelt(texts: pd.Series, at: pd.Series, words: pd.Series) -> pd.Series:
+        return pd.Series([t if t is None or a is None else _put(t, a, w) for t, a, w in zip(texts, at, words, strict=True)], dtype=object)
+
+    return spelt(text, places, new)
 
 
 def edits(word: Column) -> Column:
@@ -139,25 +201,28 @@ def _passes(hashes: np.ndarray, sieve: np.ndarray) -> np.ndarray:
     return (sieve[at >> 3] >> (at & 7).astype(np.uint8)) & np.uint8(1) > 0
 
 
-def _remains(words: Sequence[str], most: int, sieve: np.ndarray | None = None) -> list[np.ndarray]:
-    """Per word hashes of what is left after 0 to ``most`` deletions, never more than edits() of the word: all words of a length at once."""
-    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+def _flat_remains(words: Sequence[str], most: int, sieve: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hashes of what is left after 0 to ``most`` deletions, never more than edits() of the word, with its word's place: many words of a length at once."""
     for size, at in _by_key(len(w) for w in words).items():
         if not LEAST <= size <= LONGEST:
             continue
         kinds = [np.array(list(combinations(range(size), size - d))) for d in range(min(most, 1 if size < TWO_EDITS else 2) + 1)]
         step = max(1, 1_000_000 // (len(kinds[-1]) * size))
         for lo in range(0, len(at), step):
-            some = at[lo : lo + step]
+            some = np.array(at[lo : lo + step])
             codes = _codes([words[k] for k in some]).astype(np.uint64)
             left = np.concatenate([_hashed(codes[:, kind]) for kind in kinds], axis=1)
-            if sieve is None:
-                rows = list(left)
-            else:
-                passed = _passes(left, sieve)
-                rows = np.split(left[passed], np.cumsum(passed.sum(axis=1))[:-1])
-            for k, row in zip(some, rows, strict=True):
-                out[k] = row
+            passed = np.ones(left.shape, bool) if sieve is None else _passes(left, sieve)
+            yield np.repeat(some, passed.sum(axis=1)), left[passed]
+
+
+def _remains(words: Sequence[str], most: int, sieve: np.ndarray | None = None) -> list[np.ndarray]:
+    """_flat_remains() by word."""
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+    for at, left in _flat_remains(words, most, sieve):
+        for row in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at)) + 1):
+            if len(row):
+                out[at[row[0]]] = left[row]
     return out
 
 
@@ -169,18 +234,21 @@ def _by_key(keys: Iterable[Hashable]) -> dict[Hashable, list[int]]:
     return out
 
 
-def remains(word: Column, most: int = 2, sieve: Broadcast | None = None) -> Column:
-    """Hashes of what is left of a word after at most ``most`` and edits() deletions, itself included; with a sieve those that pass it.
+def remains(words: DataFrame, most: int = 2, sieve: Broadcast | None = None) -> DataFrame:
+    """The rows of a table with hashes (rest) of what is left of the first column, a word, after at most ``most`` and edits() deletions, itself included.
 
-    A known word that is shorter than a rare one may need fewer deletions than the edits
-    between them, never more than its own edits(): so both sides go by their own length.
+    With a sieve it is those that pass.  A known word that is shorter than a rare one may need
+    fewer deletions than the edits between them, never more than its own edits(): so both sides
+    go by their own length.  What is left twice of a word may be there twice.
     """
 
-    @F.pandas_udf("array<long>")
-    def left(words: pd.Series) -> pd.Series:
-        return pd.Series(_remains(words.tolist(), most, sieve and sieve.value), dtype=object)
+    def left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, rest in _flat_remains(batch.column(0).to_pylist(), most, sieve and sieve.value):
+                yield pa.RecordBatch.from_arrays([*(c.take(pa.array(at)) for c in batch.columns), pa.array(rest)], [*batch.schema.names, "rest"])
 
-    return F.array_distinct(left(word))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in words.schema)
+    return words.mapInArrow(left, f"{schema}, rest long")
 
 
 def distance(a: str, b: str, most: int) -> int:
@@ -237,25 +305,36 @@ def near_distances(words: Sequence[str], others: Sequence[str]) -> np.ndarray:
 def _nearest(rare: DataFrame, known: DataFrame, most: int) -> DataFrame:
     """(word, correction, edits): the best of the known words (correction, n) within ``most`` edits of each rare word (word)."""
     # remains go as hashes, which take less room; words that meet by chance are measured apart
-    known = kept(known.select("correction", "n", F.explode(remains(F.col("correction"), most)).alias("rest")), "known-remains")
+    known = kept(remains(known.select("correction", "n"), most), "known-remains")
     # most remains of rare words are no known word's: they go before they leave Python; the join drops those that pass by chance
     sieve = rare.sparkSession.sparkContext.broadcast(_sieve(known, SIEVE))
-    asked = rare.select("word", F.explode(remains(F.col("word"), most, sieve)).alias("rest"))
     allowed = F.least(edits(F.col("word")), F.lit(most))
-    met = asked.join(known, "rest").where((F.col("word") != F.col("correction")) & (F.abs(F.length("word") - F.length("correction")) <= allowed))
+    met = remains(rare.select("word"), most, sieve).join(known, "rest").where((F.col("word") != F.col("correction")) & (F.abs(F.length("word") - F.length("correction")) <= allowed))
 
-    @F.pandas_udf("int")
-    def measured(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series(near_distances(a.tolist(), b.tolist()), dtype="int32")
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pairs in _together(batches, MEASURED):
+            far = pa.array(near_distances(pairs["word"].to_pylist(), pairs["correction"].to_pylist()).astype(np.int32))
+            pairs = pairs.append_column("edits", far)
+            yield from pairs.filter(np.asarray(far) <= np.asarray(pairs["allowed"])).drop_columns("allowed").to_batches()
 
-    # as a function of unsure result it is not computed once more for the filter
-    apart = measured.asNondeterministic()
     # two words may meet more than once, which changes no least
-    near = met.withColumn("edits", apart("word", "correction")).where(F.col("edits") <= allowed)
+    near = met.select("word", "correction", "n", allowed.alias("allowed")).mapInArrow(measured, "word string, correction string, n long, edits int")
     best = near.groupBy("word").agg(F.min(F.struct("edits", (-F.col("n")).alias("below"), "correction")).alias("b"))
     return best.select("word", "b.correction", "b.edits")
 
 
+def _together(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Batches joined to tables of so many rows and a batch at most: what is done by arrays costs a call, however short they are."""
+    some: list[pa.RecordBatch] = []
+    for batch in batches:
+        some.append(batch)
+        if sum(b.num_rows for b in some) >= rows:
+            yield pa.Table.from_batches(some)
+            some = []
+    if some:
+        yield pa.Table.from_batches(some)
+
+
 def corrections(rare: DataFrame, frequent: DataFrame) -> DataFrame:
     """(word, correction, edits) of rare words (word) by frequent ones (word, n); those without one near are left out.
 
@@ -264,7 +343,7 @@ def corrections(rare: DataFrame, frequent: DataFrame) -> DataFrame:
     """
     bounded(rare.sparkSession)
     known = frequent.where("word IS NOT NULL").select(F.col("word").alias("correction"), "n")
-    asked = kept(rare.where(edits(F.col("word")) > 0).select("word").distinct(), "asked")
+    asked = kept(rare.where(F.col("word").isNotNull() & (edits(F.col("word")) > 0)).select("word").distinct(), "asked")
     one = kept(_nearest(asked, known, 1), "one-edit")
     rest = asked.where(edits(F.col("word")) > 1).join(one, "word", "left_anti")
     return one.unionByName(_nearest(rest, known, 2))
@@ -278,16 +357,16 @@ def corrected(docs: DataFrame, text: str = "text", known: int = KNOWN, most: int
     names a further column: how many words of the text were replaced, null of a null text.
     """
     # a number of its own for every row, to find it again
-    numbered = kept(docs.withColumn("__row", F.monotonically_increasing_id()), "texts")
-    counts = kept(numbered.select(F.explode(T.words(text)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")), "words")
+    bounded(docs.sparkSession)
+    numbered = kept(spread(docs).withColumn("__row", F.monotonically_increasing_id()), "texts")
+    counts = kept(word_counts(numbered, text), "words")
     frequent = counts.where(F.col("n") >= known)
-    rare = numbered.select("__row", F.inline(rare_places(text, most)))
-    rare = kept(among(rare, frequent.select("word"), "word", how="left_anti"), "rare-words")
+    rare = kept(rare_places(numbered, text, most, frequent), "rare-words")
     found = kept(corrections(rare.select("word"), frequent.where(edits(F.col("word")) > 0)), "corrections")
     # a text's own corrections: never more than its words
     of_row = rare.where("at IS NOT NULL").join(found, "word").groupBy("__row").agg(F.sort_array(F.collect_list(F.struct("at", "correction"))).alias("__new"))
     joined = numbered.join(of_row, "__row", "left")
-    spelt = F.when(F.col("__new").isNull(), F.col(text)).otherwise(replaced(text, F.col("__new")))
+    spelt = replaced(F.col(text), F.col("__new.at"), F.col("__new.correction"))
     made = [] if count is None else [F.when(F.col(text).isNotNull(), F.coalesce(F.size("__new"), F.lit(0))).cast("long").alias(count)]
     return joined.select(*(spelt.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns), *made), found
 
