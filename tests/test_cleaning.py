@@ -35,13 +35,18 @@ def test_steps_equal_the_column_builders(spark):
         assert [r for r in rows if r.want != r.got] == []
 
 
-def test_texts_are_spread(spark):
-    """Before, a table of one partition was one task's work: all of the pipeline on one core."""
+def test_texts_are_spread(spark, tmp_path):
+    """Before, a file of one row group was one task's work: all of the pipeline on one core."""
     df = spark.createDataFrame([(k, "The winter is near.") for k in range(8)], "id int, text string").coalesce(1)
     cores = spark.sparkContext.defaultParallelism
     assert cores > 1 and postprocess(df).rdd.getNumPartitions() == cores
     assert postprocess(df.repartition(cores + 1)).rdd.getNumPartitions() == cores + 1
     assert sorted(r.id for r in postprocess(df).collect()) == list(range(8))
+    df.write.parquet(f"{tmp_path}/one")
+    plan = postprocess(spark.read.parquet(f"{tmp_path}/one"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("RoundRobinPartitioning") == 1
+    df.repartition(cores).write.parquet(f"{tmp_path}/many")
+    assert len(spark.read.parquet(f"{tmp_path}/many").inputFiles()) < cores or "RoundRobin" not in postprocess(spark.read.parquet(f"{tmp_path}/many"))._jdf.queryExecution().executedPlan().toString()
 
 
 def test_each_step_is_run_once(spark):
