@@ -278,7 +278,10 @@ def near_distances(words: Sequence[str], others: Sequence[str]) -> np.ndarray:
     that is left out or put in between.
     """
     out = np.full(len(words), 3, np.uint8)
-    for (n, m), at in _by_key((len(a), len(b)) for a, b in zip(words, others, strict=True)).items():
+    sizes = np.array([np.fromiter(map(len, side), np.int64, len(side)) for side in (words, others)])
+    order = np.lexsort(sizes)
+    for at in np.split(order, np.flatnonzero(np.diff(sizes[:, order]).any(axis=0)) + 1):
+        n, m = sizes[:, at[0]].tolist() if len(at) else (0, 9)
         if abs(n - m) > 2:
             continue
         a, b = (np.ascontiguousarray(_codes([side[k] for k in at]).T) if side[at[0]] else None for side in (words, others))
