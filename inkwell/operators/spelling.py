@@ -8,7 +8,7 @@ then the most frequent, then the first by code point.
 Two words within a distance share what is left of each after so many deletions at most, so
 known and rare words are joined on these remains, not compared all with all, one deletion
 first and two for what one did not find; pairs that meet are measured exactly.  Only rare, unknown words take part, and those occur less than
-``known`` times, so no word of the joins is hot.
+``known`` times, so no word of the joins is hot.  Words, remains and pairs are worked at a batch at a time; Spark counts, joins and groups them.
 """
 
 from __future__ import annotations
