@@ -8,9 +8,12 @@ sentences is found exactly, as best_span() does, with lengths and longest common
 subsequences as bounds.  A sentence that lies in a passage is found by its first
 characters in the same way.
 
+Spans may be like a passage and share no such run, so then all spans of all documents go
+against all passages, in chunks of documents and blocks of passages.  What the index has
+found is where a passage begins: a span is only compared if its bounds reach that.
+
 Passages, grams and hits are tables that Spark joins; nothing of them is collected.  A hit
-costs the text around it, equal texts are compared once, and a passage that shares no run
-with any document costs nothing.
+costs the text around it, and equal texts around hits are compared once.
 """
 
 from __future__ import annotations
@@ -28,12 +31,15 @@ from pyspark.sql import functions as F
 from ..functions.text import WS_CHARS
 from ..sources.scratch import kept
 from .batches import bounded
-from .consensus import QUOTES, best_range, clean
+from .consensus import QUOTES, best_range, clean, ratio
+from .spans import Spans, candidates
 
 GRAM, WINDOW = 12, 13
 SEED = GRAM + WINDOW - 1
 #: rows of keys that are sent to all tasks to look rows up by; more are joined by a shuffle
 SENT = 1_000_000
+#: characters of a chunk of documents; passages of a block
+CHUNK, ASKED = 1_000_000, 1000
 _UNEVEN = WS_CHARS.replace(" ", "")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -169,11 +175,78 @@ def _around(places: Sequence[int], n: int, most: int) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def _chunks(documents: DataFrame, include_last: bool) -> DataFrame:
+    """(docs, lists) of documents (doc, sentences): some at a time, with the sentences that spans may hold."""
+    schema = pa.schema([("docs", pa.list_(pa.int64())), ("lists", pa.list_(pa.list_(pa.string())))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs: list[int] = []
+        lists: list[list[str]] = []
+        size = 0
+        for batch in batches:
+            for doc, sentences in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                # a null sentence is no text
+                usable = [s or "" for s in (sentences.as_py() or [])]
+                usable = usable if include_last else usable[:-1]
+                if usable:
+                    docs.append(doc)
+                    lists.append(usable)
+                    size += sum(map(len, usable))
+                if size > CHUNK:
+                    yield pa.RecordBatch.from_arrays([pa.array([docs], schema.field(0).type), pa.array([lists], schema.field(1).type)], schema=schema)
+                    docs, lists, size = [], [], 0
+        if docs:
+            yield pa.RecordBatch.from_arrays([pa.array([docs], schema.field(0).type), pa.array([lists], schema.field(1).type)], schema=schema)
+
+    return documents.select("doc", "sentences").mapInArrow(run, "docs array<long>, lists array<array<string>>")
+
+
+def better_spans(docs: Sequence[int], lists: Sequence[Sequence[str]], phrases: Sequence[str], known: Sequence[tuple | None], most: int = 4, least: float = 0.7) -> dict[int, tuple]:
+    """Per place in ``phrases`` the best (-ratio, doc, from, to, span) over all spans, if it comes before the one known."""
+    spans = Spans([cleaned(s) for s in lists], most)
+    wanted = [clean(p.lower()) for p in phrases]
+    floors = [least if k is None else max(least, -k[0]) for k in known]
+    best = dict(enumerate(known))
+    out: dict[int, tuple] = {}
+    for t, k, bound in candidates(spans, wanted, floors):
+        d, i, j = int(spans.owner[k]), int(spans.first[k]), int(spans.stop[k])
+        now = best[t]
+        if now is not None and (-bound, docs[d], i, j) > now[:4]:
+            continue
+        found = (-ratio(wanted[t], spans.span(k)), docs[d], i, j, " ".join(lists[d][i:j]))
+        if -found[0] >= least and (now is None or found < now):
+            best[t] = out[t] = found
+            floors[t] = -found[0]
+    return out
+
+
+def _all_with_all(documents: DataFrame, asked: DataFrame, most: int, least: float, include_last: bool) -> DataFrame:
+    """(target, b) of passages (target, phrase, b), b the best span known or null: the best of every chunk of documents that comes before it."""
+    blocks = asked.groupBy(F.pmod(F.xxhash64("target"), F.lit(asked.count() // ASKED + 1)).alias("block")).agg(F.collect_list(F.struct("target", "phrase", "b")).alias("asked"))
+    b = asked.schema["b"].dataType
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # what a task has found so far holds for its next chunks
+        seen: dict[str, tuple] = {}
+        for batch in batches:
+            for row in range(batch.num_rows):
+                docs, lists, passages = (batch.column(k)[row].as_py() for k in range(3))
+                known = [seen.get(p["target"], p["b"] and tuple(p["b"].values())) for p in passages]
+                found = better_spans(docs, lists, [p["phrase"] for p in passages], known, most, least)
+                for t, x in found.items():
+                    seen[passages[t]["target"]] = x
+                rows = [{"target": passages[t]["target"], "below": x[0], "doc": x[1], "i": x[2], "j": x[3], "span": x[4]} for t, x in found.items()]
+                yield pa.RecordBatch.from_pylist(rows, pa.schema([("target", pa.string()), ("below", pa.float64()), ("doc", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("span", pa.string())]))
+
+    every = _chunks(documents, include_last).crossJoin(blocks.select("asked"))
+    better = every.mapInArrow(run, "target string, below double, doc long, i int, j int, span string")
+    return better.select("target", F.struct("below", "doc", "i", "j", "span").cast(b).alias("b"))
+
+
 def best_matches(documents: DataFrame, passages: DataFrame, most: int = 4, least: float = 0.7, include_last: bool = False) -> DataFrame:
     """(target, span, score, part) of passages (target, phrase) over documents (doc, sentences).
 
-    ``span`` is the best span of all that hold a place at which any document shares a run of
-    SEED characters with the passage, of equal scores the first document's and of its spans the first; it never holds
+    ``span`` is the best span of all documents, of equal scores the first document's and of its spans the first; it never holds
     a document's last sentence unless ``include_last``, and is null below ``least``.  ``part``
     is the first sentence that lies in the passage, exactly.  A row only where there is
     either; null phrases, null sentences and documents without sentences match nothing;
@@ -215,6 +288,8 @@ def best_matches(documents: DataFrame, passages: DataFrame, most: int = 4, least
     span = F.array_join(F.slice("run", F.col("b.i") + 1, F.col("b.j") - F.col("b.i")), " ")
     at = F.col("first.at")
     spans = scored.select("target", F.struct((-F.col("b.score")).alias("below"), F.col("first.doc").alias("doc"), (at + F.col("b.i")).alias("i"), (at + F.col("b.j")).alias("j"), span.alias("span")).alias("b"))
+    spans = kept(spans.groupBy("target").agg(F.min("b").alias("b")), "near-spans")
+    spans = spans.unionByName(_all_with_all(documents, passages.join(spans, "target", "left"), most, least, include_last))
 
     @F.pandas_udf("boolean")
     def lies_in(part: pd.Series, phrases: pd.Series) -> pd.Series:

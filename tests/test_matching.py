@@ -74,6 +74,39 @@ def test_matches_equal_a_search_of_every_span(spark):
         assert seen >= 12
 
 
+def test_matches_that_share_no_run_are_found(spark):
+    rng = random.Random(8)
+    documents = [(k, [sentence(rng, (2, rng.choice([6, 14, 24]))) for _ in range(rng.randrange(2, 8))]) for k in range(30)]
+    targets = ["", "q"]
+    for share in (0.1, 0.15, 0.2, 0.22) * 8:
+        _, s = rng.choice(documents)
+        i = rng.randrange(len(s))
+        targets.append(damaged(rng, " ".join(s[i : i + rng.randrange(1, 5)]), share))
+    rows = spark.createDataFrame(documents, "doc long, sentences array<string>").repartition(3)
+    passages = spark.createDataFrame([(t, t) for t in dict.fromkeys(targets)], "target string, phrase string")
+    got = {r.target: r for r in M.best_matches(rows, passages).collect()}
+    unseeded = 0
+    for t in targets:
+        best, _ = best_of_all(t, documents, False)
+        assert (best and (best[4], -best[0])) == ((got[t].span, got[t].score) if t in got and got[t].span is not None else None)
+        unseeded += bool(best) and not share_a_run(t, best[4])
+    assert unseeded >= 5
+
+
+def test_bounds_leave_no_span_out():
+    rng = random.Random(6)
+    letters = "aaaaaabbbcde fgh漢😀"
+    for least in (0.5, 0.7, 1.0):
+        for _ in range(6):
+            lists = [[rng.choice(["", " ", "a" * 300, "".join(rng.choice(letters) for _ in range(rng.choice([3, 40, 150, 260])))]) for _ in range(rng.randrange(1, 6))] for _ in range(3)]
+            docs = [rng.choice([1, 2]) for _ in lists]
+            phrases = ["", "a" * 280, "\udc80"] + [damaged(rng, " ".join(s[k : k + 2]), rng.choice([0, 0.1, 0.2])) for s in lists for k in range(len(s))]
+            found = M.better_spans(docs, lists, phrases, [None] * len(phrases), least=least)
+            for t, p in enumerate(phrases):
+                every = [(-C.ratio(C.clean(p.lower()), C.clean(x.lower())), d, i, j, x) for d, s in zip(docs, lists, strict=True) for i in range(len(s)) for j in range(i + 1, min(i + 4, len(s)) + 1) for x in [" ".join(s[i:j])]]
+                assert found.get(t) == min((x for x in every if -x[0] >= least), default=None)
+
+
 def test_many_rows_of_one_id_and_one_text(spark):
     text = ["A sentence that is long enough to be found.", "And another one of its kind.", "The end."]
     rows = spark.createDataFrame([(None, text)] * 400 + [(3, text)] * 400 + [(2, ["Short.", "End."])], "doc long, sentences array<string>").repartition(6)
